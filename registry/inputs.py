@@ -19,11 +19,19 @@ ACCENTED = Script("accented", "\\u00C0-\\u024F")
 LIMITS = Limits()
 TOKEN_LIMITS = TokenLimits(warn=700, max=1000)
 MAIN = "sft"
+# Named schemas spare the job that reads a footer for each table.
+SCHEMAS = {
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
 TURN_RANGE = 4294967296  # exchange ids are conv_id * 2^32 + turn
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = prepare(spark).read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -330,7 +330,7 @@ def dedup_documents(spark, sf_dir):
 
 @query
 def dedup_document_counts(spark, sf_dir):
-    return curate.dedup_counts(_document_keys(spark, sf_dir))
+    return curate.key_counts(_document_keys(spark, sf_dir))
 
 
 @query
@@ -370,7 +370,7 @@ def curated_rows(spark, sf_dir):
 
 @query
 def dedup_counts(spark, sf_dir):
-    return curate.dedup_counts(_curated(spark, sf_dir)[0].collected)
+    return curate.dedup_counts(_curated(spark, sf_dir)[0])
 
 
 @query

@@ -32,7 +32,7 @@ def _message_fault(x: Column) -> Column:
         F.when(~x["is_object"], "msg_not_dict")
         .when(~(x["has_role"] & x["has_content"]), "missing_key")
         .when(~role_ok, "bad_role")
-        .when(~(x["is_text"] & tx.is_spoken(x["content"])), "empty_content")
+        .when(~x["spoken"], "empty_content")
     )
     return F.struct(
         x["pos"].alias("pos"), fault.alias("code"), x["role_text"].alias("role")

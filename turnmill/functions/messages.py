@@ -6,7 +6,8 @@ Two shapes of input end in the same list of *inspected* elements:
 * JSON text, through `parse_json` and `inspect_json`, where every element may be anything.
 
 An inspected element is `struct<pos, is_object, has_role, has_content, role, role_text,
-content, is_text, tool_calls>`.
+content, spoken, tool_calls>`; `content` is NULL unless it is text, and `spoken` says that it is
+more than whitespace.
 """
 
 from __future__ import annotations
@@ -41,42 +42,66 @@ def is_truthy(value: Column) -> Column:
     return F.coalesce(~falsy, F.lit(False))
 
 
-def _inspect_one(x: Column, i: Column) -> Column:
-    field = lambda name: F.try_variant_get(x, f"$.{name}", "variant")
-    role_is_text = F.coalesce(_kind(field("role")) == "STRING", F.lit(False))
-    is_text = F.coalesce(_kind(field("content")) == "STRING", F.lit(False))
-    written_role = F.try_variant_get(x, "$.role", "string")
+def _inspected(pos, is_object, has_role, has_content, role, role_text, content, tool_calls):
     return F.struct(
-        i.alias("pos"),
-        _kind(x).startswith("OBJECT").alias("is_object"),
-        field("role").isNotNull().alias("has_role"),
-        field("content").isNotNull().alias("has_content"),
-        F.when(role_is_text, written_role).alias("role"),
-        written_role.alias("role_text"),
-        F.when(is_text, F.try_variant_get(x, "$.content", "string")).alias("content"),
-        is_text.alias("is_text"),
-        is_truthy(field("tool_calls")).alias("tool_calls"),
+        pos.alias("pos"),
+        is_object.alias("is_object"),
+        has_role.alias("has_role"),
+        has_content.alias("has_content"),
+        role.alias("role"),
+        role_text.alias("role_text"),
+        content.alias("content"),
+        tx.is_spoken(content).alias("spoken"),
+        tool_calls.alias("tool_calls"),
     )
 
 
 def inspect_json(items: Column) -> Column:
-    return F.transform(items, _inspect_one)
+    """Two passes, so that each field is looked up once per message."""
 
-
-def inspect_typed(messages: Column) -> Column:
-    def one(x: Column, i: Column) -> Column:
+    def fields(x: Column, i: Column) -> Column:
+        field = lambda name: F.try_variant_get(x, f"$.{name}", "variant").alias(name)
         return F.struct(
             i.alias("pos"),
-            x.isNotNull().alias("is_object"),
-            x.isNotNull().alias("has_role"),
-            x.isNotNull().alias("has_content"),
+            _kind(x).startswith("OBJECT").alias("is_object"),
+            field("role"),
+            field("content"),
+            field("tool_calls"),
+        )
+
+    def texts(x: Column) -> Column:
+        text = lambda value: F.try_variant_get(value, "$", "string")
+        return F.struct(
+            x["pos"].alias("pos"),
+            x["is_object"].alias("is_object"),
             x["role"].alias("role"),
-            x["role"].alias("role_text"),
-            x["content"].alias("content"),
-            x["content"].isNotNull().alias("is_text"),
-            F.lit(False).alias("tool_calls"),
+            x["content"].isNotNull().alias("has_content"),
+            F.when(_kind(x["content"]) == "STRING", text(x["content"])).alias("content"),
+            text(x["role"]).alias("role_text"),
+            is_truthy(x["tool_calls"]).alias("tool_calls"),
+        )
+
+    def finish(x: Column) -> Column:
+        return _inspected(
+            x["pos"],
+            x["is_object"],
+            x["role"].isNotNull(),
+            x["has_content"],
+            F.when(_kind(x["role"]) == "STRING", x["role_text"]),
+            x["role_text"],
+            x["content"],
+            x["tool_calls"],
         )
 
+    return F.transform(F.transform(F.transform(items, fields), texts), finish)
+
+
+def inspect_typed(messages: Column) -> Column:
+    def one(x: Column, i: Column) -> Column:
+        there = x.isNotNull()
+        role, content = x["role"], x["content"]
+        return _inspected(i, there, there, there, role, role, content, F.lit(False))
+
     return F.transform(messages, one)
 
 
@@ -84,10 +109,6 @@ def _is(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def _spoken(x: Column) -> Column:
-    return _is(x["is_text"]) & tx.is_spoken(x["content"])
-
-
 def repeats_role(messages: Column) -> Column:
     """True where two neighbours have the same role."""
     return first_repeat(messages) >= 0
@@ -107,19 +128,19 @@ def unusable(inspected: Column) -> Column:
     return F.exists(
         inspected,
         lambda x: ~_is(x["is_object"])
-        | (~_spoken(x) & _is(x["role"] == "assistant") & _is(x["tool_calls"])),
+        | (~x["spoken"] & _is(x["role"] == "assistant") & _is(x["tool_calls"])),
     )
 
 
 def kept_turns(inspected: Column) -> Column:
-    return F.filter(inspected, lambda x: _spoken(x) & _is(x["role"].isin("user", "assistant")))
+    return F.filter(inspected, lambda x: x["spoken"] & _is(x["role"].isin("user", "assistant")))
 
 
 def opening_system(inspected: Column, kept: Column) -> Column:
     """The last spoken system text ahead of the first kept turn."""
     start = F.try_element_at(kept, F.lit(1))["pos"]
     ahead = F.filter(
-        inspected, lambda x: _spoken(x) & _is(x["role"] == "system") & _is(x["pos"] < start)
+        inspected, lambda x: x["spoken"] & _is(x["role"] == "system") & _is(x["pos"] < start)
     )
     return F.try_element_at(ahead, F.lit(-1))["content"]
 

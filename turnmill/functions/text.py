@@ -29,7 +29,8 @@ def trailing_blanks(text: Column) -> Column:
 
 def is_spoken(text: Column) -> Column:
     """True where the text is there and holds something besides whitespace."""
-    return F.coalesce(F.length(strip(text)) > 0, F.lit(False))
+    # Looks no further than the first visible character.
+    return F.coalesce(F.ltrim(text, F.lit(WHITESPACE)) != "", F.lit(False))
 
 
 def contains_script(text: Column, script: Script) -> Column:

@@ -49,32 +49,41 @@ def _segment_summaries(signals: DataFrame, limits: Limits) -> DataFrame:
         .orderBy("turn")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    kept = F.col("is_user").isNotNull()
-    at = F.when(kept, F.col("turn"))
-    opening = F.when(F.col("is_system") & F.col("prev").isNull(), F.col("turn"))
-    stripped = F.col("chars") - F.col("lead") - F.col("trail")
+    # `at`: turn of a kept message. `opening`: turn of a system message with none kept before it.
+    # `reach`: length without the blanks at the end.
     return (
         signals.withColumn("prev", F.last("is_user", ignorenulls=True).over(before))
+        .selectExpr(
+            "*",
+            "chars - trail as reach",
+            "if(is_user is not null, turn, null) as at",
+            "if(is_system and prev is null, turn, null) as opening",
+        )
         .groupBy("conv_id", "seg")
         .agg(
-            F.count(F.lit(1)).alias("turns"),
-            F.count("is_user").alias("kept"),
-            F.sum(F.when(kept, F.col("chars"))).alias("chars"),
-            F.sum(F.when(kept, F.col("script"))).alias("script"),
-            F.count_if(kept & (stripped < limits.min_message_chars)).alias("short"),
-            F.count_if(F.col("is_user") == F.col("prev")).alias("repeats"),
-            F.min(at).alias("first_turn"),
-            F.max(at).alias("last_turn"),
-            F.min_by("is_user", at).alias("first_is_user"),
-            F.min_by("chars", at).alias("first_chars"),
-            F.min_by("lead", at).alias("first_lead"),
-            F.min_by("trail", at).alias("first_trail"),
-            F.max_by("is_user", at).alias("last_is_user"),
-            F.max_by("trail", at).alias("last_trail"),
-            F.max(opening).alias("system_turn"),
-            F.max_by("chars", opening).alias("system_chars"),
-            F.max_by("lead", opening).alias("system_lead"),
-            F.max_by("script", opening).alias("system_script"),
+            *map(
+                F.expr,
+                (
+                    "count(1) as turns",
+                    "count(at) as kept",
+                    "sum(chars) filter (where at is not null) as chars",
+                    "sum(script) filter (where at is not null) as script",
+                    f"count_if(at is not null and reach - lead < {limits.min_message_chars})"
+                    " as short",
+                    "count_if(is_user = prev) as repeats",
+                    "min(at) as first_turn",
+                    "max(at) as last_turn",
+                    "min_by(is_user, at) as first_is_user",
+                    "min_by(reach, at) as first_reach",
+                    "min_by(lead, at) as first_lead",
+                    "max_by(is_user, at) as last_is_user",
+                    "max_by(trail, at) as last_trail",
+                    "max(opening) as system_turn",
+                    "max_by(chars, opening) as system_chars",
+                    "max_by(lead, opening) as system_lead",
+                    "max_by(script, opening) as system_script",
+                ),
+            )
         )
     )
 
@@ -83,31 +92,32 @@ def _conversation_summaries(segments: DataFrame) -> DataFrame:
     before = (
         Window.partitionBy("conv_id").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
     )
-    opening = F.when(F.col("prev").isNull(), F.col("system_turn"))
-    total = lambda name: F.coalesce(F.sum(name), F.lit(0)).alias(name)
     return (
         segments.withColumn("prev", F.last("last_is_user", ignorenulls=True).over(before))
+        .selectExpr("*", "if(prev is null, system_turn, null) as opening")
         .groupBy("conv_id")
         .agg(
-            total("turns"),
-            total("kept"),
-            total("chars"),
-            total("script"),
-            total("short"),
-            (F.sum("repeats") + F.count_if(F.col("first_is_user") == F.col("prev"))).alias(
-                "repeats"
-            ),
-            F.min("first_turn").alias("first_turn"),
-            *[
-                F.min_by(name, "first_turn").alias(name)
-                for name in ("first_is_user", "first_chars", "first_lead", "first_trail")
-            ],
-            *[F.max_by(name, "last_turn").alias(name) for name in ("last_is_user", "last_trail")],
-            F.max(opening).alias("system_turn"),
-            *[
-                F.max_by(name, opening).alias(name)
-                for name in ("system_chars", "system_lead", "system_script")
-            ],
+            *map(
+                F.expr,
+                (
+                    "sum(turns) as turns",
+                    "sum(kept) as kept",
+                    "coalesce(sum(chars), 0) as chars",
+                    "coalesce(sum(script), 0) as script",
+                    "sum(short) as short",
+                    "sum(repeats) + count_if(first_is_user = prev) as repeats",
+                    "min(first_turn) as first_turn",
+                    "min_by(first_is_user, first_turn) as first_is_user",
+                    "min_by(first_reach, first_turn) as first_reach",
+                    "min_by(first_lead, first_turn) as first_lead",
+                    "max_by(last_is_user, last_turn) as last_is_user",
+                    "max_by(last_trail, last_turn) as last_trail",
+                    "max(opening) as system_turn",
+                    "max_by(system_chars, opening) as system_chars",
+                    "max_by(system_lead, opening) as system_lead",
+                    "max_by(system_script, opening) as system_script",
+                ),
+            )
         )
     )
 
@@ -118,34 +128,30 @@ def conversation_facts(
     """One narrow row per conversation: whether it normalises, and the measures of its
     normalised text (`functions.verdict`), plus `first_turn` and `system_turn`, the turns that
     make up its first message."""
-    c = F.col
     summary = _conversation_summaries(
         _segment_summaries(_signals(turns, script, segment), limits)
     )
-    merged = c("system_turn").isNotNull()
-    first_stripped = c("first_chars") - c("first_lead") - c("first_trail")
-    opening_chars = F.when(
-        merged, c("system_chars") - c("system_lead") + 2 + c("first_chars") - c("first_trail")
-    ).otherwise(first_stripped)
-    short_after_first = c("short") - (first_stripped < limits.min_message_chars).cast("int")
-    n_chars = c("chars") + c("kept") - 1 + F.when(merged, c("system_chars") + 2).otherwise(0)
-    lead = F.when(merged, c("system_lead")).otherwise(c("first_lead"))
-    return summary.select(
+    merged = "system_turn is not null"
+    first_is_short = f"first_reach - first_lead < {limits.min_message_chars}"
+    return summary.selectExpr(
+        "*",
+        f"chars + kept - 1 + if({merged}, system_chars + 2, 0) as n_chars",
+        f"short - cast({first_is_short} as int) as short_later",
+        f"if({merged}, system_chars - system_lead + 2 + first_reach, first_reach - first_lead)"
+        " as opening_chars",
+    ).selectExpr(
         "conv_id",
-        c("turns").alias("n_turns"),
-        c("kept").alias("n_messages"),
+        "turns as n_turns",
+        "kept as n_messages",
         "first_turn",
-        F.when(c("first_turn").isNotNull(), c("system_turn")).alias("system_turn"),
-        F.coalesce(
-            (c("kept") >= 2) & c("first_is_user") & ~c("last_is_user") & (c("repeats") == 0),
-            F.lit(False),
-        ).alias("normalized"),
-        n_chars.alias("n_chars"),
-        (n_chars - lead - c("last_trail")).alias("n_stripped"),
-        (c("script") + F.when(merged, c("system_script")).otherwise(0)).alias("n_script"),
-        F.coalesce(
-            (short_after_first > 0) | (opening_chars < limits.min_message_chars), F.lit(False)
-        ).alias("has_short"),
+        "if(first_turn is not null, system_turn, null) as system_turn",
+        "coalesce(kept >= 2 and first_is_user and not last_is_user and repeats = 0, false)"
+        " as normalized",
+        "n_chars",
+        f"n_chars - if({merged}, system_lead, first_lead) - last_trail as n_stripped",
+        f"script + if({merged}, system_script, 0) as n_script",
+        f"coalesce(short_later > 0 or opening_chars < {limits.min_message_chars}, false)"
+        " as has_short",
     )
 
 

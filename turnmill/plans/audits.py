@@ -22,21 +22,28 @@ OVER_WARN_SHOWN = 10
 # Line format
 
 
+def _audit_once(lines: DataFrame, script: Script) -> DataFrame:
+    """Audit every line and keep the narrow result in the shared folder.
+
+    All reports read that table. Without it, a report's filter on `code` would be pushed below
+    the audit and the JSON of each line parsed several times over. A blank line has no code.
+    """
+    audited = audit_line(lines, "line", script)
+    code = F.when(~is_blank(F.col("line")), F.col("code"))
+    return materialize(audited.withColumn("code", code).drop("line"), "audit")
+
+
 def audit_numbered(lines: DataFrame, script: Script = THAI) -> DataFrame:
     """Audit a table `corpus, line_no, line`: one narrow row per line that is not blank."""
-    return audit_line(lines.filter(~is_blank(F.col("line"))), "line", script).drop("line")
+    return _audit_once(lines, script).filter("code is not null")
 
 
 def audit_read(lines: DataFrame, script: Script = THAI) -> DataFrame:
     """Audit lines from `sources.jsonl.read_lines`, numbering them on the way.
 
-    The text is read and parsed once; numbers are worked out on the narrow result. Blank lines
-    stay in the stored table as rows without a code, since they take a number.
+    Numbers are worked out on the narrow result, where blank lines still take theirs.
     """
-    audited = audit_line(lines, "line", script)
-    kept = audited.withColumn("code", F.when(~is_blank(F.col("line")), F.col("code")))
-    stored = materialize(kept.drop("line"), "audit")
-    return with_line_numbers(stored).filter("code is not null")
+    return with_line_numbers(_audit_once(lines, script)).filter("code is not null")
 
 
 def audit_summary(audited: DataFrame) -> DataFrame:

@@ -27,11 +27,9 @@ def tier_of(dataset: Column, source: Column, main_dataset: str) -> Column:
 @dataclass(frozen=True)
 class Curated:
     """`verdicts`: one row per raw conversation with `tier, outcome, scanned, selected`.
-    `collected`: the selected conversations ahead of de-duplication, without their text.
-    `corpus`: `id, tier, tier_no, draw_key, split, messages`."""
+    `corpus`: what is left of the selected ones: `id, tier, tier_no, draw_key, split, messages`."""
 
     verdicts: DataFrame
-    collected: DataFrame
     corpus: DataFrame
 
 
@@ -70,19 +68,14 @@ def scan_verdicts(
 def _finish(
     verdicts: DataFrame, texts: DataFrame, limits: Limits, seed: int, ident: str
 ) -> Curated:
-    keyed = texts.withColumn(
-        "dedup_key",
-        tx.prefix_key(ms.first_text_of(F.col("messages"), "user"), limits.dedup_chars),
-    )
-    collected = materialize(keyed, "collected")
-    unique = keep_first(collected, ["dedup_key"], ["tier_no", "draw_key", ident]).withColumn(
+    opening = ms.first_text_of(F.col("messages"), "user")
+    keyed = texts.withColumn("dedup_key", tx.prefix_key(opening, limits.dedup_chars))
+    unique = keep_first(keyed, ["dedup_key"], ["tier_no", "draw_key", ident]).withColumn(
         "split_key", tx.draw_key(seed, "split", F.col(ident))
     )
     corpus = exact_split(materialize(unique, "unique"), limits.eval_share, "split_key", ident)
     return Curated(
-        verdicts,
-        collected.drop("messages"),
-        corpus.select(ident, "tier", "tier_no", "draw_key", "split", "messages"),
+        verdicts, corpus.select(ident, "tier", "tier_no", "draw_key", "split", "messages")
     )
 
 
@@ -125,17 +118,22 @@ def curate_rows(
     `messages` is a typed array or JSON text. Only narrow verdicts are kept of the first pass;
     the second normalises the selected rows again, which is cheaper than storing every text.
     """
-    typed = dict(rows.dtypes)["messages"] != "string"
-    m = F.col("messages")
-    inspected = ms.inspect_typed(m) if typed else ms.inspect_json(ms.elements(ms.parse_json(m)))
-    normal = ms.normalize(rows.withColumn("_inspected", inspected), "_inspected").drop("_inspected")
+    normal = _normalized(rows)
     measured = measures_of(normal, "messages", script, limits).drop("messages")
     verdicts = scan_verdicts(measured, quotas, script, limits, seed, ident)
-    chosen = verdicts.filter("selected").select(ident, "tier", "tier_no", "draw_key")
-    texts = normal.select(ident, "messages").join(chosen, ident)
+    chosen = verdicts.filter("selected").select(ident, "tier_no", "draw_key")
+    texts = _normalized(rows.join(chosen, ident)).select(*chosen.columns, "tier", "messages")
     return _finish(verdicts, texts, limits, seed, ident)
 
 
+def _normalized(rows: DataFrame) -> DataFrame:
+    """`rows` with `messages`, a typed array or JSON text, replaced by its normal form."""
+    m = F.col("messages")
+    typed = dict(rows.dtypes)["messages"] != "string"
+    inspected = ms.inspect_typed(m) if typed else ms.inspect_json(ms.elements(ms.parse_json(m)))
+    return ms.normalize(rows.withColumn("_inspected", inspected), "_inspected").drop("_inspected")
+
+
 def reason_counts(verdicts: DataFrame) -> DataFrame:
     """Rows per tier and outcome among the rows a tier had to look at."""
     return (
@@ -157,8 +155,16 @@ def quota_counts(verdicts: DataFrame, quotas: DataFrame) -> DataFrame:
     )
 
 
-def dedup_counts(collected: DataFrame) -> DataFrame:
-    return collected.agg(
+def dedup_counts(made: Curated) -> DataFrame:
+    """Rows ahead of de-duplication and after it. Neither count touches a text."""
+    before = made.verdicts.agg(F.count_if("selected").alias("n_before"))
+    after = made.corpus.agg(F.count(F.lit(1)).alias("n_after"))
+    return before.withColumn("n_after", after.scalar())
+
+
+def key_counts(keyed: DataFrame) -> DataFrame:
+    """The same for any rows with a `dedup_key`."""
+    return keyed.agg(
         F.count(F.lit(1)).alias("n_before"), F.countDistinct("dedup_key").alias("n_after")
     )
 
