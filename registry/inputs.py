@@ -121,15 +121,31 @@ def prompts_and_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(pairs: DataFrame, variant: str) -> DataFrame:
-    return pairs.filter(F.col(variant).isNotNull()).select(
-        "prompt_id",
-        F.lit(variant).alias("variant"),
-        "prompt",
-        F.col(variant).alias("response"),
-        (F.length(variant) / F.lit(100.0)).alias("seconds"),
+    return _timed(
+        pairs.filter(F.col(variant).isNotNull()).select(
+            "prompt_id",
+            F.lit(variant).alias("variant"),
+            "prompt",
+            F.col(variant).alias("response"),
+        )
     )
 
 
+def all_responses(pairs: DataFrame) -> DataFrame:
+    """Both variants from one pass over the pairs."""
+    answer = lambda v: F.struct(F.lit(v).alias("variant"), F.col(v).alias("response"))
+    answers = F.explode(F.array(answer("base"), answer("adapter"))).alias("a")
+    return _timed(
+        pairs.select("prompt_id", answers, "prompt")
+        .select("prompt_id", "a.variant", "prompt", "a.response")
+        .filter("response is not null")
+    )
+
+
+def _timed(answers: DataFrame) -> DataFrame:
+    return answers.withColumn("seconds", F.length("response") / F.lit(100.0))
+
+
 def token_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`corpus, line_no, n_tokens`: a line per conversation, numbered by its id."""
     sizes = conversation_sizes(turns(spark, sf_dir), ACCENTED)

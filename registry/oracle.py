@@ -350,7 +350,7 @@ WITH {NORMAL} SELECT conv_id, n_messages, length(txt) AS n_chars, length({strip(
     "exchange_outcomes": f"""
 WITH {EXCHANGES}, {X_NORMAL}
 SELECT tier, outcome, count(*) AS n FROM (SELECT tier, {outcome()} AS outcome FROM x_rows) GROUP BY ALL""",
-    "scanned_rows": f"{CURATED} SELECT conv_id, tier, outcome, draw_key, scanned, selected FROM marked",
+    "scanned_rows": f"{CURATED} SELECT conv_id, tier, outcome, draw_key, selected FROM marked WHERE scanned",
     "tier_reason_counts": f"""
 {CURATED} SELECT tier, outcome, count(*) AS n FROM marked WHERE scanned GROUP BY tier, outcome""",
     "tier_quota_counts": f"""

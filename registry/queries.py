@@ -12,7 +12,7 @@ from turnmill.functions.verdict import measures_of, other_reason, outcome, targe
 from turnmill.operators import order, packing, quota
 from turnmill.operators.turns import conversation_facts, first_messages, normalized_turns
 from turnmill.plans import audits, curate, profile, scoring
-from turnmill.session import fresh_path
+from turnmill.session import fresh_path, materialize
 from turnmill.sources import jsonl, tables
 
 QUERIES = {}
@@ -27,18 +27,18 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_facts(src.turns(spark, sf_dir), ACCENTED, LIMITS)
 
 
-def _curated(spark: SparkSession, sf_dir: str) -> tuple[curate.Curated, DataFrame]:
-    quotas = quota.quota_table(spark, src.quota_total(spark, sf_dir))
-    made = curate.curate_turns(
-        src.turns(spark, sf_dir), None, quotas, ACCENTED, LIMITS, tag=src.tier()
+def _quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quota.quota_table(spark, src.quota_total(spark, sf_dir))
+
+
+def _curated(spark: SparkSession, sf_dir: str) -> curate.Curated:
+    return curate.curate_turns(
+        src.turns(spark, sf_dir), src.tier(), _quotas(spark, sf_dir), ACCENTED, LIMITS
     )
-    return made, quotas
 
 
-def _verdicts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    quotas = quota.quota_table(spark, src.quota_total(spark, sf_dir))
-    tagged = _facts(spark, sf_dir).withColumn("tier", src.tier())
-    return curate.scan_verdicts(tagged, quotas, ACCENTED, LIMITS, SEED, "conv_id"), quotas
+def _verdicts(spark: SparkSession, sf_dir: str, quotas: DataFrame) -> DataFrame:
+    return curate.turn_verdicts(src.turns(spark, sf_dir), src.tier(), quotas, ACCENTED, LIMITS)
 
 
 # Text functions
@@ -281,18 +281,19 @@ def exchange_outcomes(spark, sf_dir):
 
 @query
 def scanned_rows(spark, sf_dir):
-    verdicts, _ = _verdicts(spark, sf_dir)
-    return verdicts.select("conv_id", "tier", "outcome", "draw_key", "scanned", "selected")
+    verdicts = _verdicts(spark, sf_dir, _quotas(spark, sf_dir))
+    return verdicts.select("conv_id", "tier", "outcome", "draw_key", "selected")
 
 
 @query
 def tier_reason_counts(spark, sf_dir):
-    return curate.reason_counts(_verdicts(spark, sf_dir)[0])
+    return curate.reason_counts(_verdicts(spark, sf_dir, _quotas(spark, sf_dir)))
 
 
 @query
 def tier_quota_counts(spark, sf_dir):
-    return curate.quota_counts(*_verdicts(spark, sf_dir))
+    quotas = _quotas(spark, sf_dir)
+    return curate.quota_counts(_verdicts(spark, sf_dir, quotas), quotas)
 
 
 @query
@@ -337,18 +338,20 @@ def dedup_document_counts(spark, sf_dir):
 def train_eval_split(spark, sf_dir):
     normal = _facts(spark, sf_dir).filter("normalized")
     keyed = normal.select("conv_id", tx.draw_key(SEED, "split", F.col("conv_id")).alias("split_key"))
-    return quota.exact_split(keyed, LIMITS.eval_share).select("conv_id", "split")
+    return quota.exact_split(materialize(keyed, "keyed"), LIMITS.eval_share).select(
+        "conv_id", "split"
+    )
 
 
 @query
 def split_sizes(spark, sf_dir):
-    return curate.split_counts(_curated(spark, sf_dir)[0].corpus)
+    return curate.split_counts(_curated(spark, sf_dir).corpus)
 
 
 @query
 def curated_corpus(spark, sf_dir):
     m = F.col("messages")
-    return _curated(spark, sf_dir)[0].corpus.select(
+    return _curated(spark, sf_dir).corpus.select(
         "conv_id",
         "tier",
         "split",
@@ -361,8 +364,7 @@ def curated_corpus(spark, sf_dir):
 def curated_rows(spark, sf_dir):
     """The same job over row-shaped conversations."""
     rows = src.exchanges(spark, sf_dir).select("id", src.tier().alias("tier"), "messages")
-    quotas = quota.quota_table(spark, src.quota_total(spark, sf_dir))
-    corpus = curate.curate_rows(rows, quotas, ACCENTED, LIMITS).corpus
+    corpus = curate.curate_rows(rows, _quotas(spark, sf_dir), ACCENTED, LIMITS).corpus
     return corpus.select(
         "id", "tier", "split", F.md5(ms.joined_text(F.col("messages"))).alias("text_md5")
     )
@@ -370,17 +372,17 @@ def curated_rows(spark, sf_dir):
 
 @query
 def dedup_counts(spark, sf_dir):
-    return curate.dedup_counts(_curated(spark, sf_dir)[0])
+    return curate.dedup_counts(_curated(spark, sf_dir))
 
 
 @query
 def final_mix(spark, sf_dir):
-    return curate.tier_mix(_curated(spark, sf_dir)[0].corpus)
+    return curate.tier_mix(_curated(spark, sf_dir).corpus)
 
 
 @query
 def final_language_mix(spark, sf_dir):
-    return curate.language_mix(_curated(spark, sf_dir)[0].corpus)
+    return curate.language_mix(_curated(spark, sf_dir).corpus)
 
 
 # JSONL
@@ -390,7 +392,7 @@ def final_language_mix(spark, sf_dir):
 def jsonl_roundtrip(spark, sf_dir):
     """Curate, write lines, read the run back and audit it."""
     root = fresh_path(spark, "corpus")
-    jsonl.write_run(_curated(spark, sf_dir)[0].corpus, root, "r1")
+    jsonl.write_run(_curated(spark, sf_dir).corpus, root, "r1")
     audited = audits.audit_read(jsonl.read_run(spark, root, "r1"), ACCENTED)
     return audited.select("corpus", "line_no", "code", "n_messages", "has_script").groupBy(
         "corpus", "code"
@@ -546,8 +548,8 @@ def eval_scores(spark, sf_dir):
 @query
 def eval_summary(spark, sf_dir):
     pairs = src.prompts_and_replies(spark, sf_dir)
-    both = src.responses(pairs, "base").unionByName(src.responses(pairs, "adapter"))
-    return scoring.score_summary(scoring.score_responses(both, ACCENTED), ["variant"])
+    scored = scoring.score_responses(src.all_responses(pairs), ACCENTED)
+    return scoring.score_summary(scored, ["variant"])
 
 
 @query
@@ -555,8 +557,7 @@ def response_records(spark, sf_dir):
     """Scored responses written per variant as JSON records and read again."""
     path = fresh_path(spark, "records")
     pairs = src.prompts_and_replies(spark, sf_dir)
-    both = src.responses(pairs, "base").unionByName(src.responses(pairs, "adapter"))
-    scored = scoring.score_responses(both, ACCENTED).drop("seconds")
+    scored = scoring.score_responses(src.all_responses(pairs), ACCENTED).drop("seconds")
     jsonl.write_records(scored, path, ["variant"])
     return (
         spark.read.schema(scored.schema).json(path)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reference_rules import next_fit, scan
-from turnmill.config import Limits, THAI, TIERS, Tier, TokenLimits, tier_targets
+from turnmill.config import TIERS, tier_targets
 from turnmill.functions import messages as ms, text as tx
 from turnmill.functions.verdict import ACCEPTED
 from turnmill.operators import order, packing, quota
@@ -26,37 +26,35 @@ def test_cutoffs_are_exact(spark, digits, partitions):
     pick = random.Random(digits)
     rows = [(pick.choice("ab"), _md5(str(i // 2)), i) for i in range(3000)]  # keys come in pairs
     df = spark.createDataFrame(rows, "g string, key string, id bigint").repartition(partitions)
-    for k in (1, 2, 700, 10_000):
-        got = order.cutoffs(df, ["g"], "key", "id", F.lit(k), digits).collect()
-        for r in got:
-            mine = sorted((key, i) for g, key, i in rows if g == r["g"])
-            expected = mine[k - 1] if k <= len(mine) else (None, None)
-            assert (r["cut_key"], r["cut_ident"], r["n_rows"]) == (*expected, len(mine))
+    for k in (0, 1, 2, 700, 10_000):
+        cuts = order.cutoffs(df, "g", "key", "id", F.lit(k), digits)
+        assert set(cuts) == {"a", "b"}
+        for group, cut in cuts.items():
+            mine = sorted((key, i) for g, key, i in rows if g == group)
+            expected = mine[k - 1] if 0 < k <= len(mine) else (None, None)
+            assert cut == order.Cut(len(mine), k, *expected)
+            inside = df.filter(F.col("g") == group).filter(order.within_cut(cut, "key", "id"))
+            assert sorted((r["key"], r["id"]) for r in inside.collect()) == mine[:k]
 
 
 def test_hot_key_cutoff(spark):
     """A third of the rows in one group and all keys equal: the identifier decides."""
     df = spark.range(3000).select(F.lit("g").alias("g"), F.lit("f" * 32).alias("key"), "id")
-    row = order.cutoffs(df, ["g"], "key", "id", F.lit(1234)).first()
-    assert row["cut_ident"] == 1233
+    assert order.cutoffs(df, "g", "key", "id", F.lit(1234))["g"].ident == 1233
 
 
 def _quota(spark, flags_by_tier, targets):
-    tiers = tuple(Tier(name, i, 0.0, "target") for i, name in enumerate(flags_by_tier, 1))
-    quotas = quota.quota_table(spark, 0, tiers).drop("target").join(
-        spark.createDataFrame(list(targets.items()), "tier string, target bigint"), "tier"
-    )
     rows, ident = [], 0
     for tier, flags in flags_by_tier.items():
         for place, flag in enumerate(flags):
             key = f"{place:08x}" + _md5(f"{tier}{place}")
-            rows.append((ident, tier, ACCEPTED if flag else "invalid_x", key, targets[tier], place))
+            rows.append((ident, tier, ACCEPTED if flag else "invalid_x", key, place))
             ident += 1
     verdicts = spark.createDataFrame(
-        rows, "conv_id bigint, tier string, outcome string, draw_key string, target bigint, place int"
+        rows, "conv_id bigint, tier string, outcome string, draw_key string, place int"
     )
     marked = {}
-    for r in quota.apply_quota(verdicts, quotas).orderBy("tier", "place").collect():
+    for r in quota.apply_quota(verdicts, targets).orderBy("tier", "place").collect():
         marked.setdefault(r["tier"], ([], []))
         marked[r["tier"]][0].append(r["selected"])
         marked[r["tier"]][1].append(r["scanned"])
@@ -218,3 +216,35 @@ def test_curating_rows_end_to_end(spark):
         assert sum(r["split"] == "eval" for r in corpus) == int(len(corpus) * 0.2)
         assert len({r["messages"][0]["content"] for r in corpus}) == len(corpus)
     assert results[0] == results[1] == results[2]
+
+
+def test_early_stop_returns_the_same_rows(spark, monkeypatch):
+    """A tier far larger than its quota is judged in part, one left short to its end."""
+    n = 9000
+    pick = random.Random(9)
+    kinds = {"autoif": 0.5, "sovereign": 0.001, "tulu_sft_en": 0.9}
+    rows, place = [], 0
+    for tier, rate in kinds.items():
+        for _ in range(n // 3):
+            good = pick.random() < rate
+            text = "ไทยๆๆๆ" if (tier != "tulu_sft_en") == good else "plain"
+            rows.append((place, tier, [("user", f"{text} {place}"), ("assistant", f"{text} reply")]))
+            place += 1
+    df = spark.createDataFrame(rows, f"id bigint, tier string, messages {ms.MESSAGES_TYPE}")
+    quotas = quota.quota_table(spark, 100)
+    judged = []
+    kept = curate.materialize
+    monkeypatch.setattr(
+        curate, "materialize", lambda d, name: (judged.append(name), kept(d, name))[1]
+    )
+    made = curate.curate_rows(df.repartition(9), quotas)
+    assert judged.count("verdicts") == 2  # one tier had to be read on
+    got = {r["id"]: r["selected"] for r in made.verdicts.collect()}
+    targets, expected = tier_targets(100), {}
+    for tier, rate in kinds.items():
+        mine = sorted((r for r in rows if r[1] == tier), key=lambda r: (_md5(f"42:{tier}:{r[0]}"), r[0]))
+        flags = [("ไทย" in r[2][0][1]) == (tier != "tulu_sft_en") for r in mine]
+        selected, scanned = scan(flags, targets[tier])
+        expected.update({r[0]: s for r, s, looked in zip(mine, selected, scanned) if looked})
+    assert got == expected
+    assert sum(expected.values()) < 100 and len(expected) < n

@@ -2,27 +2,42 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET_DIGITS = 4  # 65,536 buckets of a hex key
 
 
-def cutoffs(
-    rows: DataFrame, groups: list[str], key: str, ident: str, k: Column, digits: int = BUCKET_DIGITS
-) -> DataFrame:
-    """The k-th row of each group in `(key, ident)` order: `groups, n_rows, k, cut_key, cut_ident`.
+@dataclass(frozen=True)
+class Cut:
+    """Where a group's first `k` rows end; `key` is None if it has fewer, or `k` is 0."""
+
+    n_rows: int
+    k: int
+    key: str | None = None
+    ident: int | str | None = None
 
-    `key` is a uniform hex string. `k` may use `n_rows` and columns of `groups`. Counting key
-    prefixes (a combined hash aggregate, at most 16**digits rows per group) tells which prefix
-    holds the k-th row; only rows with that prefix are then ranked. `cut_key` is NULL where
-    the group has fewer than `k` rows or `k` is 0. Groups must be few (tiers, or one constant):
-    one row for each is broadcast.
+
+def cutoffs(
+    rows: DataFrame,
+    group: str | None,
+    key: str,
+    ident: str,
+    k: Column,
+    digits: int = BUCKET_DIGITS,
+) -> dict[str | None, Cut]:
+    """The k-th row of each group in `(key, ident)` order.
+
+    `key` is a uniform hex string; `k` may use `group` and `n_rows`. Counting key prefixes (a
+    combined hash aggregate, at most 16**digits rows per group) tells which prefix holds the
+    k-th row, and only rows with that prefix are then ranked. Two passes over `rows`, which
+    should be a stored table. Groups must be few, such as tiers: a row for each is collected.
     """
+    groups = [] if group is None else [group]
     prefix = F.substring(key, 1, digits)
-    running = Window.partitionBy(*groups).orderBy("prefix").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
     whole = Window.partitionBy(*groups)
+    running = whole.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = (
         rows.groupBy(*groups, prefix.alias("prefix"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -31,30 +46,42 @@ def cutoffs(
         .withColumn("k", k.cast("bigint"))
     )
     holds_kth = (F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k"))
-    # One row per group: the bucket with the k-th row, or any row to carry the totals.
-    places = counted.groupBy(*groups).agg(
-        F.max("n_rows").alias("n_rows"),
-        F.max("k").alias("k"),
-        F.max(F.when(holds_kth, F.col("prefix"))).alias("prefix"),
-        F.max(F.when(holds_kth, F.col("k") - F.col("upto") + F.col("n"))).alias("rest"),
+    places = (
+        counted.groupBy(*groups, "n_rows", "k")
+        .agg(
+            F.max(F.when(holds_kth, F.col("prefix"))).alias("prefix"),
+            F.max(F.when(holds_kth, F.col("k") - F.col("upto") + F.col("n"))).alias("rest"),
+        )
+        .collect()
     )
-    ranked = Window.partitionBy(*groups).orderBy(key, ident)
+    name = lambda row: row[group] if groups else None
+    cuts = {name(row): Cut(row["n_rows"], row["k"]) for row in places}
+    inside = F.lit(False)
+    rank = F.when(F.lit(False), F.lit(0))
+    for row in places:
+        if row["prefix"] is not None:
+            mine = F.col(group) == row[group] if groups else F.lit(True)
+            inside = inside | (mine & F.col(key).startswith(row["prefix"]))
+            rank = rank.when(mine, F.lit(row["rest"]))
     found = (
-        rows.select(*groups, key, ident, prefix.alias("prefix"))
-        .join(F.broadcast(places.filter("rest is not null")), [*groups, "prefix"])
-        .withColumn("_rank", F.row_number().over(ranked))
-        .filter(F.col("_rank") == F.col("rest"))
-        .select(*groups, F.col(key).alias("cut_key"), F.col(ident).alias("cut_ident"))
-    )
-    return places.select(*groups, "n_rows", "k").join(found, groups, "left")
-
-
-def within_cutoff(key: str, ident: str, k: Column) -> Column:
-    """True for rows up to the cutoff; everything if the group has none, nothing if k is 0."""
-    at_or_before = (F.col(key) < F.col("cut_key")) | (
-        (F.col(key) == F.col("cut_key")) & (F.col(ident) <= F.col("cut_ident"))
+        rows.filter(inside)
+        .select(*groups, key, ident)
+        .withColumn("_rank", F.row_number().over(whole.orderBy(key, ident)))
+        .filter(F.col("_rank") == rank)
+        .collect()
     )
-    return F.when(k <= 0, False).when(F.col("cut_key").isNull(), True).otherwise(at_or_before)
+    for row in found:
+        cuts[name(row)] = replace(cuts[name(row)], key=row[key], ident=row[ident])
+    return cuts
+
+
+def within_cut(cut: Cut, key: str, ident: str) -> Column:
+    """True for the first `k` rows."""
+    if cut.k <= 0:
+        return F.lit(False)
+    if cut.key is None:
+        return F.lit(True)
+    return (F.col(key) < cut.key) | ((F.col(key) == cut.key) & (F.col(ident) <= cut.ident))
 
 
 def keep_first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

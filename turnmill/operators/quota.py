@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from turnmill.config import TIERS, Tier, tier_targets
 from turnmill.functions.verdict import ACCEPTED
-from turnmill.operators.order import cutoffs, within_cutoff
+from turnmill.operators.order import Cut, cutoffs, within_cut
 
 MAX_TIERS = 10_000
 
@@ -24,37 +24,42 @@ def quota_table(
     )
 
 
-def apply_quota(verdicts: DataFrame, quotas: DataFrame, ident: str = "conv_id") -> DataFrame:
-    """Add `scanned` and `selected` to `verdicts` (`ident, tier, outcome, draw_key, target`).
+def by_tier(values: dict) -> Column:
+    """The value of a row's tier."""
+    chosen = F.lit(None)
+    for tier, value in values.items():
+        chosen = F.when(F.col("tier") == tier, F.lit(value)).otherwise(chosen)
+    return chosen
+
+
+def apply_quota(
+    verdicts: DataFrame, targets: dict[str, int], ident: str = "conv_id"
+) -> DataFrame:
+    """Add `scanned` and `selected` to stored `verdicts` (`ident, tier, outcome, draw_key`).
 
     A tier is scanned in draw order until `target` rows are accepted. The cutoff of each tier is
     found first (`operators.order.cutoffs`); marking rows is then a comparison, with no shuffle.
     """
     accepted = verdicts.filter(F.col("outcome") == ACCEPTED)
-    cuts = cutoffs(accepted, ["tier", "target"], "draw_key", ident, F.col("target")).select(
-        "tier", "cut_key", "cut_ident"
-    )
-    bounds = quotas.select("tier").join(cuts, "tier", "left")
-    scanned = within_cutoff("draw_key", ident, F.col("target"))
-    return (
-        verdicts.join(F.broadcast(bounds), "tier")
-        .withColumn("scanned", scanned)
-        .withColumn("selected", F.col("scanned") & (F.col("outcome") == ACCEPTED))
-        .drop("cut_key", "cut_ident")
+    target = by_tier(targets)
+    cuts = cutoffs(accepted, "tier", "draw_key", ident, target)
+    # Without an accepted row there is no cutoff: all rows were looked at, unless none was wanted.
+    scanned = target > 0
+    for tier, cut in cuts.items():
+        scanned = F.when(F.col("tier") == tier, within_cut(cut, "draw_key", ident)).otherwise(
+            scanned
+        )
+    return verdicts.withColumn("scanned", scanned).withColumn(
+        "selected", F.col("scanned") & (F.col("outcome") == ACCEPTED)
     )
 
 
 def exact_split(
     rows: DataFrame, share: float, key: str = "split_key", ident: str = "conv_id"
 ) -> DataFrame:
-    """Add `split`: exactly `int(n * share)` rows are `eval`, the first in `key` order."""
-    keyed = rows.withColumn("_all", F.lit(0))
-    cut = cutoffs(
-        keyed, ["_all"], key, ident, F.floor(F.col("n_rows") * F.lit(float(share)))
-    ).select("_all", "k", "cut_key", "cut_ident")
-    in_eval = within_cutoff(key, ident, F.col("k"))
-    return (
-        keyed.join(F.broadcast(cut), "_all")
-        .withColumn("split", F.when(in_eval, "eval").otherwise("train"))
-        .drop("_all", "k", "cut_key", "cut_ident")
+    """Add `split` to stored rows: exactly `int(n * share)` are `eval`, the first in `key` order."""
+    k = F.floor(F.col("n_rows") * F.lit(float(share)))
+    cut = cutoffs(rows, None, key, ident, k).get(None, Cut(0, 0))
+    return rows.withColumn(
+        "split", F.when(within_cut(cut, key, ident), "eval").otherwise("train")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnmill.config import Limits, Script
 from turnmill.functions import messages as ms, text as tx
+from turnmill.session import materialize
 
 SEGMENT = 1024
 
@@ -159,9 +160,11 @@ def normalized_turns(turns: DataFrame, facts: DataFrame) -> DataFrame:
     """The normalised conversations, still one row per message: `conv_id, turn, role, content`.
 
     `facts` has one row per conversation, so the join stays one-to-many and a long
-    conversation's side can be split by the skew-join rule.
+    conversation's side can be split by the skew-join rule. Two joins need it, so it is stored.
     """
-    good = facts.filter("normalized").select("conv_id", "first_turn", "system_turn")
+    good = materialize(
+        facts.filter("normalized").select("conv_id", "first_turn", "system_turn"), "normal"
+    )
     kept = turns.filter(_is_kept()).join(good, "conv_id")
     systems = (
         turns.filter(_is_system())

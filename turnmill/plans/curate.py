@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnmill.config import OTHER_LANGUAGE_TIER, SEED, THAI, TARGET_SOURCE, Limits, Script
 from turnmill.functions import messages as ms, text as tx
-from turnmill.functions.verdict import measures_of, outcome
+from turnmill.functions.verdict import ACCEPTED, measures_of, outcome
 from turnmill.operators.order import keep_first
-from turnmill.operators.quota import apply_quota, exact_split
+from turnmill.operators.quota import apply_quota, by_tier, exact_split
 from turnmill.operators.turns import assemble, conversation_facts
 from turnmill.session import materialize
 
+# A tier is first judged over so many times its quota, plus a few rows for small quotas.
+FIRST_LOOK = 4
+FIRST_LOOK_SPARE = 200
+# Bounds on a hex key.
+NO_ROWS = ""
+ALL_ROWS = "g"
+
 
 def tier_of(dataset: Column, source: Column, main_dataset: str) -> Column:
     """Tier of a row. Sources are compared so that NULL and "" count as other sources."""
@@ -26,31 +34,30 @@ def tier_of(dataset: Column, source: Column, main_dataset: str) -> Column:
 
 @dataclass(frozen=True)
 class Curated:
-    """`verdicts`: one row per raw conversation with `tier, outcome, scanned, selected`.
-    `corpus`: what is left of the selected ones: `id, tier, tier_no, draw_key, split, messages`."""
+    """`verdicts`: `ident, tier, outcome, draw_key, selected` of every row a tier looked at.
+    `corpus`: what is left of the selected ones: `ident, tier, tier_no, split, messages`."""
 
     verdicts: DataFrame
     corpus: DataFrame
 
 
-def judge(
-    measured: DataFrame,
-    quotas: DataFrame,
-    script: Script,
-    limits: Limits,
-    seed: int = SEED,
-    ident: str = "conv_id",
-) -> DataFrame:
-    """Add the tier's quota row, `outcome` and `draw_key` to measured, tier-tagged rows."""
-    return (
-        measured.join(F.broadcast(quotas), "tier")
-        .withColumn("outcome", outcome(F.col("rule"), script, limits))
-        .withColumn("draw_key", tx.draw_key(seed, F.col("tier"), F.col(ident)))
-    )
+def _first_bounds(sizes: dict[str, int], targets: dict[str, int]) -> dict[str, str]:
+    """How far into each tier's draw order to look first, as an upper bound on the draw key."""
+    bounds = {}
+    for tier, target in targets.items():
+        share = (FIRST_LOOK * target + FIRST_LOOK_SPARE) / max(sizes.get(tier, 0), 1)
+        if target == 0:
+            bounds[tier] = NO_ROWS
+        elif share >= 0.5:
+            bounds[tier] = ALL_ROWS
+        else:
+            bounds[tier] = f"{int(share * 16**8):08x}"
+    return bounds
 
 
 def scan_verdicts(
-    measured: DataFrame,
+    candidates: DataFrame,
+    measure: Callable[[DataFrame], DataFrame],
     quotas: DataFrame,
     script: Script,
     limits: Limits,
@@ -58,11 +65,44 @@ def scan_verdicts(
     ident: str,
     places: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Judge measured rows, keep the narrow result, and mark what each tier scans and takes."""
-    judged = judge(measured, quotas, script, limits, seed, ident).select(
-        ident, "tier", "tier_no", "target", "outcome", "draw_key", *places
-    )
-    return apply_quota(materialize(judged, "verdicts"), quotas, ident)
+    """Judge rows in draw order until each tier's quota is full; the narrow result is stored.
+
+    `candidates` has `ident, tier` and whatever `measure` needs, which turns it into one row per
+    conversation with the measures and `tier`. A tier much larger than its quota is first judged
+    up to a bound that should fill it; only a tier left short is judged to its end. Either
+    way the rows returned are exactly those up to the one that fills the quota. What comes to
+    the driver is a number or two per tier.
+    """
+    keyed = candidates.withColumn("draw_key", tx.draw_key(seed, F.col("tier"), F.col(ident)))
+    targets = {row["tier"]: row["target"] for row in quotas.collect()}
+    known = keyed.filter(F.col("tier").isin(list(targets)))
+    sizes = known.groupBy("tier").agg(F.approx_count_distinct(ident).alias("n")).collect()
+    bounds = _first_bounds({row["tier"]: row["n"] for row in sizes}, targets)
+
+    def judged(part: DataFrame) -> DataFrame:
+        verdict = (
+            measure(part)
+            .join(F.broadcast(quotas), "tier")
+            .withColumn("outcome", outcome(F.col("rule"), script, limits))
+            .withColumn("draw_key", tx.draw_key(seed, F.col("tier"), F.col(ident)))
+        )
+        columns = [ident, "tier", "tier_no", "outcome", "draw_key", *places]
+        return materialize(verdict.select(*columns), "verdicts")
+
+    verdicts = judged(known.filter(F.col("draw_key") < by_tier(bounds)))
+    if any(bound not in (NO_ROWS, ALL_ROWS) for bound in bounds.values()):
+        accepted = verdicts.filter(F.col("outcome") == ACCEPTED).groupBy("tier").count().collect()
+        taken = {row["tier"]: row["count"] for row in accepted}
+        short = {
+            tier: bound
+            for tier, bound in bounds.items()
+            if bound != ALL_ROWS and taken.get(tier, 0) < targets[tier]
+        }
+        if short:
+            verdicts = verdicts.unionByName(
+                judged(known.filter(F.col("draw_key") >= by_tier(short)))
+            )
+    return apply_quota(verdicts, targets, ident).filter("scanned").drop("scanned")
 
 
 def _finish(
@@ -74,33 +114,57 @@ def _finish(
         "split_key", tx.draw_key(seed, "split", F.col(ident))
     )
     corpus = exact_split(materialize(unique, "unique"), limits.eval_share, "split_key", ident)
-    return Curated(
-        verdicts, corpus.select(ident, "tier", "tier_no", "draw_key", "split", "messages")
+    return Curated(verdicts, corpus.select(ident, "tier", "tier_no", "split", "messages"))
+
+
+def _chosen(verdicts: DataFrame, columns: list[str]) -> DataFrame:
+    """The selected rows as a stored table, whose real size decides how the text is joined: a
+    quota's few rows are broadcast, more than `autoBroadcastJoinThreshold` are not."""
+    return materialize(verdicts.filter("selected").select(*columns), "chosen")
+
+
+def turn_verdicts(
+    turns: DataFrame,
+    tier: Column | DataFrame,
+    quotas: DataFrame,
+    script: Script = THAI,
+    limits: Limits = Limits(),
+    seed: int = SEED,
+) -> DataFrame:
+    """Verdicts on conversations stored turn by turn (`conv_id, turn, role, text`).
+
+    `tier` is an expression over `conv_id`, or a table `conv_id, tier`.
+    """
+    if isinstance(tier, DataFrame):
+        label = lambda df: df.join(tier, "conv_id")
+    else:
+        label = lambda df: df.withColumn("tier", tier)
+    return scan_verdicts(
+        label(turns),
+        lambda part: label(conversation_facts(part.drop("tier"), script, limits)),
+        quotas,
+        script,
+        limits,
+        seed,
+        "conv_id",
+        ("system_turn",),
     )
 
 
 def curate_turns(
     turns: DataFrame,
-    tagged: DataFrame | None,
+    tier: Column | DataFrame,
     quotas: DataFrame,
     script: Script = THAI,
     limits: Limits = Limits(),
     seed: int = SEED,
-    tag: Column | None = None,
 ) -> Curated:
-    """Curate conversations stored turn by turn (`conv_id, turn, role, text`).
+    """Curate conversations stored turn by turn (see `turn_verdicts`).
 
-    The tier comes from `tagged` (`conv_id, tier`) or from `tag`, an expression over `conv_id`.
-    The text is scanned twice: once down to narrow facts, once for the selected conversations.
+    The text is scanned down to narrow facts first, then once more for the selected rows.
     """
-    facts = conversation_facts(turns, script, limits)
-    facts = facts.join(tagged, "conv_id") if tag is None else facts.withColumn("tier", tag)
-    verdicts = scan_verdicts(
-        facts, quotas, script, limits, seed, "conv_id", ("first_turn", "system_turn")
-    )
-    chosen = verdicts.filter("selected").select(
-        "conv_id", "tier", "tier_no", "draw_key", "system_turn"
-    )
+    verdicts = turn_verdicts(turns, tier, quotas, script, limits, seed)
+    chosen = _chosen(verdicts, ["conv_id", "tier", "tier_no", "draw_key", "system_turn"])
     texts = assemble(turns, chosen).drop("system_turn")
     return _finish(verdicts, texts, limits, seed, "conv_id")
 
@@ -115,13 +179,17 @@ def curate_rows(
 ) -> Curated:
     """Curate conversations stored one per row (`ident, tier, messages`).
 
-    `messages` is a typed array or JSON text. Only narrow verdicts are kept of the first pass;
-    the second normalises the selected rows again, which is cheaper than storing every text.
+    Only narrow verdicts are kept of the first pass; the second normalises the selected rows
+    again, which is cheaper than storing every text.
     """
-    normal = _normalized(rows)
-    measured = measures_of(normal, "messages", script, limits).drop("messages")
-    verdicts = scan_verdicts(measured, quotas, script, limits, seed, ident)
-    chosen = verdicts.filter("selected").select(ident, "tier_no", "draw_key")
+
+    def measure(part: DataFrame) -> DataFrame:
+        return measures_of(_normalized(part), "messages", script, limits).drop(
+            "messages", "draw_key"
+        )
+
+    verdicts = scan_verdicts(rows, measure, quotas, script, limits, seed, ident)
+    chosen = _chosen(verdicts, [ident, "tier_no", "draw_key"])
     texts = _normalized(rows.join(chosen, ident)).select(*chosen.columns, "tier", "messages")
     return _finish(verdicts, texts, limits, seed, ident)
 
@@ -137,8 +205,7 @@ def _normalized(rows: DataFrame) -> DataFrame:
 def reason_counts(verdicts: DataFrame) -> DataFrame:
     """Rows per tier and outcome among the rows a tier had to look at."""
     return (
-        verdicts.filter("scanned")
-        .groupBy("tier", "tier_no", "outcome")
+        verdicts.groupBy("tier", "tier_no", "outcome")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy("tier_no", "outcome")
         .select("tier", "outcome", "n")
