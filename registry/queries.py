@@ -10,7 +10,7 @@ from turnmill.config import PROFILE_ROWS, SEED, TIERS
 from turnmill.functions import messages as ms, text as tx
 from turnmill.functions.verdict import measures_of, other_reason, outcome, target_reason
 from turnmill.operators import order, packing, quota
-from turnmill.operators.turns import conversation_facts, first_messages, normalized_turns
+from turnmill.operators.turns import conversation_facts, normalized_turns, openings
 from turnmill.plans import audits, curate, profile, scoring
 from turnmill.session import fresh_path, materialize
 from turnmill.sources import jsonl, tables
@@ -300,11 +300,12 @@ def tier_quota_counts(spark, sf_dir):
 def dedup_first_prompt(spark, sf_dir):
     """Every normalised conversation, first of those with the same opening kept."""
     turns = src.turns(spark, sf_dir)
-    opening = first_messages(turns, conversation_facts(turns, ACCENTED, LIMITS))
+    n = LIMITS.dedup_chars
+    opening = openings(turns, conversation_facts(turns, ACCENTED, LIMITS), n)
     numbers = F.create_map(*[F.lit(x) for t in TIERS for x in (t.name, t.number)])
     keyed = opening.select(
         "conv_id",
-        tx.prefix_key(F.col("first_text"), LIMITS.dedup_chars).alias("dedup_key"),
+        tx.prefix_key(F.col("opening"), n).alias("dedup_key"),
         numbers[src.tier()].alias("tier_no"),
         tx.draw_key(SEED, src.tier(), F.col("conv_id")).alias("draw_key"),
     )

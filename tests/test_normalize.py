@@ -8,12 +8,7 @@ from reference_rules import NBSP_BLANK, measures, normal_form
 from turnmill.config import THAI, Limits, Script
 from turnmill.functions import messages as ms
 from turnmill.functions.verdict import measures_of, other_reason, target_reason
-from turnmill.operators.turns import (
-    assemble,
-    conversation_facts,
-    first_messages,
-    normalized_turns,
-)
+from turnmill.operators.turns import assemble, conversation_facts, normalized_turns, openings
 
 
 def message(role):
@@ -183,8 +178,9 @@ def test_turn_outputs_agree_with_the_rules(spark):
     arrays = {r["conv_id"]: [tuple(m) for m in r["messages"]] for r in assemble(turns, chosen).collect()}
     assert arrays == normal
 
-    openings = {r["conv_id"]: r["first_text"] for r in first_messages(turns, facts).collect()}
-    assert openings == {c: chat[0][1] for c, chat in normal.items()}
+    for n in (3, 500):
+        got = {r["conv_id"]: r["opening"] for r in openings(turns, facts, n).collect()}
+        assert got == {c: chat[0][1][:n] for c, chat in normal.items()}
 
 
 def test_one_conversation_with_a_third_of_all_turns(spark):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from turnmill.config import EFFECTIVE_BATCH, PACKED_LENGTH
+from turnmill.session import materialize
 
 ROWS_PER_SHARD = 50_000
 KEY_DIGITS = 12  # 48 bits of the draw key place a row in a shard
@@ -36,13 +39,12 @@ def packing_plan(
     is inside a bounded shard of three narrow columns. Next-fit closes a bin when the next item
     does not fit; an item over `capacity` gets a bin alone.
     """
-    n_shards = F.greatest(
-        rows.agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_shard)).alias("n")).scalar(), F.lit(1)
-    )
+    stored = materialize(rows.select(ident, F.col("n_tokens").cast("bigint"), "draw_key"), "pack")
+    n_shards = max(1, math.ceil(stored.count() / rows_per_shard))
     # The leading bits of a uniform key, scaled to 0..n_shards-1, keep shards in key order.
     place = F.conv(F.substring("draw_key", 1, KEY_DIGITS), 16, 10).cast("double")
-    shard = F.floor(place * n_shards / F.lit(float(16**KEY_DIGITS)))
-    narrow = rows.select(ident, F.col("n_tokens").cast("bigint"), "draw_key", shard.alias("shard"))
+    shard = F.floor(place * F.lit(float(n_shards)) / F.lit(float(16**KEY_DIGITS)))
+    narrow = stored.withColumn("shard", shard)
 
     def pack(shard_rows: pd.DataFrame) -> pd.DataFrame:
         ordered = shard_rows.sort_values(["draw_key", ident], ignore_index=True)

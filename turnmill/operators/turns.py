@@ -190,22 +190,32 @@ def normalized_turns(turns: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
-def first_messages(turns: DataFrame, facts: DataFrame) -> DataFrame:
-    """The first normalised message of each conversation in `facts`: `conv_id, first_text`."""
-    places = facts.filter("normalized").select(
-        "conv_id",
-        F.explode(F.array("system_turn", "first_turn")).alias("turn"),
-        F.col("first_turn"),
-    ).filter("turn is not null")
-    # At most two short-keyed rows meet per conversation, so the last group is bounded.
+def openings(turns: DataFrame, facts: DataFrame, n: int) -> DataFrame:
+    """The first `n` characters of each normalised conversation: `conv_id, opening`.
+
+    `n` characters of the system text and of the first user text hold them, so no more of any
+    text is shuffled.
+    """
+    # At most two rows per conversation, so the last group below is bounded.
+    places = (
+        facts.filter("normalized")
+        .select("conv_id", "first_turn", F.explode(F.array("system_turn", "first_turn")).alias("turn"))
+        .filter("turn is not null")
+    )
+    starts = turns.filter(F.col("role").isin("user", "system")).select(
+        "conv_id", "turn", F.substring("text", 1, n).alias("start")
+    )
+    is_first = F.col("turn") == F.col("first_turn")
     return (
-        turns.join(places, ["conv_id", "turn"])
+        starts.join(places, ["conv_id", "turn"])
         .groupBy("conv_id")
         .agg(
-            F.max(F.when(F.col("turn") == F.col("first_turn"), F.col("text"))).alias("_user"),
-            F.max(F.when(F.col("turn") != F.col("first_turn"), F.col("text"))).alias("_system"),
+            F.max(F.when(~is_first, F.col("start"))).alias("_system"),
+            F.max(F.when(is_first, F.col("start"))).alias("_user"),
+        )
+        .select(
+            "conv_id", F.substring(F.concat_ws("\n\n", "_system", "_user"), 1, n).alias("opening")
         )
-        .select("conv_id", F.concat_ws("\n\n", "_system", "_user").alias("first_text"))
     )
 
 
