@@ -248,3 +248,27 @@ def test_early_stop_returns_the_same_rows(spark, monkeypatch):
         expected.update({r[0]: s for r, s, looked in zip(mine, selected, scanned) if looked})
     assert got == expected
     assert sum(expected.values()) < 100 and len(expected) < n
+
+
+@pytest.mark.parametrize("total", [50, 5000])
+def test_tier_from_a_table_or_an_expression(spark, total):
+    """Both ways, with and without an early stop, agree with each other and keep the quota."""
+    n = 3000
+    rows = [
+        (c, t, ("user", "assistant")[t], f"{'ไทยๆๆๆ' if c % 2 else 'plain'} text {c} {t}")
+        for c in range(n)
+        for t in (0, 1)
+    ]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    tier = F.when(F.col("conv_id") % 4 < 2, "autoif").otherwise("tulu_sft_en")
+    table = turns.select("conv_id").distinct().withColumn("tier", tier)
+    quotas = quota.quota_table(spark, total)
+    seen = []
+    for way in (tier, table):
+        made = curate.curate_turns(turns, way, quotas)
+        seen.append(sorted((r["conv_id"], r["tier"], r["split"]) for r in made.corpus.collect()))
+        got = curate.quota_counts(made.verdicts, quotas).collect()
+        expected = {"autoif": min(n // 4, int(total * 0.4)), "sovereign": 0,
+                    "tulu_sft_en": min(n // 4, int(total * 0.4))}
+        assert {r["tier"]: r["collected"] for r in got} == expected
+    assert seen[0] == seen[1]

@@ -56,8 +56,8 @@ def _first_bounds(sizes: dict[str, int], targets: dict[str, int]) -> dict[str, s
 
 
 def scan_verdicts(
-    candidates: DataFrame,
-    measure: Callable[[DataFrame], DataFrame],
+    tiers: DataFrame,
+    measure: Callable[[Column | None], DataFrame],
     quotas: DataFrame,
     script: Script,
     limits: Limits,
@@ -67,21 +67,21 @@ def scan_verdicts(
 ) -> DataFrame:
     """Judge rows in draw order until each tier's quota is full; the narrow result is stored.
 
-    `candidates` has `ident, tier` and whatever `measure` needs, which turns it into one row per
-    conversation with the measures and `tier`. A tier much larger than its quota is first judged
-    up to a bound that should fill it; only a tier left short is judged to its end. Either
-    way the rows returned are exactly those up to the one that fills the quota. What comes to
-    the driver is a number or two per tier.
+    `tiers` has `ident, tier` of every candidate, repeated or not. `measure` gives one row per
+    conversation with the measures and `tier`, for all of them or those that meet a condition
+    on `tier` and `draw_key`. A tier much larger than its quota is first judged up to a bound
+    that should fill it; only a tier left short is judged to its end. Either way the rows
+    returned are exactly those up to the one that fills the quota. What comes to the driver is
+    a number or two per tier.
     """
-    keyed = candidates.withColumn("draw_key", tx.draw_key(seed, F.col("tier"), F.col(ident)))
     targets = {row["tier"]: row["target"] for row in quotas.collect()}
-    known = keyed.filter(F.col("tier").isin(list(targets)))
+    known = tiers.filter(F.col("tier").isin(list(targets)))
     sizes = known.groupBy("tier").agg(F.approx_count_distinct(ident).alias("n")).collect()
     bounds = _first_bounds({row["tier"]: row["n"] for row in sizes}, targets)
 
-    def judged(part: DataFrame) -> DataFrame:
+    def judged(condition: Column | None) -> DataFrame:
         verdict = (
-            measure(part)
+            measure(condition)
             .join(F.broadcast(quotas), "tier")
             .withColumn("outcome", outcome(F.col("rule"), script, limits))
             .withColumn("draw_key", tx.draw_key(seed, F.col("tier"), F.col(ident)))
@@ -89,8 +89,10 @@ def scan_verdicts(
         columns = [ident, "tier", "tier_no", "outcome", "draw_key", *places]
         return materialize(verdict.select(*columns), "verdicts")
 
-    verdicts = judged(known.filter(F.col("draw_key") < by_tier(bounds)))
-    if any(bound not in (NO_ROWS, ALL_ROWS) for bound in bounds.values()):
+    if set(bounds.values()) == {ALL_ROWS}:
+        verdicts = judged(None)
+    else:
+        verdicts = judged(F.col("draw_key") < by_tier(bounds))
         accepted = verdicts.filter(F.col("outcome") == ACCEPTED).groupBy("tier").count().collect()
         taken = {row["tier"]: row["count"] for row in accepted}
         short = {
@@ -99,9 +101,8 @@ def scan_verdicts(
             if bound != ALL_ROWS and taken.get(tier, 0) < targets[tier]
         }
         if short:
-            verdicts = verdicts.unionByName(
-                judged(known.filter(F.col("draw_key") >= by_tier(short)))
-            )
+            rest = judged(F.col("draw_key") >= by_tier(short))
+            verdicts = verdicts.unionByName(rest)
     return apply_quota(verdicts, targets, ident).filter("scanned").drop("scanned")
 
 
@@ -135,13 +136,22 @@ def turn_verdicts(
 
     `tier` is an expression over `conv_id`, or a table `conv_id, tier`.
     """
-    if isinstance(tier, DataFrame):
-        label = lambda df: df.join(tier, "conv_id")
-    else:
-        label = lambda df: df.withColumn("tier", tier)
+    by_table = isinstance(tier, DataFrame)
+    label = lambda df: df.join(tier, "conv_id") if by_table else df.withColumn("tier", tier)
+    keyed = lambda df: df.withColumn("draw_key", tx.draw_key(seed, F.col("tier"), F.col("conv_id")))
+
+    def measure(condition: Column | None) -> DataFrame:
+        part = turns
+        if condition is not None and by_table:
+            ids = materialize(keyed(tier).filter(condition).select("conv_id"), "looked-at")
+            part = turns.join(ids, "conv_id", "left_semi")
+        elif condition is not None:
+            part = keyed(label(turns)).filter(condition)
+        return label(conversation_facts(part, script, limits))
+
     return scan_verdicts(
-        label(turns),
-        lambda part: label(conversation_facts(part.drop("tier"), script, limits)),
+        tier if by_table else label(turns.select("conv_id")),
+        measure,
         quotas,
         script,
         limits,
@@ -183,12 +193,16 @@ def curate_rows(
     again, which is cheaper than storing every text.
     """
 
-    def measure(part: DataFrame) -> DataFrame:
-        return measures_of(_normalized(part), "messages", script, limits).drop(
-            "messages", "draw_key"
-        )
+    def measure(condition: Column | None) -> DataFrame:
+        part = rows
+        if condition is not None:
+            key = tx.draw_key(seed, F.col("tier"), F.col(ident))
+            part = rows.withColumn("draw_key", key).filter(condition).drop("draw_key")
+        return measures_of(_normalized(part), "messages", script, limits).drop("messages")
 
-    verdicts = scan_verdicts(rows, measure, quotas, script, limits, seed, ident)
+    verdicts = scan_verdicts(
+        rows.select(ident, "tier"), measure, quotas, script, limits, seed, ident
+    )
     chosen = _chosen(verdicts, [ident, "tier_no", "draw_key"])
     texts = _normalized(rows.join(chosen, ident)).select(*chosen.columns, "tier", "messages")
     return _finish(verdicts, texts, limits, seed, ident)
