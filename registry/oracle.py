@@ -391,12 +391,12 @@ FROM final GROUP BY tier""",
 {CURATED} SELECT CASE WHEN tier = 'tulu_sft_en' THEN 'other' ELSE 'target' END AS language,
        count(*) AS n, {pct('count(*)', '(SELECT count(*) FROM final)')} AS pct FROM final GROUP BY 1""",
     "jsonl_roundtrip": f"""
-{CURATED} SELECT split AS corpus, 'valid' AS code, count(*) AS n_lines, 1 AS first_line,
+{CURATED} SELECT split AS corpus, 'valid' AS code, count(*) AS n_lines, 1::BIGINT AS first_line,
        count(*) AS last_line, sum(n_messages)::BIGINT AS n_messages,
        count(*) FILTER (WHERE {has_script('txt')}) AS n_script FROM final GROUP BY split""",
     "read_back_prompts": f"""
 WITH {EXCHANGES} SELECT md5(asked) AS prompt_md5, substring(asked, 1, 60) AS preview,
-       1 AS n_messages FROM x""",
+       1::BIGINT AS n_messages FROM x""",
     "format_audit_lines": f"""
 WITH {AUDITED} SELECT corpus, line_no, code, msg_index, detail, n_messages, has_script FROM audited""",
     "format_audit_exchanges": f"""
@@ -465,7 +465,7 @@ WITH {PAIRS} SELECT variant, count(*) AS n_prompts, count(*) FILTER (WHERE tp) A
        {pct('count(*) FILTER (WHERE tp AND tr)', 'count(*) FILTER (WHERE tp)')} AS pct_target_kept,
        count(*) FILTER (WHERE NOT tp AND NOT tr) AS other_kept,
        {pct('count(*) FILTER (WHERE NOT tp AND NOT tr)', 'count(*) FILTER (WHERE NOT tp)')} AS pct_other_kept,
-       avg(seconds) AS mean_seconds FROM scored GROUP BY variant""",
+       sum(seconds::DECIMAL(18,6))::DOUBLE / count(*) AS mean_seconds FROM scored GROUP BY variant""",
     "response_records": f"""
 WITH {PAIRS} SELECT variant, count(*) AS n, sum(n_chars)::BIGINT AS n_chars FROM scored GROUP BY variant""",
     "ab_comparison": f"WITH {COMPARED} SELECT * FROM compared",

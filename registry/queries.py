@@ -96,15 +96,13 @@ def exchange_text(spark, sf_dir):
 @query
 def json_conversation_text(spark, sf_dir):
     """Text of conversations stored as JSON, whatever the JSON holds."""
-    document = ms.parse_json(F.col("json"))
-    items = ms.elements(document)
-    first = F.try_element_at(items, F.lit(1))
-    content = F.try_variant_get(first, "$.content", "variant")
-    return src.chat_json(spark, sf_dir).select(
+    parsed = src.chat_json(spark, sf_dir).withColumn("document", ms.parse_json(F.col("json")))
+    first = F.try_variant_get("document", "$[0].content", "variant")
+    return parsed.select(
         "doc_id",
-        F.size(items).cast("bigint").alias("n_items"),
-        F.md5(ms.conversation_text(document, F.col("json"))).alias("text_md5"),
-        ms.written_preview(content, 150).alias("first_preview"),
+        F.size(ms.elements(F.col("document"))).cast("bigint").alias("n_items"),
+        F.md5(ms.conversation_text(F.col("document"), F.col("json"))).alias("text_md5"),
+        ms.written_preview(first, 150).alias("first_preview"),
     )
 
 
@@ -163,7 +161,8 @@ def sample_messages(spark, sf_dir):
     shown = profile.sample_by_class(main).select("conv_id").unionByName(
         profile.first_of_each(rest).select("conv_id")
     )
-    return profile.sample_messages(src.turns(spark, sf_dir), shown)
+    messages = profile.sample_messages(src.turns(spark, sf_dir), shown)
+    return messages.withColumn("place", F.col("place").cast("bigint"))
 
 
 @query

@@ -80,6 +80,32 @@ def test_tool_calls_truth(spark):
         assert (got is None) == name.startswith("truthy"), name
 
 
+def test_what_counts_as_a_json_document(spark):
+    """As Python's own parser has it."""
+    cases = [
+        "[1]", " [1] ", '{"a":1}', "5", "null", '"x"', "NaN", "-Infinity", "[]", "1.5e3", "[NaN]",
+        "", " ", "[1] [2]", "[1],[2]", '{"a":1} xyz', "[1]], [", "1], [2", "[1,]", "[1,2", "nul",
+        "{'a':1}", '"x', "01", "// c\n1", "[1]\u00a0", "\ufeff[1]", "[1],2,[3", "], [", '["\t"]',
+    ]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, raw string")
+    got = df.orderBy("i").select(ms.parse_json(F.col("raw")).isNotNull()).collect()
+    for case, row in zip(cases, got):
+        try:
+            json.loads(case)
+            valid = True
+        except ValueError:
+            valid = False
+        assert row[0] == valid, case
+
+
+def test_very_long_texts_are_parsed_whole(spark):
+    raw = F.concat(F.lit('[{"content":"'), F.repeat(F.lit("x" * 1024), 24 * 1024), F.lit('"}]'))
+    document = ms.parse_json(F.col("raw"))
+    text = ms.conversation_text(document, F.lit("not read"))
+    row = spark.range(1).select(raw.alias("raw")).select(F.length(text)).first()
+    assert row[0] == 24 * 1024 * 1024
+
+
 def test_last_of_equal_json_keys_wins(spark):
     raw = '[{"role":"system","role":"user","content":"q"},{"role":"assistant","content":"r"}]'
     assert _normalized_json(spark, [("x", raw)])["x"] == [("user", "q"), ("assistant", "r")]

@@ -19,9 +19,26 @@ from turnmill.functions import text as tx
 MESSAGES_TYPE = "array<struct<role:string,content:string>>"
 
 
+# No single quotes, as JSON has it; texts may be as long as a string can be.
+JSON_OPTIONS = {"allowSingleQuotes": "false", "maxStringLen": str(2**31 - 1)}
+
+
 def parse_json(raw: Column) -> Column:
-    """The document as VARIANT; NULL where it is not JSON."""
-    return F.try_parse_json(raw)
+    """The document as VARIANT; NULL where the whole text is not one JSON document.
+
+    The parser stops after the first value, so the text is put in a list with its own hash
+    behind it: unless exactly these two come back, the text was something else.
+    """
+    mark = F.xxhash64(raw)
+    listed = F.from_json(
+        F.concat(F.lit("["), raw, F.lit(","), mark.cast("string"), F.lit("]")),
+        "variant",
+        JSON_OPTIONS,
+    )
+    at = lambda d, i, kind: F.try_variant_get(d, f"$[{i}]", kind)
+    whole = lambda d: (at(d, 1, "bigint") == mark) & at(d, 2, "variant").isNull()
+    # The lambda binds the parsed list, which would otherwise be parsed for each use of it.
+    return F.transform(F.array(listed), lambda d: F.when(whole(d), at(d, 0, "variant")))[0]
 
 
 def elements(document: Column) -> Column:
@@ -215,7 +232,8 @@ def conversation_text(document: Column, raw: Column | None = None, decode: bool
         )
 
     joined = F.array_join(F.filter(F.transform(items, part), lambda p: p.isNotNull()), " ")
-    text = F.when(items.isNotNull(), joined).when(document.isNotNull(), F.lit(""))
+    # `joined` is NULL unless the document is a list.
+    text = F.coalesce(joined, F.when(document.isNotNull(), F.lit("")))
     return text if raw is None else F.coalesce(text, raw, F.lit(""))
 
 

@@ -39,7 +39,8 @@ def score_summary(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
         tx.percent(kept_target, n_target).alias("pct_target_kept"),
         kept_other.alias("other_kept"),
         tx.percent(kept_other, n - n_target).alias("pct_other_kept"),
-        F.avg("seconds").alias("mean_seconds"),
+        # Summed as decimals, so that the mean does not depend on the order of the rows.
+        (F.sum(F.col("seconds").cast("decimal(18,6)")).cast("double") / n).alias("mean_seconds"),
     )
 
 
