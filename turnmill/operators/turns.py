@@ -34,7 +34,7 @@ def _signals(turns: DataFrame, script: Script, segment: int) -> DataFrame:
     return turns.select(
         "conv_id",
         "turn",
-        F.floor(F.col("turn") / segment).alias("seg"),
+        F.expr(f"turn div {segment}").alias("seg"),
         _is_system().alias("is_system"),
         F.when(_is_kept(), F.col("role") == "user").alias("is_user"),
         F.coalesce(F.length(text), F.lit(0)).cast("bigint").alias("chars"),
@@ -159,34 +159,31 @@ def conversation_facts(
 def normalized_turns(turns: DataFrame, facts: DataFrame) -> DataFrame:
     """The normalised conversations, still one row per message: `conv_id, turn, role, content`.
 
-    `facts` has one row per conversation, so the join stays one-to-many and a long
-    conversation's side can be split by the skew-join rule. Two joins need it, so it is stored.
+    `facts` has one row per conversation, so texts are shuffled once, for a one-to-many join
+    whose long conversations the skew-join rule can split. Two joins need it, so it is stored.
     """
     good = materialize(
         facts.filter("normalized").select("conv_id", "first_turn", "system_turn"), "normal"
     )
-    kept = turns.filter(_is_kept()).join(good, "conv_id")
     systems = (
         turns.filter(_is_system())
         .select("conv_id", F.col("turn").alias("system_turn"), F.col("text").alias("system"))
-        .join(
-            good.filter("system_turn is not null").select(
-                "conv_id", "system_turn", F.col("first_turn").alias("turn")
-            ),
-            ["conv_id", "system_turn"],
-        )
-        .select("conv_id", "turn", "system")
+        .join(good.filter("system_turn is not null"), ["conv_id", "system_turn"])
+        .select("conv_id", "system")
     )
-    return kept.join(systems, ["conv_id", "turn"], "left").select(
-        "conv_id",
-        "turn",
-        "role",
-        F.when(
-            F.col("system").isNotNull(),
-            F.concat(F.col("system"), F.lit("\n\n"), F.col("text")),
+    openers = good.select("conv_id", "first_turn").join(systems, "conv_id", "left")
+    merged = F.col("system").isNotNull() & (F.col("turn") == F.col("first_turn"))
+    return (
+        turns.filter(_is_kept())
+        .join(openers, "conv_id")
+        .select(
+            "conv_id",
+            "turn",
+            "role",
+            F.when(merged, F.concat(F.col("system"), F.lit("\n\n"), F.col("text")))
+            .otherwise(F.col("text"))
+            .alias("content"),
         )
-        .otherwise(F.col("text"))
-        .alias("content"),
     )
 
 
