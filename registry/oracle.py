@@ -173,6 +173,16 @@ TOKEN_LINES = f"""
 lines AS (SELECT CASE WHEN conv_id % 5 = 0 THEN 'eval.jsonl' ELSE 'train.jsonl' END AS corpus,
                  conv_id AS line_no, {tokens('length(txt)', n_script('txt'))} AS n_tokens FROM raw)"""
 
+# From `lines` (corpus, n_tokens).
+DISTRIBUTION = """
+s AS (SELECT corpus, list(n_tokens ORDER BY n_tokens) AS v, count(*) AS n, avg(n_tokens) AS mean,
+             count(*) FILTER (WHERE n_tokens > 700 AND n_tokens <= 1000) AS over_warn,
+             count(*) FILTER (WHERE n_tokens > 1000) AS over_max FROM lines GROUP BY corpus)
+SELECT corpus, n, v[1] AS low, v[n] AS high, mean, v[n // 2 + 1] AS median,
+       v[CAST(trunc(n * 0.9::DOUBLE) AS BIGINT) + 1] AS p90,
+       v[CAST(trunc(n * 0.95::DOUBLE) AS BIGINT) + 1] AS p95,
+       v[CAST(trunc(n * 0.99::DOUBLE) AS BIGINT) + 1] AS p99, over_warn, over_max FROM s"""
+
 # What each JSON shape of registry.inputs normalises to, by its number.
 _SHAPE = f"doc_id % {len(CHAT_SHAPES)}"
 REPLY = "'Re: ' || source"
@@ -296,6 +306,31 @@ FROM tagged WHERE dataset = 'sft' GROUP BY source""",
     "turn_stats": f"""
 WITH {RAW} SELECT min(n_messages) AS min_messages, max(n_messages) AS max_messages,
        avg(n_messages) AS mean_messages FROM raw""",
+    "row_turn_stats": f"""
+WITH {EXCHANGES}, n AS (SELECT 1 + (system IS NOT NULL)::BIGINT + (reply IS NOT NULL)::BIGINT AS n FROM x)
+SELECT min(n) AS min_messages, max(n) AS max_messages, avg(n) AS mean_messages FROM n""",
+    "row_script_share": f"""
+WITH {EXCHANGES}, f AS (SELECT {SOURCE} AS source, {has_script(X_TEXT)} AS has_script FROM x)
+SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE has_script) AS n_script,
+       {pct('count(*) FILTER (WHERE has_script)', 'count(*)')} AS pct_script FROM f GROUP BY source""",
+    "json_script_share": f"""
+WITH f AS (SELECT {has_script(f'({CHAT_TEXT})')} AS has_script FROM documents)
+SELECT 'unknown' AS source, count(*) AS n_rows, count(*) FILTER (WHERE has_script) AS n_script,
+       {pct('count(*) FILTER (WHERE has_script)', 'count(*)')} AS pct_script FROM f""",
+    "row_sample_messages": f"""
+WITH {EXCHANGES},
+classed AS (SELECT id, system, asked, reply,
+                   CASE WHEN coalesce(source, '') = 'autoif' THEN 'autoif'
+                        WHEN coalesce(source, '') = '' THEN 'empty'
+                        WHEN source LIKE 'ai2%' THEN 'ai2' END AS class
+            FROM (SELECT *, {SOURCE} AS source FROM x WHERE {DATASET} = 'sft' ORDER BY id LIMIT 1000)),
+first AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY id) AS r
+                         FROM classed WHERE class IS NOT NULL) WHERE r = 1),
+shown AS (SELECT id, 0 AS o, 'system' AS role, system AS text FROM first
+          UNION ALL SELECT id, 1, 'user', asked FROM first
+          UNION ALL SELECT id, 2, 'assistant', reply FROM first)
+SELECT id, row_number() OVER (PARTITION BY id ORDER BY o) AS place, role,
+       substring(text, 1, 150) AS preview FROM shown WHERE text IS NOT NULL""",
     "script_share_first_n": f"""
 WITH {HEAD} SELECT count(*) AS n_rows, count(*) FILTER (WHERE has_script) AS n_script,
        {pct('count(*) FILTER (WHERE has_script)', 'count(*)')} AS pct_script FROM flagged""",
@@ -422,14 +457,12 @@ SELECT corpus, line_no, code, place FROM (
 WITH {AUDITED} SELECT count(*) FILTER (WHERE code <> 'valid') AS n_errors,
        count(*) FILTER (WHERE code <> 'valid') = 0 AS passed FROM audited""",
     "token_distribution": f"""
-WITH {TOKEN_LINES},
-s AS (SELECT corpus, list(n_tokens ORDER BY n_tokens) AS v, count(*) AS n, avg(n_tokens) AS mean,
-             count(*) FILTER (WHERE n_tokens > 700 AND n_tokens <= 1000) AS over_warn,
-             count(*) FILTER (WHERE n_tokens > 1000) AS over_max FROM lines GROUP BY corpus)
-SELECT corpus, n, v[1] AS low, v[n] AS high, mean, v[n // 2 + 1] AS median,
-       v[CAST(trunc(n * 0.9::DOUBLE) AS BIGINT) + 1] AS p90,
-       v[CAST(trunc(n * 0.95::DOUBLE) AS BIGINT) + 1] AS p95,
-       v[CAST(trunc(n * 0.99::DOUBLE) AS BIGINT) + 1] AS p99, over_warn, over_max FROM s""",
+WITH {TOKEN_LINES}, {DISTRIBUTION}""",
+    "token_audit_of_lines": f"""
+WITH {EXCHANGES},
+lines AS (SELECT CASE WHEN system IS NOT NULL OR reply IS NOT NULL THEN 'train' ELSE 'eval' END AS corpus,
+                 {tokens(f'length({X_TEXT})', n_script(X_TEXT))} AS n_tokens FROM x),
+{DISTRIBUTION}""",
     "token_over_limit": f"""
 WITH {TOKEN_LINES},
 o AS (SELECT *, CASE WHEN n_tokens > 1000 THEN 'max' ELSE 'warn' END AS over FROM lines WHERE n_tokens > 700),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from registry import inputs as src
 from registry.inputs import ACCENTED, LIMITS, TOKEN_LIMITS
-from turnmill.config import PROFILE_ROWS, SEED, TIERS
+from turnmill.config import PROFILE_ROWS, SEED, TIERS, TokenLimits
 from turnmill.functions import messages as ms, text as tx
 from turnmill.functions.verdict import measures_of, other_reason, outcome, target_reason
 from turnmill.operators import order, packing, quota
@@ -114,7 +114,34 @@ def source_histogram(spark, sf_dir):
 
 @query
 def turn_stats(spark, sf_dir):
-    return profile.turn_stats(src.turns(spark, sf_dir))
+    return profile.turn_stats(profile.turn_counts(src.turns(spark, sf_dir)))
+
+
+@query
+def row_turn_stats(spark, sf_dir):
+    return profile.turn_stats(profile.measured_rows(src.exchanges(spark, sf_dir), ACCENTED))
+
+
+@query
+def row_script_share(spark, sf_dir):
+    rows = src.exchanges(spark, sf_dir).withColumn("source", src.source())
+    return profile.script_share_by_source(profile.measured_rows(rows, ACCENTED))
+
+
+@query
+def json_script_share(spark, sf_dir):
+    """Conversations as JSON text, in a table without a source column."""
+    rows = src.chat_json(spark, sf_dir).select(F.col("json").alias("messages"))
+    return profile.script_share_by_source(profile.measured_rows(rows, ACCENTED))
+
+
+@query
+def row_sample_messages(spark, sf_dir):
+    """The first exchange of every class, message by message."""
+    rows = src.exchanges(spark, sf_dir).withColumn("source", src.source())
+    first = profile.sample_by_class(rows.filter(src.dataset() == src.MAIN), "id")
+    shown = profile.sample_row_messages(rows.join(F.broadcast(first.select("id")), "id"))
+    return shown.withColumn("place", F.col("place").cast("bigint"))
 
 
 @query
@@ -490,20 +517,32 @@ def token_gate(spark, sf_dir):
     return audits.token_gate(src.token_lines(spark, sf_dir), TOKEN_LIMITS)
 
 
+def _estimate(text):
+    return audits.estimated_tokens(text, ACCENTED)
+
+
+@query
+def token_audit_of_lines(spark, sf_dir):
+    """A corpus written as lines, read back and counted."""
+    root = fresh_path(spark, "corpus")
+    answered = F.when(F.size("messages") > 1, "train").otherwise("eval")
+    jsonl.write_run(src.exchanges(spark, sf_dir).withColumn("split", answered), root, "r1")
+    counted = audits.count_read(jsonl.read_run(spark, root, "r1"), _estimate)
+    return audits.token_distribution(counted, TOKEN_LIMITS)
+
+
 @query
 def token_rewrite(spark, sf_dir):
     """A written corpus filtered in place: lines before and after."""
     path = fresh_path(spark, "rewrite-me")
     jsonl.write_jsonl(src.exchanges(spark, sf_dir), path)
-    text = ms.conversation_text(ms.parse_json(F.col("value")), F.col("value"))
-    fits = tx.estimate_tokens(text, ACCENTED) <= 150
-    before = spark.read.text(path)
-    n_before = before.count()
-    n_after = jsonl.rewrite_lines(spark, path, before.filter(fits))
-    return spark.read.text(path).agg(F.count(F.lit(1)).alias("n_after")).select(
+    n_before = spark.read.text(path).count()
+    n_removed = audits.filter_corpus(spark, path, _estimate, TokenLimits(max=150))
+    after = spark.read.text(path).agg(F.count(F.lit(1)).alias("n_after"))
+    return after.select(
         F.lit(n_before).cast("bigint").alias("n_before"),
         "n_after",
-        F.lit(n_before - n_after).cast("bigint").alias("n_removed"),
+        F.lit(n_removed).cast("bigint").alias("n_removed"),
     )
 
 

@@ -114,3 +114,33 @@ def test_audit_of_a_stream(spark, tmp_path):
     query.awaitTermination(60)
     got = sorted(r["code"] for r in spark.table("arrivals").collect())
     assert got == sorted(code for _, code, _ in LINES if code)
+
+
+def _words(text):
+    from pyspark.sql import functions as F
+
+    return F.size(F.split(text, " ")).cast("bigint")
+
+
+def test_tokens_of_written_lines(spark, tmp_path):
+    texts = ["a b c", "d " * 30 + "e", "f"]
+    lines = [json.dumps([{"role": "user", "content": t}]) for t in texts]
+    lines.insert(1, "  ")
+    (tmp_path / "t.jsonl").write_text("\n".join(lines) + "\n")
+    counted = audits.count_read(jsonl.read_lines(spark, f"{tmp_path}/*.jsonl"), _words)
+    got = sorted((r["line_no"], r["n_tokens"]) for r in counted.collect())
+    assert got == [(1, 3), (3, 31), (4, 1)]
+
+    from turnmill.config import TokenLimits
+
+    folder = str(tmp_path / "table")
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(folder)
+    assert audits.filter_corpus(spark, folder, _words, TokenLimits(max=10)) == 1
+    left = sorted(r["value"] for r in spark.read.text(folder).collect())
+    assert left == sorted([lines[0], lines[3]])
+
+
+def test_tokens_of_a_broken_line_stop_the_job(spark):
+    lines = spark.createDataFrame([("c", "not json")], "corpus string, line string")
+    with pytest.raises(Exception, match="not JSON"):
+        audits.count_lines(lines, _words).collect()

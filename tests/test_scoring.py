@@ -1,6 +1,6 @@
 import pytest
 
-from turnmill.plans import scoring
+from turnmill.plans import profile, scoring
 
 
 def _responses(spark, rows):
@@ -54,3 +54,15 @@ def test_comparison_keeps_prompts_of_either_run(spark):
 def test_prompts_are_trimmed(spark):
     df = spark.createDataFrame([(" a\n",), (" 　",), ("",), (None,)], "prompt string")
     assert [r[0] for r in scoring.usable_prompts(df).collect()] == ["a"]
+
+
+def test_profile_of_rows_without_a_source_column(spark):
+    rows = [('[{"content":"ก"},{"content":"b"}]',), ("plain ก",), ("{}",)]
+    df = spark.createDataFrame(rows, "messages string")
+    measured = profile.measured_rows(df)
+    got = [(r["n_messages"], r["has_script"]) for r in measured.collect()]
+    assert sorted(got, key=str) == [(2, True), (None, False), (None, True)]
+    share = profile.script_share_by_source(measured).first()
+    assert (share["source"], share["n_rows"], share["n_script"]) == ("unknown", 3, 2)
+    named = measured.selectExpr("*", "cast(null as string) as source")
+    assert profile.script_share_by_source(named).first()["source"] is None

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from turnmill.config import THAI, Script, TokenLimits
 from turnmill.functions import messages as ms, text as tx
 from turnmill.functions.line_audit import audit_line
 from turnmill.operators.order import first_per_group, ranked_values
 from turnmill.session import materialize
-from turnmill.sources.jsonl import is_blank, with_line_numbers
+from turnmill.sources.jsonl import is_blank, rewrite_lines, with_line_numbers
 
 ERRORS_SHOWN = 10
 OVER_MAX_SHOWN = 20
@@ -113,6 +113,46 @@ def with_overhead(
     return n_tokens + F.size(messages) * per_message + added
 
 
+def count_lines(lines: DataFrame, counter: Callable[[Column], Column]) -> DataFrame:
+    """Add `n_tokens` of the text in each JSON line; NULL for a blank one.
+
+    A line that is no JSON stops the job, as the format audit should have run before.
+    """
+    parsed = lines.withColumn("_document", ms.parse_json(tx.strip(F.col("line"))))
+    stop = F.raise_error(F.concat(F.lit("not JSON: "), tx.preview(F.col("line"), 200)))
+    text = F.when(F.col("_document").isNull(), stop.cast("string")).otherwise(
+        ms.conversation_text(F.col("_document"))
+    )
+    text = F.when(~is_blank(F.col("line")), text)
+    return parsed.withColumn("_text", text).withColumn("n_tokens", counter(F.col("_text"))).drop(
+        "_document", "_text"
+    )
+
+
+def count_read(lines: DataFrame, counter: Callable[[Column], Column]) -> DataFrame:
+    """`corpus, line_no, n_tokens` of lines from `sources.jsonl.read_lines`.
+
+    Counted once and stored; every report below reads the narrow result.
+    """
+    stored = materialize(count_lines(lines, counter).drop("line"), "tokens")
+    return with_line_numbers(stored).filter("n_tokens is not null")
+
+
+def filter_corpus(
+    spark: SparkSession,
+    path: str,
+    counter: Callable[[Column], Column],
+    limits: TokenLimits = TokenLimits(),
+) -> int:
+    """Take lines over the limit, and blank ones, out of the text table at `path`, in place.
+    Returns how many were over it."""
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    counted = materialize(count_lines(lines, counter), "counted")
+    kept = counted.filter(F.col("n_tokens") <= limits.max)
+    rewrite_lines(spark, path, kept.select(F.col("line").alias("value")))
+    return counted.filter(F.col("n_tokens") > limits.max).count()
+
+
 def token_distribution(counted: DataFrame, limits: TokenLimits = TokenLimits()) -> DataFrame:
     """Per corpus: size, spread and exact order statistics of `n_tokens`, and lines over limits.
 

@@ -12,7 +12,7 @@ from turnmill.config import (
     THAI,
     Script,
 )
-from turnmill.functions import text as tx
+from turnmill.functions import messages as ms, text as tx
 from turnmill.operators.order import first_idents, first_per_group, keep_first
 from turnmill.plans.curate import with_share
 
@@ -80,12 +80,41 @@ def source_or_unknown(rows: DataFrame) -> Column:
     return F.col("source") if "source" in rows.columns else F.lit("unknown")
 
 
-def turn_stats(turns: DataFrame) -> DataFrame:
-    per_conversation = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_conversation.agg(
-        F.min("n").alias("min_messages"),
-        F.max("n").alias("max_messages"),
-        F.avg("n").alias("mean_messages"),
+def turn_counts(turns: DataFrame) -> DataFrame:
+    """`conv_id, n_messages` of conversations stored turn by turn."""
+    return turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
+def measured_rows(rows: DataFrame, script: Script = THAI) -> DataFrame:
+    """Add `n_messages, has_script` to conversations stored one per row, typed or as JSON text.
+
+    A text that is no JSON list has no message count, but its script is tested all the same.
+    """
+    m = F.col("messages")
+    if dict(rows.dtypes)["messages"] != "string":
+        found = F.exists(m, lambda x: tx.contains_script(x["content"], script))
+        return rows.withColumns(
+            {
+                "n_messages": F.size(m).cast("bigint"),
+                "has_script": F.coalesce(found, F.lit(False)),
+            }
+        )
+    parsed = rows.withColumn("_document", ms.parse_json(m))
+    text = ms.conversation_text(F.col("_document"), m)
+    return parsed.withColumns(
+        {
+            "n_messages": F.size(ms.elements(F.col("_document"))).cast("bigint"),
+            "has_script": tx.contains_script(text, script),
+        }
+    ).drop("_document")
+
+
+def turn_stats(counted: DataFrame) -> DataFrame:
+    """Fewest, most and mean messages of a conversation."""
+    return counted.agg(
+        F.min("n_messages").alias("min_messages"),
+        F.max("n_messages").alias("max_messages"),
+        F.avg("n_messages").alias("mean_messages"),
     )
 
 
@@ -142,3 +171,14 @@ def sample_messages(turns: DataFrame, samples: DataFrame) -> DataFrame:
     return first_per_group(shown, ["conv_id"], ["turn"], PREVIEW_MESSAGES).select(
         "conv_id", "place", "role", tx.preview(F.col("text"), PREVIEW_CHARS).alias("preview")
     )
+
+
+def sample_row_messages(samples: DataFrame, ident: str = "id") -> DataFrame:
+    """The same for sampled conversations stored one per row."""
+    shown = F.posexplode(F.slice("messages", 1, PREVIEW_MESSAGES)).alias("place", "m")
+    return samples.select(ident, shown).select(
+        ident,
+        (F.col("place") + 1).alias("place"),
+        "m.role",
+        tx.preview(F.col("m.content"), PREVIEW_CHARS).alias("preview"),
+    )
