@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from turnmill.config import THAI
+from turnmill.config import THAI, Script
 from turnmill.functions import text as tx
 
 
@@ -47,3 +47,13 @@ def test_lengths_count_code_points(spark):
 def test_percent_of_nothing(spark):
     assert _one(spark, "", tx.percent(F.lit(0), F.lit(0))) is None
     assert _one(spark, "", tx.percent(F.lit(1), F.lit(8))) == 12.5
+
+
+def test_scripts_with_and_without_ascii_letters(spark):
+    hexadecimal = Script("hex", "0-9a-fé")
+    assert hexadecimal.has_ascii and not THAI.has_ascii
+    for text, n_hex, n_thai in [("abcxyz", 3, 0), ("é ก", 1, 1), ("", 0, 0), ("กขz", 0, 2)]:
+        for script, n in ((hexadecimal, n_hex), (THAI, n_thai)):
+            assert _one(spark, text, tx.script_chars(F.col("t"), script)) == n
+            assert _one(spark, text, tx.contains_script(F.col("t"), script)) == (n > 0)
+    assert _one(spark, None, tx.contains_script(F.col("t"), THAI)) is None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 
@@ -14,6 +15,10 @@ class Script:
     chars_per_token: float = 2.5
     other_chars_per_token: float = 4.0
 
+    @property
+    def has_ascii(self) -> bool:
+        return re.search(self.one, "".join(map(chr, range(128)))) is not None
+
     @property
     def one(self) -> str:
         return f"[{self.chars}]"

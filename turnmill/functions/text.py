@@ -33,14 +33,21 @@ def is_spoken(text: Column) -> Column:
     return F.coalesce(F.ltrim(text, F.lit(WHITESPACE)) != "", F.lit(False))
 
 
+def _unless_ascii(text: Column, script: Script, plain: Column, value: Column) -> Column:
+    """`value`, or at once `plain` where the bytes show that no letter of the script can occur."""
+    if script.has_ascii:
+        return value
+    return F.when(F.octet_length(text) == F.length(text), plain).otherwise(value)
+
+
 def contains_script(text: Column, script: Script) -> Column:
-    return text.rlike(script.one)
+    return _unless_ascii(text, script, F.lit(False), text.rlike(script.one))
 
 
 def script_chars(text: Column, script: Script) -> Column:
     # Whole runs, not single letters: few matches in dense text, none copied in other text.
     runs = F.regexp_extract_all(text, F.lit(script.run), F.lit(0))
-    return F.length(F.array_join(runs, ""))
+    return _unless_ascii(text, script, F.lit(0), F.length(F.array_join(runs, "")))
 
 
 def ratio(n_script: Column, n_stripped: Column) -> Column:
