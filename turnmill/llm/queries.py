@@ -28,3 +28,36 @@ def op10_sharding(spark, sf_dir):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op6_decontaminate(spark, sf_dir):
+    from turnmill.llm.decontaminate import scan_documents
+
+    found = scan_documents(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "benchmark"),
+    )
+    return found.select(
+        "doc_id",
+        "scan.n_words",
+        "scan.n_hit",
+        F.size("scan.items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "scan.items"), 256).alias("items_sha256"),
+        "scan.contaminated",
+    )
+
+
+@query
+def op8_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    from turnmill.llm.bpe import encode_documents
+
+    made = encode_documents(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        with_ids=False,
+    )
+    return made.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
