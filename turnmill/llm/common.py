@@ -23,3 +23,16 @@ def free_name(df: DataFrame, wish: str) -> str:
     while wish.lower() in taken:
         wish = f"_{wish}"
     return wish
+
+
+def hash_share(ident: str, wanted: int, out_of: int) -> Column:
+    """True for a share `wanted / out_of` of the identifiers, chosen by their hash."""
+    share = min(1.0, wanted / max(out_of, 1))
+    return F.pmod(F.xxhash64(F.col(ident).cast("string")), F.lit(1 << 30)) < int(share * (1 << 30))
+
+
+def one_label(labels: DataFrame, ident: str, label: str) -> DataFrame:
+    """`ident, label`, one row per identifier: rows with a null in either are left out, and of
+    several labels the largest counts."""
+    known = labels.filter(F.col(ident).isNotNull() & F.col(label).isNotNull())
+    return known.groupBy(ident).agg(F.max(label).cast("int").alias(label))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import table
+from turnmill.llm.common import remainder, table
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -61,3 +61,38 @@ def op8_byte_bpe(spark, sf_dir):
         with_ids=False,
     )
     return made.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    from turnmill.llm.toxicity import toxicity
+
+    held_out = remainder("doc_id", 5) == 0
+    scored = toxicity(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "labels").select("doc_id", "toxic"),
+        ~held_out,
+        into="score",
+    )
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op1_language_id(spark, sf_dir):
+    from turnmill.llm.language import identify
+
+    held_out = remainder("doc_id", 4) == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = identify(docs, ~held_out)
+    return found.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "language.lang_pred",
+        "language.score",
+        "language.ambiguous",
+    )

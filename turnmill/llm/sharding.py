@@ -97,16 +97,31 @@ def shard_by_bytes(
     )
     # Groups of equal texts: where each begins and how long it is, combined before the shuffle.
     same = F.coalesce("_text", F.lit(""))
-    group = placed.groupBy(same.alias("_same")).agg(
-        F.min("_start").alias("_from"), F.sum("size").alias("_long"), F.count(F.lit(1)).alias("_n")
+    groups = materialize(
+        placed.groupBy(same.alias("_same"))
+        .agg(
+            F.min("_start").alias("_from"),
+            F.sum("size").alias("_long"),
+            F.count(F.lit(1)).alias("_n"),
+            F.max("_total").alias("_all"),
+        )
+        .filter("_n > 1")
+        .withColumn("_whole", F.col("_long") * shards * SNAP <= F.col("_all")),
+        "shard-groups",
     )
-    # A group of one has the offset it shows; only real groups need a join.
-    groups = group.filter("_n > 1").drop("_n")
-    with_groups = placed.withColumn("_same", same).join(groups, "_same", "left")
-    whole = (F.col("_long") * shards * SNAP) <= F.col("_total")
-    middle = F.when(whole, 2 * F.col("_from") + F.col("_long")).otherwise(
-        2 * F.col("_start") + F.col("size")
+    # Large groups number at most shards * SNAP. Their rows need nothing from the join below, so
+    # each gets a key of its own there and no key has many rows.
+    large = groups.filter("not _whole").select("_same", F.lit(True).alias("_large"))
+    own = F.concat("_same", F.lit(":"), F.col("_place"))
+    small = groups.filter("_whole").select(F.col("_same").alias("_key"), "_from", "_long")
+    with_groups = (
+        placed.withColumn("_same", same)
+        .join(F.broadcast(large), "_same", "left")
+        .withColumn("_key", F.when(F.col("_large"), own).otherwise(F.col("_same")))
+        .join(small, "_key", "left")
     )
+    own_middle = 2 * F.col("_start") + F.col("size")
+    middle = F.coalesce(2 * F.col("_from") + F.col("_long"), own_middle)
     # Whole-number division, exact up to 2**63 / (2 * shards) bytes.
     cut = F.expr(f"cast(least((_middle * {shards}) div (2 * _total), {shards - 1}) as int)")
     sharded = materialize(
