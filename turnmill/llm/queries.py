@@ -96,3 +96,22 @@ def op1_language_id(spark, sf_dir):
         "language.score",
         "language.ambiguous",
     )
+
+
+@query
+def op4_quality(spark, sf_dir):
+    from turnmill.llm.quality import quality
+
+    held_out = remainder("doc_id", 3) == 1
+    scored = quality(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "labels").select("doc_id", "quality"),
+        ~held_out,
+        into="score",
+    )
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
