@@ -43,11 +43,11 @@ STATISTICS = 24
 class Pu:
     positives: int = 8_000  # rows of each sort that are learnt from, in expectation
     unlabelled: int = 16_000
-    bins: int = 16
+    bins: int = 12
     epochs: int = 60
     batch: int = 1_024
-    rate: float = 0.02
-    decay: float = 1e-4
+    rate: float = 0.05
+    decay: float = 1e-3
     back: float = 1.0  # length of the step back where the negative risk is below zero
 
 

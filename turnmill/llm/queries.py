@@ -115,3 +115,21 @@ def op4_quality(spark, sf_dir):
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op7_lm_score(spark, sf_dir):
+    from turnmill.llm.ppm import score_documents
+
+    held_out = remainder("doc_id", 10) == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_documents(docs.withColumn("held_out", held_out), ~held_out)
+    return scored.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
