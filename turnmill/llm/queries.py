@@ -133,3 +133,10 @@ def op7_lm_score(spark, sf_dir):
         "base_score",
         "score",
     )
+
+
+@query
+def op2_minmax_dedup(spark, sf_dir):
+    from turnmill.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
