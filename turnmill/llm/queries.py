@@ -140,3 +140,10 @@ def op2_minmax_dedup(spark, sf_dir):
     from turnmill.llm.neardup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_nearest(spark, sf_dir):
+    from turnmill.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
