@@ -147,16 +147,18 @@ def nearest(
             block["id"].to_numpy(), np.stack(block["v"].to_numpy()), block["longest"].iloc[0], how
         )
         made = []
-        for own, query in zip(queries["id"], queries["v"]):
+        for own, query in zip(queries["q_id"], queries["q_v"]):
             ids, scores = index.search(own, np.asarray(query), k)
             made.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores}))
         return pd.concat(made)
 
-    columns = ["dim", "block", "g", "id", "v", "longest"]
+    keys = ["dim", "block", "g"]
+    # New names on one side, as both come from the same table.
+    asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in [*keys, "id", "v"]])
     found = (
-        rows.select(columns)
-        .groupBy("dim", "block", "g")
-        .cogroup(asked.select(columns).groupBy("dim", "block", "g"))
+        rows.select(*keys, "id", "v", "longest")
+        .groupBy(keys)
+        .cogroup(asked.groupBy([f"q_{c}" for c in keys]))
         .applyInPandas(search, "query_id bigint, vec_id bigint, score double")
     )
     ranks = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
