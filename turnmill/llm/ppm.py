@@ -33,11 +33,11 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 @dataclass(frozen=True)
 class Ppm:
     order: int = 6  # longest context, and the most that codes have room for
-    max_pairs: int = 1 << 22  # of context and symbol in a broadcast trie, some 250 MB in a worker
+    max_pairs: int = 1 << 21  # of context and symbol in a broadcast trie, some 150 MB in a worker
     block: int = 1 << 19  # symbols worked on at once
     flush: int = 2_000_000  # different pairs or words a counting task holds
     alpha: float = 0.1  # added to word counts
-    frequent: int = 1 << 18  # words whose counts are broadcast; the others are joined
+    frequent: int = 1 << 17  # words whose counts are broadcast; the others are joined
 
 
 def _mask(symbols: int) -> np.uint64:
@@ -247,8 +247,9 @@ def count_trie(texts: DataFrame, how: Ppm) -> Counted:
             pairs.groupBy(shorter.alias("code")).agg(F.sum("n").alias("n")), "ppm-pairs"
         )
     # At most `max_pairs` rows; contexts of one byte have 257 * 257.
-    found = pairs.toPandas()
-    return Counted(order, found["code"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy())
+    found = pairs.toArrow()
+    codes, counts = (found.column(name).to_numpy() for name in ("code", "n"))
+    return Counted(order, codes.view(np.uint64), np.minimum(counts, 2**31 - 1).astype(np.int32))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -342,7 +343,8 @@ def score_documents(
     alpha, floor = how.alpha, np.log10(total + how.alpha * (vocabulary + 1))
     log_of = lambda c: float(np.log10(c + alpha) - floor)
     least = _frequent(counts, how.frequent)
-    counted.words = {bytes(r["word"]): r["c"] for r in counts.filter(F.col("c") >= least).collect()}
+    words = counts.filter(F.col("c") >= least).toArrow()
+    counted.words = dict(zip(words.column("word").to_pylist(), words.column("c").to_pylist()))
     # A text's rare words are joined with their counts; frequent ones never reach a shuffle.
     row = free_name(docs, "_row")
     made = free_name(docs, "_made")
