@@ -12,8 +12,8 @@ class Boosting:
     trees: int = 80
     depth: int = 4
     rate: float = 0.15
-    bins: int = 32
-    least: float = 8.0  # second-order weight a leaf must have
+    bins: int = 16
+    least: float = 2.0  # second-order weight a leaf must have
     l2: float = 1.0
 
 

@@ -147,3 +147,13 @@ def op3_nearest(spark, sf_dir):
     from turnmill.llm.ann import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query
+def op5_main_text(spark, sf_dir):
+    from turnmill.llm.extract import main_text
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text(pages, into="text").select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars")
+    )
