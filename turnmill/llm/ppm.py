@@ -347,7 +347,8 @@ def score_documents(
     counted.words = dict(zip(words.column("word").to_pylist(), words.column("c").to_pylist()))
     # A text's rare words are joined with their counts; frequent ones never reach a shuffle.
     row = free_name(docs, "_row")
-    made = free_name(docs, "_made")
+    made, key = free_name(docs, "_made"), free_name(docs, "_row_key")
+    known, part = free_name(docs, "_known"), free_name(docs, "_part")
     kept = [c for c in docs.columns if c != text and c not in names]
     scored = materialize(
         docs.withColumn(row, F.monotonically_increasing_id())
@@ -356,25 +357,25 @@ def score_documents(
         "ppm-scored",
     )
     pairs = scored.select(
-        F.col(row).alias("r"), F.explode(F.arrays_zip(f"{made}.rare", f"{made}.times")).alias("p")
-    ).select("r", F.col("p.rare").alias("word"), F.col("p.times").alias("times"))
+        F.col(row).alias(key), F.explode(F.arrays_zip(f"{made}.rare", f"{made}.times")).alias("p")
+    ).select(key, F.col("p.rare").alias("word"), F.col("p.times").alias("times"))
     c = F.coalesce("c", F.lit(0))
     rare = (
         pairs.join(counts.filter(F.col("c") < least), "word", "left")
-        .groupBy("r")
+        .groupBy(key)
         .agg(
-            F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("n"),
-            F.sum(F.col("times") * (F.log10(c + alpha) - F.lit(float(floor)))).alias("b"),
+            F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias(known),
+            F.sum(F.col("times") * (F.log10(c + alpha) - F.lit(float(floor)))).alias(part),
         )
     )
     end = log_of(n_ends)
     values = (
         F.col(made)["n_tokens"] + 1,
-        F.col(made)["n_known"] + F.coalesce("n", F.lit(0)) + int(n_ends > 0),
+        F.col(made)["n_known"] + F.coalesce(known, F.lit(0)) + int(n_ends > 0),
         F.lit(total).cast("bigint"),
-        F.col(made)["base"] + F.coalesce("b", F.lit(0.0)) + end,
+        F.col(made)["base"] + F.coalesce(part, F.lit(0.0)) + end,
         F.col(made)["score"],
     )
-    return scored.join(rare, F.col(row) == F.col("r"), "left").select(
+    return scored.join(rare, F.col(row) == F.col(key), "left").select(
         *kept, *[value.alias(name) for value, name in zip(values, names)]
     )
