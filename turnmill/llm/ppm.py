@@ -97,16 +97,20 @@ class Lookup:
 
     def find(self, codes: np.ndarray) -> np.ndarray:
         """The place of each code, or -1."""
-        found = np.full(len(codes), -1, np.int32)
         if not len(self.keys):
-            return found
-        at, left = self._home(codes), np.arange(len(codes))
+            return np.full(len(codes), -1, np.int32)
+        at = self._home(codes)
+        found = self.slots[at]
+        left = np.flatnonzero((self.keys[found] != codes) & (found >= 0))
+        found[left] = -1
+        at = at[left]
         while len(left):
+            at = (at + 1) & self.last
             place = self.slots[at]
             same = (place >= 0) & (self.keys[place] == codes[left])
             found[left[same]] = place[same]
             on = (place >= 0) & ~same
-            left, at = left[on], (at[on] + 1) & self.last
+            left, at = left[on], at[on]
         return found
 
 
@@ -122,7 +126,7 @@ class Trie:
             level_codes, inverse = np.unique(level_codes & _mask(k + 1), return_inverse=True)
             level_counts = np.bincount(inverse, minlength=len(level_codes)).astype(float)
             pairs[k] = (level_codes, level_counts)
-        self.pairs, self.log_count, self.contexts = {}, {}, {}
+        self.pairs, self.log_count, self.direct, self.contexts = {}, {}, {}, {}
         self.den, self.esc, self.parent, self.child_den, self.child_esc = {}, {}, {}, {}, {}
         total, distinct = {}, {}
         # Halves are counted: a symbol seen c times weighs 2c - 1, an escape 1 per symbol.
@@ -136,6 +140,7 @@ class Trie:
             self.log_count[k] = np.log10(count).astype(np.float32)
             self.den[k] = np.log10(total[k] + distinct[k])
             self.esc[k] = np.log10(distinct[k]) - self.den[k]
+            self.direct[k] = (self.log_count[k] - self.den[k][of]).astype(np.float32)
         for k in range(1, order + 1):
             code = pairs[k][0]
             context = self.contexts[k].keys
@@ -165,11 +170,12 @@ class Trie:
             place = self.pairs[k].find(code)
             hit = place >= 0
             if not deeper.any():
-                context = self.contexts[k].find(code >> WIDTH)
-                den, esc = self.den[k], self.esc[k]
-                out[left[hit]] += self.log_count[k][place[hit]] - den[context[hit]]
-                known = ~hit & (context >= 0)
-                out[left[known]] += esc[context[known]]
+                # Nothing is excluded: a hit needs no look at its context.
+                out[left[hit]] += self.direct[k][place[hit]]
+                context = np.full(len(left), -1, np.int32)
+                context[~hit] = self.contexts[k].find(code[~hit] >> WIDTH)
+                known = context >= 0
+                out[left[known]] += self.esc[k][context[known]]
             else:
                 context = np.empty(len(left), np.int32)
                 context[deeper] = self.parent[k + 1][child[deeper]]

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from turnmill.llm.common import remainder, table
+from turnmill.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 QUERIES = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(function):
