@@ -55,6 +55,13 @@ def tier() -> Column:
     return tier_of(dataset(), source(), MAIN)
 
 
+def shared_id() -> Column:
+    """An id of exchanges (`id`, `conv_id`) that is unique in a tier and occurs in all tiers."""
+    c, turn = F.col("conv_id"), F.col("id") % TURN_RANGE
+    half = F.when(c % 5 == 1, 1).when(c % 5 == 4, 1).otherwise(0)
+    return ((c - c % 5) / 5 * 2 + half).cast("bigint") * TURN_RANGE + turn
+
+
 def tag(df: DataFrame) -> DataFrame:
     return df.withColumns({"dataset": dataset(), "source": source()})
 

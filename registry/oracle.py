@@ -112,7 +112,8 @@ def outcome() -> str:
 
 
 def curation(all_rows: str, ident: str, total: str) -> str:
-    """CTEs from `all_rows` (ident, tier, txt, shortest, first_text, n_messages) to `final`."""
+    """CTEs from `all_rows` (ident, tier, txt, shortest, first_text, n_messages) to `final`.
+    A row is known by tier and ident together."""
     return f"""
 total AS (SELECT {total} AS n),
 v AS (SELECT *, {TIER_NO} AS tier_no, md5('42:' || tier || ':' || {ident}) AS draw_key,
@@ -132,7 +133,7 @@ uniq AS (SELECT *, md5('42:split:' || {ident}) AS split_key FROM
          (SELECT *, row_number() OVER (PARTITION BY dedup_key
                                        ORDER BY tier_no, draw_key, {ident}) AS r FROM collected)
          WHERE r = 1),
-final AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY split_key, {ident})
+final AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY split_key, {ident}, tier)
                          <= (SELECT CAST(trunc(count(*) * 0.2::DOUBLE) AS BIGINT) FROM uniq)
                     THEN 'eval' ELSE 'train' END AS split FROM uniq)"""
 
@@ -168,6 +169,11 @@ x_rows AS (SELECT id, conv_id, tier, n_messages,
                   CASE WHEN good THEN least(length({strip('first_text')}), length({strip('reply')})) END AS shortest
            FROM xn)"""
 
+# An id that exchanges of different tiers share.
+SHARED_ID = (
+    "(conv_id // 5 * 2 + CASE WHEN conv_id % 5 IN (1, 4) THEN 1 ELSE 0 END) * 4294967296 "
+    "+ id % 4294967296"
+)
 TOKEN_LINES = f"""
 {RAW},
 lines AS (SELECT CASE WHEN conv_id % 5 = 0 THEN 'eval.jsonl' ELSE 'train.jsonl' END AS corpus,
@@ -417,6 +423,15 @@ SELECT conv_id, CASE WHEN row_number() OVER (ORDER BY md5('42:split:' || conv_id
     "curated_rows": f"""
 WITH {EXCHANGES}, {X_NORMAL}, {curation('x_rows', 'id', CONV_TOTAL)}
 SELECT id, tier, split, md5(txt) AS text_md5 FROM final""",
+    "curated_splits": f"""
+WITH {EXCHANGES}, {X_NORMAL},
+shared AS (SELECT * REPLACE ({SHARED_ID} AS id) FROM x_rows),
+{curation('shared', 'id', CONV_TOTAL)}
+SELECT id, tier, split, md5(txt) AS text_md5 FROM final""",
+    "union_keys": f"""
+WITH {EXCHANGES}, {X_NORMAL}
+SELECT CASE tier WHEN 'autoif' THEN '0:' WHEN 'sovereign' THEN '1:' ELSE '2:' END
+       || CAST({SHARED_ID} AS VARCHAR) AS row_key, tier FROM x_rows""",
     "dedup_counts": f"""
 {CURATED} SELECT count(*) AS n_before, count(DISTINCT dedup_key) AS n_after FROM collected""",
     "final_mix": f"""

@@ -397,6 +397,30 @@ def curated_rows(spark, sf_dir):
     )
 
 
+def _splits_with_shared_ids(spark, sf_dir):
+    """A split per tier; ids are unique in each and occur in all of them."""
+    chats = src.exchanges(spark, sf_dir).select("id", "conv_id", src.tier().alias("tier"), "messages")
+    shared = chats.withColumn("id", src.shared_id()).drop("conv_id")
+    return [shared.filter(F.col("tier") == tier.name) for tier in TIERS]
+
+
+@query
+def curated_splits(spark, sf_dir):
+    """Splits whose ids overlap, curated as one table."""
+    rows = tables.union_splits(*_splits_with_shared_ids(spark, sf_dir))
+    corpus = curate.curate_rows(rows, _quotas(spark, sf_dir), ACCENTED, LIMITS).corpus
+    return corpus.select(
+        "id", "tier", "split", F.md5(ms.joined_text(F.col("messages"))).alias("text_md5")
+    )
+
+
+@query
+def union_keys(spark, sf_dir):
+    """A key that stays unique over splits whose ids overlap."""
+    splits = _splits_with_shared_ids(spark, sf_dir)
+    return tables.union_splits(*splits, key="row_key").select("row_key", "tier")
+
+
 @query
 def dedup_counts(spark, sf_dir):
     return curate.dedup_counts(_curated(spark, sf_dir))

@@ -27,20 +27,27 @@ def test_cutoffs_are_exact(spark, digits, partitions):
     rows = [(pick.choice("ab"), _md5(str(i // 2)), i) for i in range(3000)]  # keys come in pairs
     df = spark.createDataFrame(rows, "g string, key string, id bigint").repartition(partitions)
     for k in (0, 1, 2, 700, 10_000):
-        cuts = order.cutoffs(df, "g", "key", "id", F.lit(k), digits)
-        assert set(cuts) == {"a", "b"}
-        for group, cut in cuts.items():
+        cuts = order.cutoffs(df, ["g"], "key", ["id"], F.lit(k), digits)
+        found = {r["g"]: r for r in cuts.collect()}
+        assert set(found) == {"a", "b"}
+        inside = df.join(cuts, "g").filter(order.within_cut("key", ["id"])).collect()
+        for group, cut in found.items():
             mine = sorted((key, i) for g, key, i in rows if g == group)
-            expected = mine[k - 1] if 0 < k <= len(mine) else (None, None)
-            assert cut == order.Cut(len(mine), k, *expected)
-            inside = df.filter(F.col("g") == group).filter(order.within_cut(cut, "key", "id"))
-            assert sorted((r["key"], r["id"]) for r in inside.collect()) == mine[:k]
+            expected = mine[k - 1] if 0 < k <= len(mine) else None
+            assert (cut["n_rows"], cut["k"]) == (len(mine), k)
+            assert (cut["cut"] and tuple(cut["cut"])) == expected
+            assert sorted((r["key"], r["id"]) for r in inside if r["g"] == group) == mine[:k]
 
 
 def test_hot_key_cutoff(spark):
-    """A third of the rows in one group and all keys equal: the identifier decides."""
+    """All rows in one group and all keys equal: the identifier decides."""
     df = spark.range(3000).select(F.lit("g").alias("g"), F.lit("f" * 32).alias("key"), "id")
-    assert order.cutoffs(df, "g", "key", "id", F.lit(1234))["g"].ident == 1233
+    assert order.cutoffs(df, ["g"], "key", ["id"], F.lit(1234)).first()["cut"]["id"] == 1233
+
+
+def test_small_side_is_checked(spark):
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(order.small_side(spark.range(10), 10)) and not hinted(order.small_side(spark.range(11), 10))
 
 
 def _quota(spark, flags_by_tier, targets):
@@ -48,13 +55,15 @@ def _quota(spark, flags_by_tier, targets):
     for tier, flags in flags_by_tier.items():
         for place, flag in enumerate(flags):
             key = f"{place:08x}" + _md5(f"{tier}{place}")
-            rows.append((ident, tier, ACCEPTED if flag else "invalid_x", key, place))
+            outcome = ACCEPTED if flag else "invalid_x"
+            rows.append((ident, tier, targets[tier], outcome, key, place))
             ident += 1
     verdicts = spark.createDataFrame(
-        rows, "conv_id bigint, tier string, outcome string, draw_key string, place int"
+        rows,
+        "conv_id bigint, tier string, target bigint, outcome string, draw_key string, place int",
     )
     marked = {}
-    for r in quota.apply_quota(verdicts, targets).orderBy("tier", "place").collect():
+    for r in quota.apply_quota(verdicts, quota.quota_cuts(verdicts)).orderBy("tier", "place").collect():
         marked.setdefault(r["tier"], ([], []))
         marked[r["tier"]][0].append(r["selected"])
         marked[r["tier"]][1].append(r["scanned"])
@@ -218,8 +227,15 @@ def test_curating_rows_end_to_end(spark):
     assert results[0] == results[1] == results[2]
 
 
-def test_early_stop_returns_the_same_rows(spark, monkeypatch):
-    """A tier far larger than its quota is judged in part, one left short to its end."""
+def _chats(rows):
+    return [(i, tier, [("user", text), ("assistant", f"{text} reply")]) for i, tier, text in rows]
+
+
+CHAT = f"id bigint, tier string, messages {ms.MESSAGES_TYPE}"
+
+
+def test_verdicts_end_where_the_quota_is_full(spark):
+    """A tier far larger than its quota, and one that never fills it."""
     n = 9000
     pick = random.Random(9)
     kinds = {"autoif": 0.5, "sovereign": 0.001, "tulu_sft_en": 0.9}
@@ -227,32 +243,61 @@ def test_early_stop_returns_the_same_rows(spark, monkeypatch):
     for tier, rate in kinds.items():
         for _ in range(n // 3):
             good = pick.random() < rate
-            text = "ไทยๆๆๆ" if (tier != "tulu_sft_en") == good else "plain"
-            rows.append((place, tier, [("user", f"{text} {place}"), ("assistant", f"{text} reply")]))
+            thai = (tier != "tulu_sft_en") == good
+            rows.append((place, tier, f"{'ไทยๆๆๆ' if thai else 'plain'} {place}"))
             place += 1
-    df = spark.createDataFrame(rows, f"id bigint, tier string, messages {ms.MESSAGES_TYPE}")
-    quotas = quota.quota_table(spark, 100)
-    judged = []
-    kept = curate.materialize
-    monkeypatch.setattr(
-        curate, "materialize", lambda d, name: (judged.append(name), kept(d, name))[1]
-    )
-    made = curate.curate_rows(df.repartition(9), quotas)
-    assert judged.count("verdicts") == 2  # one tier had to be read on
+    df = spark.createDataFrame(_chats(rows), CHAT)
+    made = curate.curate_rows(df.repartition(9), quota.quota_table(spark, 100))
     got = {r["id"]: r["selected"] for r in made.verdicts.collect()}
     targets, expected = tier_targets(100), {}
-    for tier, rate in kinds.items():
+    for tier in kinds:
         mine = sorted((r for r in rows if r[1] == tier), key=lambda r: (_md5(f"42:{tier}:{r[0]}"), r[0]))
-        flags = [("ไทย" in r[2][0][1]) == (tier != "tulu_sft_en") for r in mine]
+        flags = [("ไทย" in r[2]) == (tier != "tulu_sft_en") for r in mine]
         selected, scanned = scan(flags, targets[tier])
         expected.update({r[0]: s for r, s, looked in zip(mine, selected, scanned) if looked})
     assert got == expected
     assert sum(expected.values()) < 100 and len(expected) < n
 
 
+def test_rejected_rows_stay_out_when_tiers_share_ids(spark):
+    rows = [(i, "autoif", f"ภาษาไทย {i}") for i in range(10)]
+    rows += [(i, "sovereign", f"plain text {i}") for i in range(10)]
+    df = spark.createDataFrame(_chats(rows), CHAT)
+    made = curate.curate_rows(df, quota.quota_table(spark, 20))
+    corpus = made.corpus.collect()
+    assert {r["tier"] for r in corpus} == {"autoif"} and len(corpus) == 8
+    assert tuple(curate.dedup_counts(made).first()) == (8, 8)
+    assert sum(r["split"] == "eval" for r in corpus) == 1
+
+
+def test_split_is_exact_where_all_keys_are_shared(spark):
+    rows = [(i, t.name, f"{'ไทยๆๆๆ' if t.rule == 'target' else 'plain'} {t.name} {i}") for t in TIERS for i in range(40)]
+    corpus = curate.curate_rows(spark.createDataFrame(_chats(rows), CHAT), quota.quota_table(spark, 90)).corpus.collect()
+    assert len(corpus) == 90 and sum(r["split"] == "eval" for r in corpus) == 18
+
+
+def test_a_repeated_row_key_is_refused(spark):
+    rows = [(1, "autoif", "ภาษาไทย a"), (1, "autoif", "ภาษาไทย b")]
+    with pytest.raises(curate.RepeatedRow):
+        curate.curate_rows(spark.createDataFrame(_chats(rows), CHAT), quota.quota_table(spark, 20))
+
+
+def test_five_thousand_tiers(spark):
+    """Quotas are a table: their number is bounded by nothing but its size."""
+    quotas = spark.range(5000).select(
+        F.concat(F.lit("t"), "id").alias("tier"), F.col("id").cast("int").alias("tier_no"),
+        F.lit("other").alias("rule"), (F.col("id") % 2).alias("target"),
+    )
+    rows = [(i, f"t{i % 5000}", f"plain text {i}") for i in range(15000)]
+    made = curate.curate_rows(spark.createDataFrame(_chats(rows), CHAT), quotas)
+    counts = curate.quota_counts(made.verdicts, quotas).collect()
+    assert len(counts) == 5000 and all(r["collected"] == r["target"] for r in counts)
+    assert made.corpus.count() == 2500
+
+
 @pytest.mark.parametrize("total", [50, 5000])
 def test_tier_from_a_table_or_an_expression(spark, total):
-    """Both ways, with and without an early stop, agree with each other and keep the quota."""
+    """Both ways agree with each other and keep the quota."""
     n = 3000
     rows = [
         (c, t, ("user", "assistant")[t], f"{'ไทยๆๆๆ' if c % 2 else 'plain'} text {c} {t}")

@@ -3,12 +3,12 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from registry import inputs as src
 from registry.queries import QUERIES
+from turnmill.functions.line_audit import audit_line
 from turnmill.operators.turns import conversation_facts
-from turnmill.plans import profile
+from turnmill.plans import curate, profile
 
 
 def plan_of(df):
@@ -84,9 +84,39 @@ def test_curated_corpus_passes_its_audit(spark, middle):
     assert all(r["first_line"] == 1 and r["last_line"] == r["n_lines"] for r in rows)
 
 
-def test_text_of_an_audit_is_parsed_once(spark, middle):
-    audited = src.numbered_lines(spark, middle)
-    from turnmill.plans import audits
+def test_a_line_is_parsed_once(spark, middle):
+    """The audit of a line holds one JSON parse, of which every check reads."""
+    audited = audit_line(src.numbered_lines(spark, middle), "line", src.ACCENTED)
+    assert plan_of(audited).count("from_json(") == 1
 
-    report = audits.first_errors(audits.audit_numbered(audited, src.ACCENTED))
-    assert "parseJson" not in plan_of(report.filter(F.col("code") != "valid"))
+
+def test_turns_past_the_cutoff_go_before_their_text_is_shuffled(spark, middle, monkeypatch):
+    plans = []
+    kept = curate.materialize
+    monkeypatch.setattr(
+        curate, "materialize", lambda df, name: (plans.append((name, plan_of(df))), kept(df, name))[1]
+    )
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        QUERIES["curated_corpus"](spark, middle)
+        QUERIES["curated_rows"](spark, middle)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for plan in (plan for name, plan in plans if name == "unique"):
+        scan = plan.rindex("FileScan parquet [conv_id")
+        shuffles = [m.start() for m in re.finditer("Exchange hashpartitioning", plan)]
+        cut = plan.rindex("md5(")
+        assert "cut#" in plan and cut < scan
+        assert [at for at in shuffles if at < cut]  # the shuffle of texts stands above the cut
+
+
+def test_curation_takes_few_jobs(spark, middle):
+    tracker, group = spark.sparkContext.statusTracker(), "curation-jobs"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        QUERIES["curated_corpus"](spark, middle).collect()
+        n_jobs = len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert n_jobs <= 40

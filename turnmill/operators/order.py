@@ -2,86 +2,78 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKET_DIGITS = 4  # 65,536 buckets of a hex key
+from turnmill.session import materialize
 
+BUCKET_DIGITS = 4  # 65,536 buckets of a hex key
+MAX_BROADCAST_ROWS = 10_000  # narrow rows, some megabytes
 
-@dataclass(frozen=True)
-class Cut:
-    """Where a group's first `k` rows end; `key` is None if it has fewer, or `k` is 0."""
 
-    n_rows: int
-    k: int
-    key: str | None = None
-    ident: int | str | None = None
+def small_side(table: DataFrame, most: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """A stored table as one side of a join: with a broadcast hint if it has at most `most` rows,
+    as it is if it has more."""
+    return F.broadcast(table) if table.limit(most + 1).count() <= most else table
 
 
 def cutoffs(
     rows: DataFrame,
-    group: str | None,
+    groups: list[str],
     key: str,
-    ident: str,
+    idents: list[str],
     k: Column,
     digits: int = BUCKET_DIGITS,
-) -> dict[str | None, Cut]:
-    """The k-th row of each group in `(key, ident)` order.
+) -> DataFrame:
+    """Where the first `k` rows of each group end, in `(key, idents)` order: a stored table of
+    `groups, n_rows, k, cut`, in which `cut` is the k-th row's key and identifiers, or NULL if the
+    group has fewer rows or `k` is 0.
 
-    `key` is a uniform hex string; `k` may use `group` and `n_rows`. Counting key prefixes (a
+    `key` is a uniform hex string; `k` may use `groups` and `n_rows`. Counting key prefixes (a
     combined hash aggregate, at most 16**digits rows per group) tells which prefix holds the
     k-th row, and only rows with that prefix are then ranked. Two passes over `rows`, which
-    should be a stored table. Groups must be few, such as tiers: a row for each is collected.
+    should be a stored table. Any number of groups; nothing is collected.
     """
-    groups = [] if group is None else [group]
-    prefix = F.substring(key, 1, digits)
-    whole = Window.partitionBy(*groups)
-    running = whole.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Without groups the constant keeps joins and windows the same; it has one value only.
+    own = groups or ["_all"]
+    rows = rows if groups else rows.withColumn("_all", F.lit(0))
+    rows = rows.withColumn("_prefix", F.substring(key, 1, digits))
+    whole = Window.partitionBy(*own)
+    running = whole.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = (
-        rows.groupBy(*groups, prefix.alias("prefix"))
+        rows.groupBy(*own, "_prefix")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum("n").over(running))
         .withColumn("n_rows", F.sum("n").over(whole))
         .withColumn("k", k.cast("bigint"))
     )
     holds_kth = (F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k"))
-    places = (
-        counted.groupBy(*groups, "n_rows", "k")
-        .agg(
-            F.max(F.when(holds_kth, F.col("prefix"))).alias("prefix"),
-            F.max(F.when(holds_kth, F.col("k") - F.col("upto") + F.col("n"))).alias("rest"),
-        )
-        .collect()
+    places = materialize(
+        counted.groupBy(*own, "n_rows", "k").agg(
+            F.max(F.when(holds_kth, F.col("_prefix"))).alias("_prefix"),
+            F.max(F.when(holds_kth, F.col("k") - F.col("upto") + F.col("n"))).alias("_rest"),
+        ),
+        "cut-places",
     )
-    name = lambda row: row[group] if groups else None
-    cuts = {name(row): Cut(row["n_rows"], row["k"]) for row in places}
-    inside = F.lit(False)
-    rank = F.when(F.lit(False), F.lit(0))
-    for row in places:
-        if row["prefix"] is not None:
-            mine = F.col(group) == row[group] if groups else F.lit(True)
-            inside = inside | (mine & F.col(key).startswith(row["prefix"]))
-            rank = rank.when(mine, F.lit(row["rest"]))
+    # Stored, so its real size decides whether it is broadcast.
+    held = places.filter("_prefix is not null").select(*own, "_prefix", "_rest")
     found = (
-        rows.filter(inside)
-        .select(*groups, key, ident)
-        .withColumn("_rank", F.row_number().over(whole.orderBy(key, ident)))
-        .filter(F.col("_rank") == rank)
-        .collect()
+        rows.select(*own, "_prefix", key, *idents)
+        .join(held, [*own, "_prefix"])
+        .withColumn("_rank", F.row_number().over(whole.orderBy(key, *idents)))
+        .filter("_rank = _rest")
+        .select(*own, F.struct(key, *idents).alias("cut"))
     )
-    for row in found:
-        cuts[name(row)] = replace(cuts[name(row)], key=row[key], ident=row[ident])
-    return cuts
-
-
-def within_cut(cut: Cut, key: str, ident: str) -> Column:
-    """True for the first `k` rows."""
-    if cut.k <= 0:
-        return F.lit(False)
-    if cut.key is None:
-        return F.lit(True)
-    return (F.col(key) < cut.key) | ((F.col(key) == cut.key) & (F.col(ident) <= cut.ident))
+    cuts = places.join(found, own, "left").select(*groups, "n_rows", "k", "cut")
+    return materialize(cuts, "cuts")
+
+
+def within_cut(
+    key: str, idents: list[str], k: Column | None = None, cut: Column | None = None
+) -> Column:
+    """True for the first `k` rows, by the columns `k` and `cut` of `cutoffs` unless given."""
+    k = F.col("k") if k is None else k
+    cut = F.col("cut") if cut is None else cut
+    return (k > 0) & (cut.isNull() | (F.struct(key, *idents) <= cut))
 
 
 def keep_first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnmill.config import TIERS, Tier, tier_targets
 from turnmill.functions.verdict import ACCEPTED
-from turnmill.operators.order import Cut, cutoffs, within_cut
-
-MAX_TIERS = 10_000
+from turnmill.operators.order import cutoffs, small_side, within_cut
 
 
 def quota_table(
     spark: SparkSession, total: int, tiers: tuple[Tier, ...] = TIERS
 ) -> DataFrame:
-    """`tier, tier_no, rule, target`; small by construction, which callers rely on to broadcast."""
-    if len(tiers) > MAX_TIERS:
-        raise ValueError(f"more than {MAX_TIERS} tiers; a quota table must stay small")
+    """`tier, tier_no, rule, target`. A caller may bring a table of its own, of any size."""
     targets = tier_targets(total, tiers)
     return spark.createDataFrame(
         [(t.name, t.number, t.rule, targets[t.name]) for t in tiers],
@@ -24,42 +20,39 @@ def quota_table(
     )
 
 
-def by_tier(values: dict) -> Column:
-    """The value of a row's tier."""
-    chosen = F.lit(None)
-    for tier, value in values.items():
-        chosen = F.when(F.col("tier") == tier, F.lit(value)).otherwise(chosen)
-    return chosen
+def quota_cuts(verdicts: DataFrame, ident: str = "conv_id") -> DataFrame:
+    """`tier, k, cut`: the cutoff of each tier with accepted rows, from stored verdicts. To be
+    broadcast if small."""
+    accepted = verdicts.filter(F.col("outcome") == ACCEPTED)
+    cuts = cutoffs(accepted, ["tier", "target"], "draw_key", [ident], F.col("target"))
+    return small_side(cuts.select("tier", "k", "cut"))
 
 
-def apply_quota(
-    verdicts: DataFrame, targets: dict[str, int], ident: str = "conv_id"
-) -> DataFrame:
-    """Add `scanned` and `selected` to stored `verdicts` (`ident, tier, outcome, draw_key`).
+def apply_quota(verdicts: DataFrame, cuts: DataFrame, ident: str = "conv_id") -> DataFrame:
+    """Add `scanned` and `selected` to `verdicts` (`ident, tier, target, outcome, draw_key`).
 
-    A tier is scanned in draw order until `target` rows are accepted. The cutoff of each tier is
-    found first (`operators.order.cutoffs`); marking rows is then a comparison, with no shuffle.
+    A tier is scanned in draw order until `target` rows are accepted. Its cutoff comes from a join
+    with one narrow row per tier. Without an accepted row there is no cutoff: all rows
+    were looked at, unless none was wanted.
     """
-    accepted = verdicts.filter(F.col("outcome") == ACCEPTED)
-    target = by_tier(targets)
-    cuts = cutoffs(accepted, "tier", "draw_key", ident, target)
-    # Without an accepted row there is no cutoff: all rows were looked at, unless none was wanted.
-    scanned = target > 0
-    for tier, cut in cuts.items():
-        scanned = F.when(F.col("tier") == tier, within_cut(cut, "draw_key", ident)).otherwise(
-            scanned
-        )
-    return verdicts.withColumn("scanned", scanned).withColumn(
-        "selected", F.col("scanned") & (F.col("outcome") == ACCEPTED)
+    scanned = within_cut("draw_key", [ident], F.col("target"))
+    return (
+        verdicts.join(cuts, "tier", "left")
+        .withColumn("scanned", scanned)
+        .withColumn("selected", F.col("scanned") & (F.col("outcome") == ACCEPTED))
+        .drop("cut", "k")
     )
 
 
 def exact_split(
-    rows: DataFrame, share: float, key: str = "split_key", ident: str = "conv_id"
+    rows: DataFrame,
+    share: float,
+    key: str = "split_key",
+    idents: tuple[str, ...] = ("conv_id",),
 ) -> DataFrame:
     """Add `split` to stored rows: exactly `int(n * share)` are `eval`, the first in `key` order."""
     k = F.floor(F.col("n_rows") * F.lit(float(share)))
-    cut = cutoffs(rows, None, key, ident, k).get(None, Cut(0, 0))
-    return rows.withColumn(
-        "split", F.when(within_cut(cut, key, ident), "eval").otherwise("train")
-    )
+    # One row, or none for an empty table, in which case there is nothing to mark either.
+    cuts = cutoffs(rows, [], key, list(idents), k)
+    inside = within_cut(key, list(idents), cuts.select("k").scalar(), cuts.select("cut").scalar())
+    return rows.withColumn("split", F.when(inside, "eval").otherwise("train"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -10,19 +9,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from turnmill.config import OTHER_LANGUAGE_TIER, SEED, THAI, TARGET_SOURCE, Limits, Script
 from turnmill.functions import messages as ms, text as tx
 from turnmill.functions.verdict import ACCEPTED, measures_of, outcome
-from turnmill.operators.order import keep_first
-from turnmill.operators.quota import apply_quota, by_tier, exact_split
+from turnmill.operators.order import keep_first, small_side, within_cut
+from turnmill.operators.quota import apply_quota, exact_split, quota_cuts
 from turnmill.operators.turns import assemble, conversation_facts
 from turnmill.session import materialize
 
-# A tier is first judged over so many times its quota, plus a few rows for small quotas.
-FIRST_LOOK = 4
-FIRST_LOOK_SPARE = 200
-# Bounds on a hex key.
-NO_ROWS = ""
-ALL_ROWS = "g"
-
-
 def tier_of(dataset: Column, source: Column, main_dataset: str) -> Column:
     """Tier of a row. Sources are compared so that NULL and "" count as other sources."""
     return (
@@ -41,87 +32,99 @@ class Curated:
     corpus: DataFrame
 
 
-def _first_bounds(sizes: dict[str, int], targets: dict[str, int]) -> dict[str, str]:
-    """How far into each tier's draw order to look first, as an upper bound on the draw key."""
-    bounds = {}
-    for tier, target in targets.items():
-        share = (FIRST_LOOK * target + FIRST_LOOK_SPARE) / max(sizes.get(tier, 0), 1)
-        if target == 0:
-            bounds[tier] = NO_ROWS
-        elif share >= 0.5:
-            bounds[tier] = ALL_ROWS
-        else:
-            bounds[tier] = f"{int(share * 16**8):08x}"
-    return bounds
+@dataclass(frozen=True)
+class Scanned:
+    """`verdicts` as in `Curated`, with `target`, and the tiers' cutoffs."""
+
+    verdicts: DataFrame
+    cuts: DataFrame
+
+
+class RepeatedRow(ValueError):
+    """A row key that occurs twice in one tier."""
 
 
 def scan_verdicts(
-    tiers: DataFrame,
-    measure: Callable[[Column | None], DataFrame],
+    measured: DataFrame,
     quotas: DataFrame,
     script: Script,
     limits: Limits,
     seed: int,
     ident: str,
     places: tuple[str, ...] = (),
-) -> DataFrame:
-    """Judge rows in draw order until each tier's quota is full; the narrow result is stored.
-
-    `tiers` has `ident, tier` of every candidate, repeated or not. `measure` gives one row per
-    conversation with the measures and `tier`, for all of them or those that meet a condition
-    on `tier` and `draw_key`. A tier much larger than its quota is first judged up to a bound
-    that should fill it; only a tier left short is judged to its end. Either way the rows
-    returned are exactly those up to the one that fills the quota. What comes to the driver is
-    a number or two per tier.
+) -> Scanned:
+    """Judge rows once and mark those in draw order up to the one that fills the tier's quota.
+
+    `measured` has one row per conversation and tier with the measures; tiers without a quota
+    are left out. The judged rows are narrow and stored; cutoffs, counts and marks work on them.
+    Raises `RepeatedRow` if a tier has a row key twice, since the draw order would not
+    tell the rows apart.
     """
-    targets = {row["tier"]: row["target"] for row in quotas.collect()}
-    known = tiers.filter(F.col("tier").isin(list(targets)))
-    sizes = known.groupBy("tier").agg(F.approx_count_distinct(ident).alias("n")).collect()
-    bounds = _first_bounds({row["tier"]: row["n"] for row in sizes}, targets)
-
-    def judged(condition: Column | None) -> DataFrame:
-        verdict = (
-            measure(condition)
-            .join(F.broadcast(quotas), "tier")
-            .withColumn("outcome", outcome(F.col("rule"), script, limits))
-            .withColumn("draw_key", tx.draw_key(seed, F.col("tier"), F.col(ident)))
-        )
-        columns = [ident, "tier", "tier_no", "outcome", "draw_key", *places]
-        return materialize(verdict.select(*columns), "verdicts")
-
-    if set(bounds.values()) == {ALL_ROWS}:
-        verdicts = judged(None)
-    else:
-        verdicts = judged(F.col("draw_key") < by_tier(bounds))
-        accepted = verdicts.filter(F.col("outcome") == ACCEPTED).groupBy("tier").count().collect()
-        taken = {row["tier"]: row["count"] for row in accepted}
-        short = {
-            tier: bound
-            for tier, bound in bounds.items()
-            if bound != ALL_ROWS and taken.get(tier, 0) < targets[tier]
-        }
-        if short:
-            rest = judged(F.col("draw_key") >= by_tier(short))
-            verdicts = verdicts.unionByName(rest)
-    return apply_quota(verdicts, targets, ident).filter("scanned").drop("scanned")
+    verdict = (
+        measured.join(small_side(quotas), "tier")
+        .withColumn("outcome", outcome(F.col("rule"), script, limits))
+        .withColumn("draw_key", tx.draw_key(seed, F.col("tier"), F.col(ident)))
+    )
+    columns = [ident, "tier", "tier_no", "target", "outcome", "draw_key", *places]
+    verdicts = materialize(verdict.select(*columns), "verdicts")
+    twice = verdicts.groupBy("tier", ident).count().filter("count > 1").first()
+    if twice:
+        raise RepeatedRow(f"{ident} {twice[ident]} occurs {twice['count']} times in {twice['tier']}")
+    cuts = quota_cuts(verdicts, ident)
+    marked = apply_quota(verdicts, cuts, ident).filter("scanned").drop("scanned")
+    return Scanned(marked, cuts)
+
+
+def _before_cut(rows: DataFrame, cuts: DataFrame, seed: int, ident: str) -> DataFrame:
+    """Those of `rows` (with `tier`) that come no later than their tier's cutoff.
+
+    The draw key follows from tier and key, so this is decided on the row itself: texts past the
+    cutoff are never shuffled. Every selected row passes.
+    """
+    keyed = rows.withColumn("draw_key", tx.draw_key(seed, F.col("tier"), F.col(ident)))
+    return keyed.join(cuts, "tier").filter(within_cut("draw_key", [ident])).drop("cut", "k")
 
 
 def _finish(
-    verdicts: DataFrame, texts: DataFrame, limits: Limits, seed: int, ident: str
+    scanned: Scanned, texts: DataFrame, limits: Limits, seed: int, ident: str
 ) -> Curated:
     opening = ms.first_text_of(F.col("messages"), "user")
     keyed = texts.withColumn("dedup_key", tx.prefix_key(opening, limits.dedup_chars))
     unique = keep_first(keyed, ["dedup_key"], ["tier_no", "draw_key", ident]).withColumn(
         "split_key", tx.draw_key(seed, "split", F.col(ident))
     )
-    corpus = exact_split(materialize(unique, "unique"), limits.eval_share, "split_key", ident)
-    return Curated(verdicts, corpus.select(ident, "tier", "tier_no", "split", "messages"))
+    unique = materialize(unique, "unique")
+    corpus = exact_split(unique, limits.eval_share, "split_key", (ident, "tier"))
+    return Curated(
+        scanned.verdicts.drop("target"),
+        corpus.select(ident, "tier", "tier_no", "split", "messages"),
+    )
 
 
-def _chosen(verdicts: DataFrame, columns: list[str]) -> DataFrame:
+def _chosen(scanned: Scanned, columns: list[str]) -> DataFrame:
     """The selected rows as a stored table, whose real size decides how the text is joined: a
     quota's few rows are broadcast, more than `autoBroadcastJoinThreshold` are not."""
-    return materialize(verdicts.filter("selected").select(*columns), "chosen")
+    return materialize(scanned.verdicts.filter("selected").select(*columns), "chosen")
+
+
+def _scan_turns(
+    turns: DataFrame,
+    tier: Column | DataFrame,
+    quotas: DataFrame,
+    script: Script,
+    limits: Limits,
+    seed: int,
+) -> Scanned:
+    facts = conversation_facts(turns, script, limits)
+    return scan_verdicts(
+        _with_tier(facts, tier), quotas, script, limits, seed, "conv_id", ("system_turn",)
+    )
+
+
+def _with_tier(rows: DataFrame, tier: Column | DataFrame) -> DataFrame:
+    if isinstance(tier, DataFrame):
+        return rows.join(tier.select("conv_id", "tier"), "conv_id")
+    return rows.withColumn("tier", tier)
 
 
 def turn_verdicts(
@@ -136,29 +139,7 @@ def turn_verdicts(
 
     `tier` is an expression over `conv_id`, or a table `conv_id, tier`.
     """
-    by_table = isinstance(tier, DataFrame)
-    label = lambda df: df.join(tier, "conv_id") if by_table else df.withColumn("tier", tier)
-    keyed = lambda df: df.withColumn("draw_key", tx.draw_key(seed, F.col("tier"), F.col("conv_id")))
-
-    def measure(condition: Column | None) -> DataFrame:
-        part = turns
-        if condition is not None and by_table:
-            ids = materialize(keyed(tier).filter(condition).select("conv_id"), "looked-at")
-            part = turns.join(ids, "conv_id", "left_semi")
-        elif condition is not None:
-            part = keyed(label(turns)).filter(condition)
-        return label(conversation_facts(part, script, limits))
-
-    return scan_verdicts(
-        tier if by_table else label(turns.select("conv_id")),
-        measure,
-        quotas,
-        script,
-        limits,
-        seed,
-        "conv_id",
-        ("system_turn",),
-    )
+    return _scan_turns(turns, tier, quotas, script, limits, seed).verdicts.drop("target")
 
 
 def curate_turns(
@@ -171,12 +152,18 @@ def curate_turns(
 ) -> Curated:
     """Curate conversations stored turn by turn (see `turn_verdicts`).
 
-    The text is scanned down to narrow facts first, then once more for the selected rows.
+    The text is scanned down to narrow facts first, then once more for the selected rows. A tier
+    given as an expression lets turns past its cutoff go at that scan, before any text
+    is shuffled; with a table of tiers the selected rows are the first thing turns are joined with.
     """
-    verdicts = turn_verdicts(turns, tier, quotas, script, limits, seed)
-    chosen = _chosen(verdicts, ["conv_id", "tier", "tier_no", "draw_key", "system_turn"])
-    texts = assemble(turns, chosen).drop("system_turn")
-    return _finish(verdicts, texts, limits, seed, "conv_id")
+    scanned = _scan_turns(turns, tier, quotas, script, limits, seed)
+    chosen = _chosen(scanned, ["conv_id", "tier", "tier_no", "draw_key", "system_turn"])
+    part = turns
+    if not isinstance(tier, DataFrame):
+        near = _before_cut(_with_tier(turns, tier), scanned.cuts, seed, "conv_id")
+        part = near.select(turns.columns)
+    texts = assemble(part, chosen).drop("system_turn")
+    return _finish(scanned, texts, limits, seed, "conv_id")
 
 
 def curate_rows(
@@ -189,23 +176,16 @@ def curate_rows(
 ) -> Curated:
     """Curate conversations stored one per row (`ident, tier, messages`).
 
+    A row is known by tier and `ident` together: splits of different tiers may share identifiers.
     Only narrow verdicts are kept of the first pass; the second normalises the selected rows
     again, which is cheaper than storing every text.
     """
-
-    def measure(condition: Column | None) -> DataFrame:
-        part = rows
-        if condition is not None:
-            key = tx.draw_key(seed, F.col("tier"), F.col(ident))
-            part = rows.withColumn("draw_key", key).filter(condition).drop("draw_key")
-        return measures_of(_normalized(part), "messages", script, limits).drop("messages")
-
-    verdicts = scan_verdicts(
-        rows.select(ident, "tier"), measure, quotas, script, limits, seed, ident
-    )
-    chosen = _chosen(verdicts, [ident, "tier_no", "draw_key"])
-    texts = _normalized(rows.join(chosen, ident)).select(*chosen.columns, "tier", "messages")
-    return _finish(verdicts, texts, limits, seed, ident)
+    measured = measures_of(_normalized(rows), "messages", script, limits).drop("messages")
+    scanned = scan_verdicts(measured, quotas, script, limits, seed, ident)
+    chosen = _chosen(scanned, [ident, "tier", "tier_no", "draw_key"])
+    near = _before_cut(rows, scanned.cuts, seed, ident).drop("draw_key")
+    texts = _normalized(near.join(chosen, [ident, "tier"])).select(*chosen.columns, "messages")
+    return _finish(scanned, texts, limits, seed, ident)
 
 
 def _normalized(rows: DataFrame) -> DataFrame:

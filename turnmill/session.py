@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     # Also where a grouping follows: one long conversation is worth an extra shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rows hold whole texts, so a batch of the default 10,000 may be very large.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
 _LOCAL_WORK_DIRS: dict[str, str] = {}
@@ -53,7 +55,8 @@ def work_dir(spark: SparkSession) -> str:
     named = spark.conf.get(WORK_DIR_CONF, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(f"set {WORK_DIR_CONF} to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_WORK_DIRS:

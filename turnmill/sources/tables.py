@@ -21,8 +21,17 @@ def save_if_absent(df: DataFrame, path: str) -> None:
     df.write.mode("ignore").parquet(path)
 
 
-def union_splits(*splits: DataFrame) -> DataFrame:
-    """All rows of splits whose columns differ; missing columns become NULL."""
+def union_splits(*splits: DataFrame, key: str | None = None, ident: str = "id") -> DataFrame:
+    """All rows of splits whose columns differ; missing columns become NULL.
+
+    `key` names a column that is added: the split's place and `ident`, which is unique over
+    the splits where `ident` is unique in each.
+    """
+    if key:
+        splits = tuple(
+            split.withColumn(key, F.concat_ws(":", F.lit(str(place)), F.col(ident).cast("string")))
+            for place, split in enumerate(splits)
+        )
     first, *rest = splits
     for split in rest:
         first = first.unionByName(split, allowMissingColumns=True)
