@@ -273,7 +273,7 @@ firsts AS (SELECT dataset, min(conv_id) AS conv_id FROM tagged WHERE dataset <>
 PACKED = f"""
 {TOKEN_LINES},
 keyed AS (SELECT line_no AS conv_id, n_tokens, md5('42:pack:' || line_no) AS draw_key,
-                 greatest(ceil((SELECT count(*) FROM lines) / 50::DOUBLE), 1) AS shards FROM lines),
+                 7::DOUBLE AS shards FROM lines),
 placed AS (SELECT conv_id, n_tokens, draw_key,
                   CAST(floor(CAST('0x' || substring(draw_key, 1, 12) AS BIGINT)::DOUBLE * shards
                              / 281474976710656::DOUBLE) AS BIGINT) AS shard FROM keyed),
@@ -320,7 +320,7 @@ WITH {EXCHANGES}, f AS (SELECT {SOURCE} AS source, {has_script(X_TEXT)} AS has_s
 SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE has_script) AS n_script,
        {pct('count(*) FILTER (WHERE has_script)', 'count(*)')} AS pct_script FROM f GROUP BY source""",
     "json_script_share": f"""
-WITH f AS (SELECT {has_script(f'({CHAT_TEXT})')} AS has_script FROM documents)
+WITH f AS (SELECT {has_script('text')} AS has_script FROM documents)
 SELECT 'unknown' AS source, count(*) AS n_rows, count(*) FILTER (WHERE has_script) AS n_script,
        {pct('count(*) FILTER (WHERE has_script)', 'count(*)')} AS pct_script FROM f""",
     "row_sample_messages": f"""
@@ -494,6 +494,18 @@ WITH {TOKEN_LINES} SELECT count(*) FILTER (WHERE n_tokens > 1000) AS n_over,
 WITH {EXCHANGES}, n AS (SELECT {tokens(f'length({X_TEXT})', n_script(X_TEXT))} <= 150 AS fits FROM x)
 SELECT count(*) AS n_before, count(*) FILTER (WHERE fits) AS n_after,
        count(*) FILTER (WHERE NOT fits) AS n_removed FROM n""",
+    "plugged_line_tokens": f"""
+WITH {EXCHANGES}
+SELECT length({X_TEXT}) - length(replace({X_TEXT}, ' ', '')) + 1
+       + 4 * (1 + (system IS NOT NULL)::BIGINT + (reply IS NOT NULL)::BIGINT)
+       + CASE WHEN system IS NULL THEN 21 ELSE 0 END AS n_tokens, count(*) AS n_lines
+FROM x GROUP BY 1""",
+    "token_rewrite_run": f"""
+WITH {EXCHANGES}
+SELECT corpus, row_number() OVER (PARTITION BY corpus ORDER BY id) AS line_no, md5(txt) AS text_md5
+FROM (SELECT id, {X_TEXT} AS txt,
+             CASE WHEN system IS NOT NULL OR reply IS NOT NULL THEN 'train' ELSE 'eval' END AS corpus FROM x)
+WHERE {tokens('length(txt)', n_script('txt'))} <= 150""",
     "exchange_tokens_with_template": f"""
 WITH {EXCHANGES} SELECT id, {tokens(f'length({X_TEXT})', n_script(X_TEXT))}
        + 4 * (1 + (system IS NOT NULL)::BIGINT + (reply IS NOT NULL)::BIGINT)

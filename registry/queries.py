@@ -570,6 +570,33 @@ def token_rewrite(spark, sf_dir):
     )
 
 
+@query
+def plugged_line_tokens(spark, sf_dir):
+    """Written lines counted by a Python counter, with a chat template on top."""
+    path = fresh_path(spark, "lines")
+    jsonl.write_jsonl(src.exchanges(spark, sf_dir), path)
+    pieces = audits.counter_udf(lambda: lambda text: text.count(" ") + 1)
+    template = lambda n, m: audits.with_overhead(n, m, per_message=4, system_prompt=21)
+    counted = audits.count_read(jsonl.read_lines(spark, path), pieces, template)
+    return counted.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@query
+def token_rewrite_run(spark, sf_dir):
+    """A run filtered in place: splits stay, and so does the order of lines."""
+    root = fresh_path(spark, "runs")
+    answered = F.when(F.size("messages") > 1, "train").otherwise("eval")
+    chats = src.exchanges(spark, sf_dir).withColumn("split", answered)
+    jsonl.write_run(chats.repartitionByRange(4, "id").sortWithinPartitions("split", "id"), root, "r1")
+    audits.filter_corpus(spark, f"{root}/run_id=r1", _estimate, TokenLimits(max=150))
+    lines = materialize(jsonl.read_run(spark, root, "r1"), "lines")
+    return jsonl.with_line_numbers(lines).select(
+        "corpus",
+        F.col("line_no").cast("bigint").alias("line_no"),
+        F.md5(ms.conversation_text(ms.parse_json(F.col("line")))).alias("text_md5"),
+    )
+
+
 @query
 def exchange_tokens_with_template(spark, sf_dir):
     """Token counts with a chat template's overhead, its system prompt unless there is one."""
@@ -653,13 +680,13 @@ def _packable(spark, sf_dir):
 
 
 PACK_CAPACITY = 1200
-PACK_SHARD_ROWS = 50
+PACK_SHARDS = 7
 
 
 @query
 def packing_plan(spark, sf_dir):
     plan = packing.packing_plan(
-        _packable(spark, sf_dir), "conv_id", PACK_CAPACITY, PACK_SHARD_ROWS
+        _packable(spark, sf_dir), "conv_id", PACK_CAPACITY, PACK_SHARDS
     )
     return plan.select("conv_id", "n_tokens", "shard", "bin", "oversized")
 
@@ -667,7 +694,7 @@ def packing_plan(spark, sf_dir):
 @query
 def packing_report(spark, sf_dir):
     plan = packing.packing_plan(
-        _packable(spark, sf_dir), "conv_id", PACK_CAPACITY, PACK_SHARD_ROWS
+        _packable(spark, sf_dir), "conv_id", PACK_CAPACITY, PACK_SHARDS
     )
     return packing.packing_report(plan, PACK_CAPACITY)
 

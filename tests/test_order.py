@@ -183,18 +183,18 @@ def test_first_stored_rows(spark, tmp_path):
         assert sorted(r["id"] for r in got) == sorted(in_order[:n])
 
 
-@pytest.mark.parametrize("shard_rows", [25, 10_000])
-def test_packing_is_next_fit_in_draw_order(spark, shard_rows):
+@pytest.mark.parametrize("n_shards", [12, 1])
+def test_packing_is_next_fit_in_draw_order(spark, n_shards):
     pick = random.Random(2)
     rows = [(i, pick.choice([5, 40, 90, 100, 130, 250]), _md5(str(i))) for i in range(300)]
     df = spark.createDataFrame(rows, "id bigint, n_tokens bigint, draw_key string")
-    plan = packing.packing_plan(df.repartition(5), "id", 100, shard_rows)
+    plan = packing.packing_plan(df.repartition(5), "id", 100, n_shards)
     got = {r["id"]: r for r in plan.collect()}
     shards = {}
     for ident, length, key in sorted(rows, key=lambda r: r[2]):
         shards.setdefault(got[ident]["shard"], []).append((ident, length))
     assert list(shards) == sorted(shards)
-    assert len(shards) == (1 if shard_rows > 300 else 12)
+    assert len(shards) == n_shards
     for items in shards.values():
         assert [got[i]["bin"] for i, _ in items] == next_fit([n for _, n in items], 100)
     report = packing.packing_report(plan, 100, 16).first()
@@ -204,6 +204,16 @@ def test_packing_is_next_fit_in_draw_order(spark, shard_rows):
     assert report["steps_per_epoch"] == -(-len(bins) // 16)
 
 
+def test_packing_of_string_ids_and_of_one_row_more(spark):
+    rows = [(f"c{i}", 10 + i % 50, _md5(str(i))) for i in range(400)]
+    shape = "id string, n_tokens bigint, draw_key string"
+    plan = lambda r: {x["id"]: (x["shard"], x["bin"]) for x in
+                      packing.packing_plan(spark.createDataFrame(r, shape), "id", 100, 9).collect()}
+    before, after = plan(rows), plan(rows + [("new", 33, "0" * 32)])
+    assert after.pop("new")[0] == 0
+    assert all(before[i] == after[i] for i in before if before[i][0] != 0)
+
+
 def test_curating_rows_end_to_end(spark):
     """Thai by default; duplicates, quota, split and text all follow the rules."""
     k = "ภาษาไทย"

@@ -3,7 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from turnmill.config import TokenLimits
 from turnmill.functions import messages as ms
+from turnmill.plans import audits
 from turnmill.session import materialize, work_dir
 from turnmill.sources import jsonl, tables
 
@@ -49,9 +51,76 @@ def test_runs_are_kept_apart(spark, tmp_path):
 def test_rewrite_in_place(spark, tmp_path):
     path = str(tmp_path / "t")
     jsonl.write_jsonl(_chats(spark), path)
-    keep = spark.read.text(path).filter(F.col("value").contains('"ตอบ 1"'))
+    keep = jsonl.read_ordered(spark, path).filter(F.col("line").contains('"ตอบ 1"'))
     assert jsonl.rewrite_lines(spark, path, keep) == 1
     assert spark.read.text(path).count() == 1
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def _line(text, reply="r"):
+    return json.dumps([{"role": "user", "content": text}, {"role": "assistant", "content": reply}])
+
+
+def test_filtering_a_run_keeps_its_splits_and_the_order_of_lines(spark, tmp_path):
+    """Parts of very different size; one split loses all its lines."""
+    run = tmp_path / "run_id=a"
+    numbers = iter(range(10_000))
+    for split, sizes in (("train", [5, 400, 50]), ("eval", [3])):
+        (run / f"split={split}").mkdir(parents=True)
+        for part, size in enumerate(sizes):
+            lines = [_line("x" * (4000 if split == "eval" or k % 7 == 3 else 4), str(next(numbers))) for k in range(size)]
+            (run / f"split={split}" / f"part-{part}.txt").write_text("\n".join(lines) + "\n\n")
+    want = [line for p in sorted((run / "split=train").iterdir()) for line in p.read_text().splitlines() if line and len(line) < 2000]
+    removed = audits.filter_corpus(spark, str(run), lambda t: F.length(t), TokenLimits(max=500))
+    assert removed == 455 - len(want) + 3
+    numbered = jsonl.with_line_numbers(materialize(jsonl.read_run(spark, str(tmp_path), "a", "train"), "lines"))
+    assert [r["line"] for r in numbered.orderBy("line_no").collect()] == want
+    assert {r["corpus"] for r in numbered.collect()} == {"train"}
+    assert jsonl.read_run(spark, str(tmp_path), "a", "eval").count() == 0
+
+
+def test_files_are_named_by_their_place_and_all_reported(spark, tmp_path):
+    for name, lines in (("a/train.jsonl", [_line("q"), "no json"]), ("b/train.jsonl", [_line("q")]), ("b/none.jsonl", [])):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("".join(x + "\n" for x in lines))
+    glob = f"{tmp_path}/*/*.jsonl"
+    lines, named = jsonl.read_lines(spark, glob), jsonl.corpora(spark, glob)
+    report = audits.audit_summary(audits.audit_read(lines), named).collect()
+    got = [(r["corpus"], r["n_valid"], r["n_errors"]) for r in report]
+    assert got == [("a/train.jsonl", 1, 1), ("b/none.jsonl", 0, 0), ("b/train.jsonl", 1, 0)]
+    counted = audits.count_read(jsonl.read_lines(spark, f"{tmp_path}/b/*.jsonl"), lambda t: F.length(t))
+    figures = audits.token_distribution(counted, corpora=jsonl.corpora(spark, f"{tmp_path}/b/*.jsonl"))
+    assert [(r["corpus"], r["n"], r["median"]) for r in figures.collect()] == [("none.jsonl", 0, 0), ("train.jsonl", 1, 3)]
+    one = jsonl.read_lines(spark, f"{tmp_path}/a/train.jsonl").select("corpus").distinct().collect()
+    assert [r["corpus"] for r in one] == ["train.jsonl"]
+
+
+def test_a_split_without_rows_stays_readable(spark, tmp_path):
+    jsonl.write_run(_chats(spark).filter("split = 'train'"), str(tmp_path), "a")
+    assert jsonl.read_run(spark, str(tmp_path), "a", "eval").count() == 0
+    assert jsonl.read_run(spark, str(tmp_path), "a").count() == 4
+
+
+def test_a_bad_prompt_line_stops(spark, tmp_path):
+    (tmp_path / "p.jsonl").write_text('[{"role":"user","content":"a"}]\nnot json\n')
+    with pytest.raises(Exception, match="not a JSON list"):
+        jsonl.read_prompts(spark, str(tmp_path / "p.jsonl")).collect()
+
+
+def test_template_counts_of_lines(spark, tmp_path):
+    path = str(tmp_path / "l.jsonl")
+    system = json.dumps([{"role": "system", "content": "s"}, {"role": "user", "content": "a b"}])
+    (tmp_path / "l.jsonl").write_text(_line("one two") + "\n" + system + "\n")
+    words = audits.counter_udf(lambda: lambda text: len(text.split()))
+    template = lambda n, m: audits.with_overhead(n, m, per_message=4, system_prompt=20)
+    counted = audits.count_read(jsonl.read_lines(spark, path), words, template)
+    assert [r["n_tokens"] for r in counted.orderBy("line_no").collect()] == [3 + 8 + 20, 3 + 8]
+
+
+def test_deep_and_long_json(spark):
+    deep, number = "[" * 1200 + "]" * 1200, "[" + "1" * 1500 + "]"
+    rows = spark.createDataFrame([(deep,), (number,), ("[1",)], "t string")
+    assert [r[0] for r in rows.select(ms.parse_json(F.col("t")).isNotNull()).collect()] == [True, True, False]
 
 
 def test_records_are_written_per_variant(spark, tmp_path):

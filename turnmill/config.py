@@ -17,7 +17,11 @@ class Script:
 
     @property
     def has_ascii(self) -> bool:
-        return re.search(self.one, "".join(map(chr, range(128)))) is not None
+        """Whether ASCII-only texts have to be tested; yes for classes only Java's regex knows."""
+        try:
+            return re.search(self.one, "".join(map(chr, range(128)))) is not None
+        except re.error:
+            return True
 
     @property
     def one(self) -> str:

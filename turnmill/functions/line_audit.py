@@ -62,7 +62,10 @@ def audit_line(df: DataFrame, line: str, script: Script) -> DataFrame:
         .withColumn("_repeat", ms.first_repeat(F.col("_inspected")))
         .withColumn(
             "code",
-            F.when(document.isNull(), "invalid_json")
+            F.when(
+                document.isNull() & (F.octet_length(line) > ms.MAX_DOCUMENT_BYTES), "too_large"
+            )
+            .when(document.isNull(), "invalid_json")
             .when(F.col("_inspected").isNull(), "not_list")
             .when(n < 2, "too_few")
             .when(F.col("_fault.code").isNotNull(), F.col("_fault.code"))

@@ -19,8 +19,15 @@ from turnmill.functions import text as tx
 MESSAGES_TYPE = "array<struct<role:string,content:string>>"
 
 
-# No single quotes, as JSON has it; texts may be as long as a string can be.
-JSON_OPTIONS = {"allowSingleQuotes": "false", "maxStringLen": str(2**31 - 1)}
+# No single quotes, as JSON has it; texts, numbers and nesting as long and deep as can be read.
+JSON_OPTIONS = {
+    "allowSingleQuotes": "false",
+    "maxStringLen": str(2**31 - 1),
+    "maxNumLen": str(2**31 - 1),
+    "maxNestingDepth": "100000",
+}
+# What a VARIANT value can hold; a larger document is not parsed.
+MAX_DOCUMENT_BYTES = 128 * 1024 * 1024
 
 
 def parse_json(raw: Column) -> Column:

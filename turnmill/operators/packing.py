@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from turnmill.config import EFFECTIVE_BATCH, PACKED_LENGTH
-from turnmill.session import materialize
 
-ROWS_PER_SHARD = 50_000
+SHARDS = 64
 KEY_DIGITS = 12  # 48 bits of the draw key place a row in a shard
 
 
@@ -31,27 +28,28 @@ def packing_plan(
     rows: DataFrame,
     ident: str,
     capacity: int = PACKED_LENGTH,
-    rows_per_shard: int = ROWS_PER_SHARD,
+    shards: int = SHARDS,
 ) -> DataFrame:
     """Bins for rows `ident, n_tokens, draw_key`: `ident, n_tokens, shard, bin, oversized`.
 
-    Draw order is cut into shards of about `rows_per_shard` rows, so the only sequential work
-    is inside a bounded shard of three narrow columns. Next-fit closes a bin when the next item
-    does not fit; an item over `capacity` gets a bin alone.
+    Draw order is cut into `shards` equal ranges of the draw key, and the only sequential work
+    is inside a shard of three narrow columns. The number of shards does not follow the table, so
+    a row more or less changes the bins of its own shard alone; give a large table more shards
+    (tens of thousands of rows each are little work). Next-fit closes a bin when the next
+    item does not fit; an item over `capacity` gets a bin alone.
     """
-    stored = materialize(rows.select(ident, F.col("n_tokens").cast("bigint"), "draw_key"), "pack")
-    n_shards = max(1, math.ceil(stored.count() / rows_per_shard))
-    # The leading bits of a uniform key, scaled to 0..n_shards-1, keep shards in key order.
+    narrow = rows.select(ident, F.col("n_tokens").cast("bigint"), "draw_key")
+    # The leading bits of a uniform key, scaled to 0..shards-1, keep shards in key order.
     place = F.conv(F.substring("draw_key", 1, KEY_DIGITS), 16, 10).cast("double")
-    shard = F.floor(place * F.lit(float(n_shards)) / F.lit(float(16**KEY_DIGITS)))
-    narrow = stored.withColumn("shard", shard)
+    shard = F.floor(place * F.lit(float(shards)) / F.lit(float(16**KEY_DIGITS)))
+    narrow = narrow.withColumn("shard", shard)
 
     def pack(shard_rows: pd.DataFrame) -> pd.DataFrame:
         ordered = shard_rows.sort_values(["draw_key", ident], ignore_index=True)
         ordered["bin"] = _fill(ordered["n_tokens"].to_numpy(), capacity)
         return ordered[[ident, "n_tokens", "shard", "bin"]]
 
-    schema = f"{ident} bigint, n_tokens bigint, shard bigint, bin bigint"
+    schema = f"`{ident}` {dict(rows.dtypes)[ident]}, n_tokens bigint, shard bigint, bin bigint"
     return (
         narrow.groupBy("shard")
         .applyInPandas(pack, schema)

@@ -12,7 +12,7 @@ from turnmill.functions import messages as ms, text as tx
 from turnmill.functions.line_audit import audit_line
 from turnmill.operators.order import first_per_group, ranked_values
 from turnmill.session import materialize
-from turnmill.sources.jsonl import is_blank, rewrite_lines, with_line_numbers
+from turnmill.sources.jsonl import is_blank, read_ordered, rewrite_lines, with_line_numbers
 
 ERRORS_SHOWN = 10
 OVER_MAX_SHOWN = 20
@@ -46,11 +46,21 @@ def audit_read(lines: DataFrame, script: Script = THAI) -> DataFrame:
     return with_line_numbers(_audit_once(lines, script)).filter("code is not null")
 
 
-def audit_summary(audited: DataFrame) -> DataFrame:
-    """Per corpus: valid lines, errors, script counts and shares, mean turns (NULL if none)."""
+def _for_every(report: DataFrame, corpora: DataFrame | None, counts: list[str]) -> DataFrame:
+    """`report` with a row for each of `corpora`; where there was none, `counts` are 0."""
+    if corpora is None:
+        return report
+    return corpora.join(report, "corpus", "left").fillna(0, counts)
+
+
+def audit_summary(audited: DataFrame, corpora: DataFrame | None = None) -> DataFrame:
+    """Per corpus: valid lines, errors, script counts and shares, mean turns (NULL if none).
+
+    With `corpora` (see `sources.jsonl.corpora`) a file without lines has a row too.
+    """
     valid = F.col("code") == "valid"
     n_valid, n_script = F.count_if(valid), F.count_if(valid & F.col("has_script"))
-    return (
+    report = (
         audited.groupBy("corpus")
         .agg(
             n_valid.alias("n_valid"),
@@ -61,8 +71,9 @@ def audit_summary(audited: DataFrame) -> DataFrame:
             tx.percent(n_valid - n_script, n_valid).alias("pct_other"),
             F.avg(F.when(valid, F.col("n_messages"))).alias("mean_turns"),
         )
-        .orderBy("corpus")
     )
+    counts = ["n_valid", "n_errors", "n_script", "n_other"]
+    return _for_every(report, corpora, counts).orderBy("corpus")
 
 
 def first_errors(audited: DataFrame, n: int = ERRORS_SHOWN) -> DataFrame:
@@ -113,10 +124,17 @@ def with_overhead(
     return n_tokens + F.size(messages) * per_message + added
 
 
-def count_lines(lines: DataFrame, counter: Callable[[Column], Column]) -> DataFrame:
+Template = Callable[[Column, Column], Column]
+
+
+def count_lines(
+    lines: DataFrame, counter: Callable[[Column], Column], template: Template | None = None
+) -> DataFrame:
     """Add `n_tokens` of the text in each JSON line; NULL for a blank one.
 
-    A line that is no JSON stops the job, as the format audit should have run before.
+    `counter` counts the joined text. `template` makes the final count of that and the line's
+    messages, as `with_overhead` does. A line that is no JSON stops the job, as the
+    format audit should have run before.
     """
     parsed = lines.withColumn("_document", ms.parse_json(tx.strip(F.col("line"))))
     stop = F.raise_error(F.concat(F.lit("not JSON: "), tx.preview(F.col("line"), 200)))
@@ -124,17 +142,23 @@ def count_lines(lines: DataFrame, counter: Callable[[Column], Column]) -> DataFr
         ms.conversation_text(F.col("_document"))
     )
     text = F.when(~is_blank(F.col("line")), text)
-    return parsed.withColumn("_text", text).withColumn("n_tokens", counter(F.col("_text"))).drop(
-        "_document", "_text"
-    )
+    counted = parsed.withColumn("_text", text).withColumn("n_tokens", counter(F.col("_text")))
+    if template:
+        messages = ms.inspect_json(ms.elements(F.col("_document")))
+        counted = counted.withColumn("_messages", messages).withColumn(
+            "n_tokens", template(F.col("n_tokens"), F.col("_messages"))
+        )
+    return counted.drop("_document", "_text", "_messages")
 
 
-def count_read(lines: DataFrame, counter: Callable[[Column], Column]) -> DataFrame:
+def count_read(
+    lines: DataFrame, counter: Callable[[Column], Column], template: Template | None = None
+) -> DataFrame:
     """`corpus, line_no, n_tokens` of lines from `sources.jsonl.read_lines`.
 
     Counted once and stored; every report below reads the narrow result.
     """
-    stored = materialize(count_lines(lines, counter).drop("line"), "tokens")
+    stored = materialize(count_lines(lines, counter, template).drop("line"), "tokens")
     return with_line_numbers(stored).filter("n_tokens is not null")
 
 
@@ -143,24 +167,31 @@ def filter_corpus(
     path: str,
     counter: Callable[[Column], Column],
     limits: TokenLimits = TokenLimits(),
+    template: Template | None = None,
 ) -> int:
     """Take lines over the limit, and blank ones, out of the text table at `path`, in place.
-    Returns how many were over it."""
-    lines = spark.read.text(path).withColumnRenamed("value", "line")
-    counted = materialize(count_lines(lines, counter), "counted")
-    kept = counted.filter(F.col("n_tokens") <= limits.max)
-    rewrite_lines(spark, path, kept.select(F.col("line").alias("value")))
-    return counted.filter(F.col("n_tokens") > limits.max).count()
+    Returns how many were over it.
+
+    Folders of partition columns, such as the splits of a run, and the order of lines stay as they
+    are. The old files are there until the new ones are complete (`rewrite_lines`).
+    """
+    counted = count_lines(read_ordered(spark, path), counter, template)
+    over = counted.filter(F.col("n_tokens") > limits.max).count()
+    rewrite_lines(spark, path, counted.filter(F.col("n_tokens") <= limits.max).drop("n_tokens"))
+    return over
 
 
-def token_distribution(counted: DataFrame, limits: TokenLimits = TokenLimits()) -> DataFrame:
+def token_distribution(
+    counted: DataFrame, limits: TokenLimits = TokenLimits(), corpora: DataFrame | None = None
+) -> DataFrame:
     """Per corpus: size, spread and exact order statistics of `n_tokens`, and lines over limits.
 
-    The statistic at share p is the value at zero-based place `int(n * p)`.
+    The statistic at share p is the value at zero-based place `int(n * p)`. With `corpora` a
+    file without lines has a row of zeros.
     """
     at = lambda p: F.floor(F.col("n") * F.lit(p))
     tokens = F.col("n_tokens")
-    return ranked_values(
+    report = ranked_values(
         counted,
         ["corpus"],
         "n_tokens",
@@ -169,7 +200,9 @@ def token_distribution(counted: DataFrame, limits: TokenLimits = TokenLimits())
             "over_warn": (tokens > limits.warn) & (tokens <= limits.max),
             "over_max": tokens > limits.max,
         },
-    ).orderBy("corpus")
+    )
+    figures = [name for name in report.columns if name != "corpus"]
+    return _for_every(report, corpora, figures).orderBy("corpus")
 
 
 def over_limit(counted: DataFrame, limits: TokenLimits = TokenLimits()) -> DataFrame:

@@ -95,15 +95,16 @@ def measured_rows(rows: DataFrame, script: Script = THAI) -> DataFrame:
         found = F.exists(m, lambda x: tx.contains_script(x["content"], script))
         return rows.withColumns(
             {
-                "n_messages": F.size(m).cast("bigint"),
+                "n_messages": F.array_size(m).cast("bigint"),
                 "has_script": F.coalesce(found, F.lit(False)),
             }
         )
     parsed = rows.withColumn("_document", ms.parse_json(m))
-    text = ms.conversation_text(F.col("_document"), m)
+    # Profiling looks at JSON text as it is written, before any decoding.
+    text = ms.conversation_text(F.col("_document"), m, decode=False)
     return parsed.withColumns(
         {
-            "n_messages": F.size(ms.elements(F.col("_document"))).cast("bigint"),
+            "n_messages": F.array_size(ms.elements(F.col("_document"))).cast("bigint"),
             "has_script": tx.contains_script(text, script),
         }
     ).drop("_document")

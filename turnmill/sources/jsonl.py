@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from turnmill.functions import messages as ms, text as tx
-from turnmill.session import materialize
+
+
+SPLITS = ("train", "eval")
 
 
 class EmptyCorpus(Exception):
@@ -15,7 +20,8 @@ class EmptyCorpus(Exception):
 def read_lines(spark: SparkSession, path: str, corpus: str | None = None) -> DataFrame:
     """Lines of every file `path` matches: `corpus, file, block, seq, line`, blank ones included.
 
-    `corpus` names what is numbered and reported as one; by default each file is its own, and a
+    `corpus` names what is numbered and reported as one; by default each file is its own, by its
+    path below the folder that is read (what a glob leaves fixed), and a
     partition column such as `split` can be given instead. `block` is where the scan's split
     starts in the file and `seq` grows by one per line inside it, which is all that line numbers
     need (`with_line_numbers`).
@@ -26,7 +32,7 @@ def read_lines(spark: SparkSession, path: str, corpus: str | None = None) -> Dat
         if getattr(error, "getCondition", lambda: "")() == "PATH_NOT_FOUND":
             raise EmptyCorpus(path) from error
         raise
-    name = F.col("_metadata.file_name") if corpus is None else F.col(corpus)
+    name = _below(spark, path, F.col("_metadata.file_path")) if corpus is None else F.col(corpus)
     return raw.select(
         name.alias("corpus"),
         F.col("_metadata.file_path").alias("file"),
@@ -36,6 +42,35 @@ def read_lines(spark: SparkSession, path: str, corpus: str | None = None) -> Dat
     )
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The path as its own file system spells it, and that file system."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = named.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(named), system
+
+
+def _below(spark: SparkSession, path: str, file: Column) -> Column:
+    """The place of a file below the fixed part of `path`, or its name if that is a file."""
+    parts = path.split("/")
+    fixed = next((k for k, part in enumerate(parts) if re.search(r"[*?\[{]", part)), len(parts))
+    root, system = _hadoop(spark, "/".join(parts[:fixed]) or "/")
+    if fixed == len(parts) and system.exists(root) and system.getFileStatus(root).isFile():
+        root = root.getParent()
+    start = root.toUri().getRawPath().rstrip("/") + "/"
+    return F.substring(file, F.instr(file, start) + len(start), F.length(file))
+
+
+def corpora(spark: SparkSession, path: str, corpus: str | None = None) -> DataFrame:
+    """`corpus` of every file `path` matches, files without a line included.
+
+    From the listing that every read makes; with `corpus` the value of that partition column.
+    """
+    files = [(name,) for name in spark.read.text(path).inputFiles()]
+    file = F.col("file")
+    own = _below(spark, path, file) if corpus is None else F.regexp_extract(file, f"/{corpus}=([^/]+)/", 1)
+    return spark.createDataFrame(files, "file string").select(own.alias("corpus")).distinct()
+
+
 def is_blank(line: Column) -> Column:
     return ~tx.is_spoken(line)
 
@@ -67,11 +102,16 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
-    """A prompt file: `messages` per line, blank lines skipped."""
+    """A prompt file: `messages` per line, blank lines skipped. A line that is no JSON list stops
+    the job."""
+    value = F.col("value")
+    items = ms.inspect_json(ms.elements(ms.parse_json(tx.strip(value))))
+    stop = F.raise_error(F.concat(F.lit("not a JSON list: "), tx.preview(value, 200)))
     parsed = (
         spark.read.text(path)
-        .filter(~is_blank(F.col("value")))
-        .withColumn("_items", ms.inspect_json(ms.elements(ms.parse_json(tx.strip(F.col("value"))))))
+        .filter(~is_blank(value))
+        .withColumn("_read", items)
+        .withColumn("_items", F.when(F.col("_read").isNull(), stop).otherwise(F.col("_read")))
     )
     return parsed.select(
         F.transform(
@@ -89,16 +129,25 @@ def write_jsonl(df: DataFrame, path: str, by: list[str] | None = None) -> None:
 
 
 def write_run(df: DataFrame, root: str, run_id: str) -> None:
-    """Write a curated corpus as `root/run_id=.../split=...`, replacing that run only."""
-    write_jsonl(df, f"{root}/run_id={run_id}", ["split"])
+    """Write a curated corpus as `root/run_id=.../split=...`, replacing that run only. A split
+    without rows is there as an empty file."""
+    spark, path = df.sparkSession, f"{root}/run_id={run_id}"
+    write_jsonl(df, path, ["split"])
+    for split in SPLITS:
+        folder, system = _hadoop(spark, f"{path}/split={split}")
+        if not system.exists(folder):
+            spark.createDataFrame([], "value string").coalesce(1).write.text(f"{path}/split={split}")
 
 
 def read_run(spark: SparkSession, root: str, run_id: str, split: str | None = None) -> DataFrame:
     """Lines of one run; raises `EmptyCorpus` if the run or the split is not there."""
-    path = f"{root}/run_id={run_id}" + (f"/split={split}" if split else "")
+    path = f"{root}/run_id={run_id}"
     if split:
-        return read_lines(spark, path)
-    return read_lines(spark, path, corpus="split")
+        folder, system = _hadoop(spark, f"{path}/split={split}")
+        if not system.exists(folder):
+            raise EmptyCorpus(f"{path}/split={split}")
+    lines = read_lines(spark, path, corpus="split")
+    return lines.filter(F.col("corpus") == split) if split else lines
 
 
 def write_records(df: DataFrame, path: str, by: list[str] | None = None) -> None:
@@ -107,13 +156,45 @@ def write_records(df: DataFrame, path: str, by: list[str] | None = None) -> None
     (writer.partitionBy(*by) if by else writer).json(path)
 
 
+ORDER = ["_file", "_block", "_seq"]
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """`line` of the text table at `path` with its partition columns and its place (`ORDER`)."""
+    raw = spark.read.text(path)
+    return raw.select(
+        *[c for c in raw.columns if c != "value"],
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_seq"),
+    )
+
+
 def rewrite_lines(spark: SparkSession, path: str, keep: DataFrame) -> int:
-    """Replace the text table at `path` by `keep` (one column, `value`), a selection of its own
-    lines. Returns how many lines there are now.
+    """Replace the text table at `path` by `keep`, a selection of the rows of `read_ordered`.
+    Returns how many lines there are now.
 
-    The kept lines are first written to the shared folder: Spark cannot overwrite what it reads,
-    and if the second write fails they are still there.
+    The new version is written beside the old one and takes its place by renaming. Partition
+    folders stay, also those left without lines; so does the order of lines, since ranges
+    of places become files in the same order.
     """
-    safe = materialize(keep.select("value"), "rewrite")
-    safe.write.mode("overwrite").text(path)
-    return safe.count()
+    by = [c for c in keep.columns if c not in ("line", *ORDER)]
+    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    parts = max(1, spark.read.text(path).rdd.getNumPartitions())
+    lines = keep.repartitionByRange(parts, *ORDER).sortWithinPartitions(*by, *ORDER)
+    lines = lines.select(*by, F.col("line").alias("value"))
+    (lines.write.partitionBy(*by) if by else lines.write).text(new)
+    if by:
+        empty = spark.createDataFrame([], "value string").coalesce(1)
+        files = spark.read.text(path).inputFiles()
+        for folder in sorted({"/".join(name.split("/")[-len(by) - 1 : -1]) for name in files}):
+            named, system = _hadoop(spark, f"{new}/{folder}")
+            if not system.exists(named):
+                empty.write.text(f"{new}/{folder}")
+    here, system = _hadoop(spark, path)
+    moved = lambda name: _hadoop(spark, name)[0]
+    if not (system.rename(here, moved(old)) and system.rename(moved(new), here)):
+        raise OSError(f"the new version of {path} is in {new}, the old one in {path} or {old}")
+    system.delete(moved(old), True)
+    return spark.read.text(path).count()
