@@ -4,12 +4,14 @@ A document is its set of five-word shingles. Under each of a family of hash func
 smallest and the largest value are kept, so half as many functions give a signature; both agree
 for two sets with the probability of their Jaccard similarity. Bands of five values are bucket keys.
 
-Equal sets collapse into one class first. In a bucket, a class is then compared with the bucket's
-smallest class only, best candidate first; the full sets decide. What that leaves undecided
-(classes of a bucket that are not yet in one component) is compared directly, less the pairs that
-sizes or the triangle inequality of the Jaccard distance rule out. So copies cost one comparison
-each, however large their group, and no link between candidates is lost. With 50 bands of five a pair at
-similarity 0.75 shares no bucket with probability 1.4e-6.
+Equal sets collapse into one class first. Each class is then compared with one other, the head it
+shares most buckets with (a bucket's head is its smallest class); the full sets decide. These links
+join most of a group at one comparison per class. Classes that meet the same head form a cluster, linked or not.
+Members that stayed apart from their cluster, and members of smaller clusters that share a bucket with
+a larger one, are looked up in that cluster: tasks hold a block of it as an inverted index of
+shingles, count intersections for one block of such members, and return one link per component
+found. No pairs are listed, and no pair that shares a bucket goes untested. With 50 bands of five a
+pair at similarity 0.75 shares no bucket with probability 1.4e-6.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ class MinMax:
     rows: int = 5
     percent: int = 75  # linked if 100 * intersection >= percent * union
     block: int = 4096  # shingles hashed at once
+    index: int = 1 << 18  # shingles, about, in a block of a cluster
 
     @property
     def functions(self) -> int:
@@ -109,12 +112,15 @@ def _signed_udf(how: MinMax):
 
 
 def _sets_udf():
-    @F.pandas_udf("own binary, hashes binary")
-    def sets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+    """Shingles of texts whose set has the given key, else null. Needs both, so that it comes
+    after the join that finds the texts."""
+
+    @F.pandas_udf("binary")
+    def sets(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, keys in batches:
             found = [shingles(text).tobytes() for text in texts]
-            keys = [xxhash.xxh3_128_digest(f) for f in found]
-            yield pd.DataFrame({"own": keys, "hashes": found})
+            same = [xxhash.xxh3_128_digest(f) == bytes(k) for f, k in zip(found, keys)]
+            yield pd.Series([f if s else None for f, s in zip(found, same)], dtype=object)
 
     return sets
 
@@ -141,15 +147,18 @@ class _Verifier:
         self.docs, self.classes, self.how = docs.select(ident, text), classes, how
         self.ident, self.text = ident, text
 
-    def sets(self, pairs: DataFrame) -> DataFrame:
-        """`key, hashes` of all classes in `pairs`."""
-        wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    def sets(self, members: DataFrame) -> DataFrame:
+        """`key, hashes` of all classes in `members`."""
+        wanted = members.select("key").distinct()
         first = self.classes.join(wanted, "key").select("key", "first")
         texts = self.docs.join(first, F.col(self.ident) == F.col("first"))
-        found = texts.select("key", _sets_udf()(F.col(self.text)).alias("s"))
-        # Rows of one id may have other texts than the one wanted.
-        found = found.select("key", "s.*").filter("own = key").select("key", "hashes")
-        return materialize(found.dropDuplicates(["key"]), "dedup-sets")
+        found = texts.select("key", _sets_udf()(F.col(self.text), F.col("key")).alias("hashes"))
+        # Rows of one id may have other texts than the one wanted, or the same text again.
+        found = materialize(found.filter("hashes is not null"), "dedup-found")
+        repeated = found.groupBy("key").count().filter("count > 1")
+        if not repeated.limit(1).count():
+            return found
+        return materialize(found.groupBy("key").agg(F.first("hashes").alias("hashes")), "dedup-sets")
 
     def similar(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """`a, b, common, together` for distinct `pairs` of `a, b`."""
@@ -167,12 +176,6 @@ class _Verifier:
         return similar.filter(100 * F.col("common") >= self.how.percent * F.col("together")).select("a", "b")
 
 
-def _labelled(rows: DataFrame, labels: DataFrame, column: str, into: str) -> DataFrame:
-    """`rows` with the label of the class in `column`; a class without links is its own."""
-    own = labels.select(F.col("node").alias(column), F.col("label").alias(into))
-    return rows.join(own, column, "left").withColumn(into, F.coalesce(into, column))
-
-
 def near_duplicates(
     docs: DataFrame, how: MinMax = MinMax(), ident: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -233,49 +236,136 @@ def _link(docs: DataFrame, classes: DataFrame, how: MinMax, ident: str, text: st
     members = materialize(
         spread.join(heads.filter("head <> last").drop("last"), "band"), "dedup-members"
     )
-    verify = _Verifier(docs, classes, ident, text, how)
-    met = materialize(
+    best = materialize(
         members.filter("head <> key")
-        .groupBy(F.col("head").alias("a"), F.col("key").alias("b"))
-        .agg(F.count(F.lit(1)).alias("times")),
-        "dedup-pairs",
+        .groupBy("head", "key", "n")
+        .agg(F.count(F.lit(1)).alias("times"))
+        .groupBy("key", "n")
+        .agg(F.min(F.struct(-F.col("times"), "head")).alias("m"))
+        .select(F.col("m.head").alias("a"), F.col("key").alias("b"), "n"),
+        "dedup-best",
     )
-    # First the head each class meets most often: one comparison per class joins the large groups.
-    best = met.groupBy("b").agg(F.max(F.struct("times", "a")).alias("m")).select("m.a", "b")
-    sets = verify.sets(met)
-    similar = verify.similar(best, sets)
-    links = verify.linked(similar)
-    labels = components(links)
-    # Then the heads that are not yet in the class's component.
-    rest = _labelled(_labelled(met.select("a", "b"), labels, "a", "la"), labels, "b", "lb")
-    rest = rest.filter("la <> lb").select("a", "b").join(similar, ["a", "b"], "left_anti")
-    more = verify.similar(rest, sets)
-    similar, links = similar.union(more), links.union(verify.linked(more))
+    verify = _Verifier(docs, classes, ident, text, how)
+    sets = verify.sets(members)
+    links = verify.linked(verify.similar(best.select("a", "b"), sets))
     labels = components(links)
-    # Last, members of a bucket that are still apart, neither of them its head.
-    told = members.join(
-        similar.select(
-            F.col("a").alias("head"),
-            F.col("b").alias("key"),
-            (F.col("common") / F.col("together")).alias("near"),
+    clusters = _clusters(members, best, labels)
+    more = _look_up(_undecided(members, clusters), clusters, sets, how)
+    return components(links.union(more))
+
+
+def _clusters(members: DataFrame, best: DataFrame, labels: DataFrame) -> DataFrame:
+    """`key, n, label, cluster` of every class that shares a bucket."""
+    of = labels.withColumnsRenamed({"node": "head", "label": "head_label"})
+    rows = members.select("key", "n").distinct().join(
+        best.select(F.col("b").alias("key"), F.col("a").alias("head")), "key", "left"
+    )
+    # A class that is head of all its buckets is its own.
+    rows = rows.withColumn("head", F.coalesce("head", "key")).join(of, "head", "left")
+    rows = rows.join(labels.withColumnRenamed("node", "key"), "key", "left")
+    return materialize(
+        rows.select(
+            "key",
+            "n",
+            F.coalesce("label", "key").alias("label"),
+            F.coalesce("head_label", "head").alias("cluster"),
         ),
-        ["head", "key"],
-        "left",
-    ).filter("head <> key")
-    told = materialize(
-        _labelled(_labelled(told, labels, "key", "lk"), labels, "head", "lh"), "dedup-told"
+        "dedup-clusters",
+    )
+
+
+def _undecided(members: DataFrame, clusters: DataFrame) -> DataFrame:
+    """`key, cluster`: which classes have to be looked up in which clusters."""
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    # Two members were compared already: one is the other's head.
+    own = (
+        clusters.filter("label <> cluster")
+        .join(sizes.filter("size > 2"), "cluster")
+        .select("key", "cluster")
+    )
+    placed = members.select("band", "key").join(clusters.select("key", "cluster"), "key")
+    there = placed.groupBy("band", "cluster").agg(F.count(F.lit(1)).alias("here"))
+    mixed = there.groupBy("band").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    there = materialize(
+        there.join(mixed.select("band"), "band").join(sizes, "cluster").drop("here"), "dedup-mixed"
+    )
+    order = lambda side: F.struct(F.col(f"{side}.size"), F.col(f"{side}.cluster"))
+    meet = (
+        there.alias("s")
+        .join(there.alias("l"), F.col("s.band") == F.col("l.band"))
+        .filter(order("s") < order("l"))
+        .select("s.band", F.col("s.cluster").alias("small"), F.col("l.cluster").alias("large"))
+    )
+    foreign = (
+        placed.withColumnRenamed("cluster", "small")
+        .join(meet, ["band", "small"])
+        .select("key", F.col("large").alias("cluster"))
     )
-    apart = told.filter("lk <> lh").select(
-        "band", F.col("key").alias("y"), F.col("n").alias("ny"), F.col("near").alias("jy"), F.col("lk").alias("ly")
+    return own.union(foreign).distinct()
+
+
+def _look_up(wanted: DataFrame, clusters: DataFrame, sets: DataFrame, how: MinMax) -> DataFrame:
+    """Links `a, b` between the classes in `wanted` and the members of their clusters."""
+    known = clusters.select("key", "n", "label")
+    asked = wanted.join(known, "key")
+    sizes = clusters.groupBy("cluster").agg(F.sum("n").alias("all"))
+    blocks = lambda total: F.ceil(F.col(total) / how.index).cast("int")
+    parts = materialize(
+        asked.groupBy("cluster")
+        .agg(F.sum("n").alias("asked"))
+        .join(sizes, "cluster")
+        .select("cluster", blocks("asked").alias("q"), blocks("all").alias("m")),
+        "dedup-parts",
     )
-    pairs = (
-        told.join(apart, "band")
-        .filter("lk <> ly")
-        .filter(F.least("n", "ny") * 100 >= F.greatest("n", "ny") * how.percent)
-        .filter((F.abs(F.col("near") - F.col("jy")) <= 1 - how.percent / 100 + 1e-9) | F.col("near").isNull() | F.col("jy").isNull())
-        .select(F.least("key", "y").alias("a"), F.greatest("key", "y").alias("b"))
-        .distinct()
+    part = lambda salt, of: F.pmod(F.xxhash64("key", F.lit(salt)), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    inside = clusters.join(parts, "cluster").withColumn("mb", part(1, "m")).withColumn("qb", every("q"))
+    outside = asked.join(parts, "cluster").withColumn("qb", part(2, "q")).withColumn("mb", every("m"))
+    columns = ["cluster", "qb", "mb", "key", "label"]
+    inside = inside.select(columns).join(sets, "key")
+    outside = outside.select(columns).join(sets, "key")
+    outside = outside.select(*[F.col(c).alias(f"q_{c}") for c in outside.columns])
+    percent = how.percent
+
+    def search(block: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        made = []
+        if not block.empty and not queries.empty:
+            made = _links_in_block(block, queries, percent)
+        return pd.DataFrame(made, columns=["a", "b"])
+
+    keys = ["cluster", "qb", "mb"]
+    found = (
+        inside.groupBy(keys)
+        .cogroup(outside.groupBy([f"q_{c}" for c in keys]))
+        .applyInPandas(search, "a binary, b binary")
     )
-    pairs = materialize(pairs.join(similar, ["a", "b"], "left_anti"), "dedup-last")
-    last = verify.similar(pairs, sets)
-    return components(links.union(verify.linked(last)))
+    return materialize(found, "dedup-links")
+
+
+def _links_in_block(block: pd.DataFrame, queries: pd.DataFrame, percent: int) -> list[tuple]:
+    """For each query one link to every other component it has a link to inside the block."""
+    sets = [np.frombuffer(h, np.uint64) for h in block["hashes"]]
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    every = np.concatenate(sets)
+    order = np.argsort(every, kind="stable")
+    owner = owner[order]
+    code, start = np.unique(every[order], return_index=True)
+    stop = np.append(start[1:], len(owner))
+    keys = block["key"].to_numpy()
+    _, label = np.unique(np.array([bytes(x).hex() for x in block["label"]]), return_inverse=True)
+    names = {bytes(x): k for x, k in zip(block["label"], label)}
+    links = []
+    for key, own, hashes in zip(queries["q_key"], queries["q_label"], queries["q_hashes"]):
+        wanted = np.frombuffer(hashes, np.uint64)
+        at = np.minimum(np.searchsorted(code, wanted), len(code) - 1)
+        at = at[code[at] == wanted]
+        if not len(at):
+            continue
+        hits = np.concatenate([owner[a:b] for a, b in zip(start[at], stop[at])])
+        common = np.bincount(hits, minlength=len(sets))
+        together = size + len(wanted) - common
+        near = np.flatnonzero((100 * common >= percent * together) & (label != names.get(bytes(own), -1)))
+        _, first = np.unique(label[near], return_index=True)
+        links += [(key, keys[k]) for k in near[first]]
+    return links
