@@ -349,6 +349,12 @@ WITH head AS (SELECT * FROM documents ORDER BY doc_id LIMIT 10000)
 SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE {has_script('text')}) AS n_script,
        {pct(f"count(*) FILTER (WHERE {has_script('text')})", 'count(*)')} AS pct_script
 FROM head GROUP BY source""",
+    "head_that_cuts": f"""
+WITH {RAW} SELECT conv_id, {has_script('txt')} AS has_script FROM raw ORDER BY conv_id LIMIT 15""",
+    "stored_head_that_cuts": "SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 150",
+    "short_segments": f"""
+WITH {NORMAL} SELECT conv_id, n_messages, length(txt) AS n_chars, length({strip('txt')}) AS n_stripped,
+       {n_script('txt')} AS n_script, shortest < 5 AS has_short FROM norm""",
     "sample_by_class": f"""
 WITH {SAMPLES} SELECT samples.conv_id, source, samples.class FROM samples JOIN classed
   ON samples.conv_id = classed.conv_id""",

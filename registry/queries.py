@@ -164,6 +164,28 @@ def script_share_first_stored(spark, sf_dir):
     return profile.script_share_by_source(flagged)
 
 
+@query
+def head_that_cuts(spark, sf_dir):
+    """The first 15 conversations, fewer than any of the tables has."""
+    head = profile.first_conversations(src.turns(spark, sf_dir), 15)
+    return profile.script_flags(head, ACCENTED).select("conv_id", "has_script")
+
+
+@query
+def stored_head_that_cuts(spark, sf_dir):
+    """The first 150 rows in storage order, fewer than any of the tables has."""
+    return order.first_stored(src.table(spark, sf_dir, "documents"), 150).select("doc_id", "source")
+
+
+@query
+def short_segments(spark, sf_dir):
+    """Facts of conversations cut into segments of three turns."""
+    facts = conversation_facts(src.turns(spark, sf_dir), ACCENTED, LIMITS, segment=3)
+    return facts.filter("normalized").select(
+        "conv_id", "n_messages", "n_chars", "n_stripped", "n_script", "has_short"
+    )
+
+
 def _samples(spark, sf_dir):
     tagged = src.tag(src.conversation_ids(spark, sf_dir))
     main, rest = (tagged.filter(F.col("dataset") == src.MAIN), F.col("dataset") != src.MAIN)
