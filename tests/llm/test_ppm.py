@@ -112,3 +112,16 @@ def test_nothing_to_learn_from_and_empty_table(awkward, nothing):
     size = len(awkward.filter("doc_id = 7").first()["text"].encode()) + 1
     assert row["score"] == pytest.approx(-size * math.log10(SYMBOLS))
     assert score_documents(nothing, F.lit(True)).collect() == []
+
+
+@pytest.mark.parametrize("how", [Ppm(max_pairs=30), Ppm(max_pairs=0, share=16), Ppm(order=2, max_pairs=5), Ppm(share=50)])
+def test_scores_keep_their_order_whatever_the_number_of_pairs(spark, how):
+    """Frequent codes and joined ones add up to the recursion of the full order."""
+    texts = [*TEXTS, None, "abrazada", "xyz", "é" * 5, "a", "cadabra bra"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string").repartition(3)
+    learnt = range(len(TEXTS) + 1)
+    order, levels = how.order, counted([texts[k] or "" for k in learnt], how.order)
+    for row in score_documents(docs, F.when(F.col("k") < len(learnt), True), how).collect():
+        s = symbols(texts[row["k"]] or "", order)
+        want = sum(math.log10(plain(levels, tuple(s[i - order : i]), s[i])) for i in range(order, len(s)))
+        assert row["score"] == pytest.approx(want, rel=1e-5)

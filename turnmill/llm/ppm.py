@@ -6,8 +6,13 @@ are occurrences; a shorter one counts the different longer contexts in which the
 (single counting). A symbol is predicted in the longest context; one that was never seen there
 escapes to the context without its oldest byte, with half a count for each different symbol (method
 D), and symbols the longer context had are excluded there. What is excluded from a context depends
-on the longer context alone, so every escape and every denominator is computed once and scoring is
-a table lookup for most symbols.
+on the longer context alone, so every escape and every denominator is computed once.
+
+No task holds the whole trie, and its order is the same at every size. Codes (a context and its symbol) of all
+texts are dealt by the last symbols of their contexts; with them come all longer contexts they escape
+from, so a task builds that part of the trie and prices its codes. Only the levels above, of at most
+two bytes of context, are needed everywhere. Texts look up frequent codes in a broadcast table; their
+other codes are joined with the stored prices.
 
 Beside it stands a word unigram model over the same training texts as a baseline.
 """
@@ -20,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from turnmill.llm.common import free_name
@@ -27,13 +33,16 @@ from turnmill.session import materialize
 
 SYMBOLS = 257  # bytes are 1 to 256, 0 is the end of a text and what comes before its start
 WIDTH = np.uint64(9)
+HELD_OUT = np.uint64(1 << 63)  # marks codes of texts that are not learnt from
+SHARED = 3  # symbols at the end of a context that keep codes together in one task
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 @dataclass(frozen=True)
 class Ppm:
     order: int = 6  # longest context, and the most that codes have room for
-    max_pairs: int = 1 << 21  # of context and symbol in a broadcast trie, some 150 MB in a worker
+    max_pairs: int = 1 << 21  # of context and symbol whose scores are broadcast; the others are joined
+    share: int = 1 << 18  # pairs, about, that one task scores
     block: int = 1 << 19  # symbols worked on at once
     flush: int = 2_000_000  # different pairs or words a counting task holds
     alpha: float = 0.1  # added to word counts
@@ -114,18 +123,31 @@ class Lookup:
         return found
 
 
+def levels(order: int, codes: np.ndarray, counts: np.ndarray, least: int = 0) -> dict[int, tuple]:
+    """Sorted codes and counts of contexts of `order` symbols and of shorter ones down to `least`."""
+    sort = np.argsort(codes)
+    level_codes, level_counts = codes[sort], counts[sort].astype(float)
+    pairs = {order: (level_codes, level_counts)}
+    for k in range(order - 1, least - 1, -1):
+        level_codes, inverse = np.unique(level_codes & _mask(k + 1), return_inverse=True)
+        level_counts = np.bincount(inverse, minlength=len(level_codes)).astype(float)
+        pairs[k] = (level_codes, level_counts)
+    return pairs
+
+
 class Trie:
-    """Log10 probabilities of a counted trie; built from the pairs of the longest contexts."""
+    """Log10 probabilities of a counted trie; built from the pairs of the longest contexts.
 
-    def __init__(self, order: int, codes: np.ndarray, counts: np.ndarray) -> None:
+    With `lower`, the levels of the shortest contexts over all texts, the pairs may be a part of
+    the trie: all those whose contexts end in the same `len(lower)` symbols.
+    """
+
+    def __init__(
+        self, order: int, codes: np.ndarray, counts: np.ndarray, lower: dict[int, tuple] | None = None
+    ) -> None:
         self.order = order
-        sort = np.argsort(codes)
-        level_codes, level_counts = codes[sort], counts[sort].astype(float)
-        pairs = {order: (level_codes, level_counts)}
-        for k in range(order - 1, -1, -1):
-            level_codes, inverse = np.unique(level_codes & _mask(k + 1), return_inverse=True)
-            level_counts = np.bincount(inverse, minlength=len(level_codes)).astype(float)
-            pairs[k] = (level_codes, level_counts)
+        lower = lower or {}
+        pairs = levels(order, codes, counts, len(lower)) | lower
         self.pairs, self.log_count, self.direct, self.contexts = {}, {}, {}, {}
         self.den, self.esc, self.parent, self.child_den, self.child_esc = {}, {}, {}, {}, {}
         total, distinct = {}, {}
@@ -154,7 +176,7 @@ class Trie:
             self.child_den[k] = np.log10(den)
             # Without other symbols in the shorter context it is passed at no cost.
             self.child_esc[k] = np.where(left > 0, np.log10(np.maximum(left, 1)), 0) - np.log10(den)
-        seen = distinct[0][0] if len(codes) else 0
+        seen = distinct[0][0] if len(distinct[0]) else 0
         self.uniform = -np.log10(max(SYMBOLS - seen, 1))
 
     def score(self, codes: np.ndarray) -> np.ndarray:
@@ -199,19 +221,34 @@ class Trie:
         return total
 
 
-class Counted:
-    """What is sent to the tasks: pairs and frequent words. A worker builds the trie once."""
+class Frequent:
+    """What is sent to the tasks: scores of frequent codes, counts of frequent words. A worker builds
+    the lookup once."""
 
-    def __init__(self, order: int, codes: np.ndarray, counts: np.ndarray) -> None:
-        self.order, self.codes, self.counts = order, codes, counts
+    def __init__(self, codes: np.ndarray, scores: np.ndarray) -> None:
+        self.codes, self.scores = codes, scores
         self.words: dict[bytes, int] = {}
-        self.built: Trie | None = None
+        self.built: Lookup | None = None
 
-    def trie(self) -> Trie:
+    def lookup(self) -> Lookup:
         if self.built is None:
-            self.built = Trie(self.order, self.codes, self.counts)
+            self.built = Lookup(self.codes)
         return self.built
 
+    def score_texts(self, texts, how: Ppm) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Sums over the frequent codes of each text, and its other codes."""
+        total = np.zeros(len(texts))
+        codes, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+        for code, owner in blocks(texts, how.order, how.block):
+            place = self.lookup().find(code)
+            hit = place >= 0
+            total += np.bincount(owner[hit], self.scores[place[hit]], len(texts))
+            codes.append(code[~hit])
+            owners.append(owner[~hit])
+        # Owners ascend.
+        ends = np.searchsorted(np.concatenate(owners), np.arange(1, len(texts)))
+        return total, np.split(np.concatenate(codes).view(np.int64), ends)
+
 
 def _merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     code, inverse = np.unique(np.concatenate(codes), return_inverse=True)
@@ -219,43 +256,66 @@ def _merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 
 
 def count_pairs(texts: DataFrame, how: Ppm) -> DataFrame:
-    """`code, n`: contexts of `order` symbols with the next one, over all texts."""
+    """`code, n, c`: contexts of `order` symbols with the next one; n over the rows of `text, learnt`
+    that are learnt, c over all."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes, counts = [], []
         for batch in batches:
-            for code, _ in blocks(batch["text"], how.order, how.block):
-                code, n = np.unique(code, return_counts=True)
+            mark = np.where(batch["learnt"].to_numpy(bool), np.uint64(0), HELD_OUT)
+            for code, owner in blocks(batch["text"], how.order, how.block):
+                code, n = np.unique(code | mark[owner], return_counts=True)
                 codes.append(code)
                 counts.append(n)
                 if sum(map(len, codes)) > how.flush:
                     one, n = _merged(codes, counts)
                     codes, counts = [one], [n]
                     if len(one) > how.flush // 2:
-                        yield pd.DataFrame({"code": one.astype(np.int64), "n": n})
+                        yield pd.DataFrame({"code": one.view(np.int64), "n": n})
                         codes, counts = [], []
         if codes:
             one, n = _merged(codes, counts)
-            yield pd.DataFrame({"code": one.astype(np.int64), "n": n})
+            yield pd.DataFrame({"code": one.view(np.int64), "n": n})
+
+    pairs = texts.select("text", "learnt").mapInPandas(count, "code bigint, n bigint")
+    learnt = F.when(F.col("code") >= 0, F.col("n")).otherwise(0)
+    return pairs.groupBy(_tail(how.order + 1).alias("code")).agg(F.sum(learnt).alias("n"), F.sum("n").alias("c"))
 
-    pairs = texts.select("text").mapInPandas(count, "code bigint, n bigint")
-    return pairs.groupBy("code").agg(F.sum("n").alias("n"))
 
+def _tail(symbols: int) -> Column:
+    return F.col("code").bitwiseAND(F.lit(int(_mask(symbols))))
 
-def count_trie(texts: DataFrame, how: Ppm) -> Counted:
-    """The trie with the longest contexts, up to `order`, of at most `max_pairs` pairs."""
+
+def score_codes(texts: DataFrame, how: Ppm) -> DataFrame:
+    """`code, c, score` of every code in `texts` (`text, learnt`): how often it occurs, and the log10
+    probability of its last symbol after the others in the trie of the learnt rows."""
+    spark = texts.sparkSession
     pairs = materialize(count_pairs(texts, how), "ppm-pairs")
+    shared = min(SHARED, how.order)
+    longer = pairs.filter("n > 0").select(_tail(shared + 1).alias("code")).distinct()
+    # Contexts of two bytes and their symbols: at most 257 ** 3 whatever the texts.
+    top = longer.groupBy(_tail(shared).alias("code")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    codes, counts = (top.column(name).to_numpy() for name in ("code", "n"))
+    lower = spark.sparkContext.broadcast(levels(shared - 1, codes.view(np.uint64), counts))
     order = how.order
-    while order > 1 and pairs.count() > how.max_pairs:
-        order -= 1
-        shorter = F.col("code").bitwiseAND(F.lit((1 << (9 * (order + 1))) - 1))
-        pairs = materialize(
-            pairs.groupBy(shorter.alias("code")).agg(F.sum("n").alias("n")), "ppm-pairs"
-        )
-    # At most `max_pairs` rows; contexts of one byte have 257 * 257.
-    found = pairs.toArrow()
-    codes, counts = (found.column(name).to_numpy() for name in ("code", "n"))
-    return Counted(order, codes.view(np.uint64), np.minimum(counts, 2**31 - 1).astype(np.int32))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pa.Table.from_batches(batches, schema)
+        code, n, c = (held.column(name).to_numpy() for name in ("code", "n", "c"))
+        if not len(code):
+            return
+        code, known = code.view(np.uint64), n > 0
+        trie = Trie(order, code[known], n[known], lower.value)
+        for start in range(0, len(code), 1 << 16):
+            part = slice(start, start + (1 << 16))
+            columns = [code[part].view(np.int64), c[part], trie.score(code[part])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["code", "c", "score"])
+
+    schema = pa.schema([(name, pa.int64()) for name in ("code", "n", "c")])
+    parts = max(1, -(-pairs.count() // how.share))
+    context = F.shiftright("code", int(WIDTH)).bitwiseAND(F.lit(int(_mask(shared))))
+    dealt = pairs.select("code", "n", "c").repartition(parts, context)
+    return materialize(dealt.mapInArrow(score, "code bigint, c bigint, score double"), "ppm-scores")
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -281,7 +341,7 @@ def count_words(texts: DataFrame, how: Ppm) -> DataFrame:
 
 
 def _frequent(counts: DataFrame, limit: int) -> int:
-    """The smallest power of two that at most `limit` words reach."""
+    """The smallest power of two that at most `limit` rows reach in `c`."""
     size = F.floor(F.log2("c")).cast("int")
     sizes = dict(counts.groupBy(size.alias("s")).count().collect())
     least, n = 63, 0
@@ -291,13 +351,16 @@ def _frequent(counts: DataFrame, limit: int) -> int:
     return 1 << least
 
 
-def _score_udf(spark: SparkSession, counted: Counted, log_of, how: Ppm):
-    shared = spark.sparkContext.broadcast(counted)
-    kind = "n_tokens bigint, n_known bigint, base double, score double, rare array<binary>, times array<int>"
+def _score_udf(spark: SparkSession, frequent: Frequent, log_of, how: Ppm):
+    shared = spark.sparkContext.broadcast(frequent)
+    kind = (
+        "n_tokens bigint, n_known bigint, base double, score double, rare array<binary>, times array<int>, "
+        "codes array<bigint>"
+    )
 
     @F.pandas_udf(kind)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own, counts = shared.value.trie(), shared.value.words
+        counts = shared.value.words
         for texts in batches:
             rows = []
             for text in texts:
@@ -315,8 +378,9 @@ def _score_udf(spark: SparkSession, counted: Counted, log_of, how: Ppm):
                         base += often * log_of(c)
                 rows.append((n, n_known, base, rare, times))
             frame = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base", "rare", "times"])
-            frame.insert(3, "score", own.score_texts(texts, how.block))
-            yield frame
+            score, codes = shared.value.score_texts(texts, how)
+            frame.insert(3, "score", score)
+            yield frame.assign(codes=pd.Series(codes[: len(texts)], dtype=object))
 
     return score
 
@@ -339,8 +403,12 @@ def score_documents(
     """
     spark = docs.sparkSession
     names = [prefix + n for n in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]
-    learnt = docs.filter(learn_from).select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    counted = count_trie(learnt, how)
+    plain = F.coalesce(F.col(text), F.lit("")).alias("text")
+    learnt = docs.filter(learn_from).select(plain)
+    codes = score_codes(docs.select(plain, F.coalesce(learn_from, F.lit(False)).alias("learnt")), how)
+    often = _frequent(codes, how.max_pairs)
+    found = codes.filter(F.col("c") >= often).toArrow()
+    frequent = Frequent(found.column("code").to_numpy().view(np.uint64), found.column("score").to_numpy())
     counts = materialize(count_words(learnt, how), "ppm-words")
     n_words, n_distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n_ends = learnt.count()
@@ -350,15 +418,16 @@ def score_documents(
     log_of = lambda c: float(np.log10(c + alpha) - floor)
     least = _frequent(counts, how.frequent)
     words = counts.filter(F.col("c") >= least).toArrow()
-    counted.words = dict(zip(words.column("word").to_pylist(), words.column("c").to_pylist()))
+    frequent.words = dict(zip(words.column("word").to_pylist(), words.column("c").to_pylist()))
     # A text's rare words are joined with their counts; frequent ones never reach a shuffle.
     row = free_name(docs, "_row")
     made, key = free_name(docs, "_made"), free_name(docs, "_row_key")
-    known, part = free_name(docs, "_known"), free_name(docs, "_part")
+    known, part, sum_of = (free_name(docs, name) for name in ("_known", "_part", "_sum"))
+    code_key = free_name(docs, "_code_key")
     kept = [c for c in docs.columns if c != text and c not in names]
     scored = materialize(
         docs.withColumn(row, F.monotonically_increasing_id())
-        .withColumn(made, _score_udf(spark, counted, log_of, how)(F.col(text)))
+        .withColumn(made, _score_udf(spark, frequent, log_of, how)(F.col(text)))
         .select(row, *kept, made),
         "ppm-scored",
     )
@@ -374,14 +443,22 @@ def score_documents(
             F.sum(F.col("times") * (F.log10(c + alpha) - F.lit(float(floor)))).alias(part),
         )
     )
+    # So are its rare codes; none occurs often enough to be a hot key.
+    rest = (
+        scored.select(F.col(row).alias(code_key), F.explode(F.col(made)["codes"]).alias("code"))
+        .join(codes.filter(F.col("c") < often).select("code", "score"), "code")
+        .groupBy(code_key)
+        .agg(F.sum("score").alias(sum_of))
+    )
     end = log_of(n_ends)
     values = (
         F.col(made)["n_tokens"] + 1,
         F.col(made)["n_known"] + F.coalesce(known, F.lit(0)) + int(n_ends > 0),
         F.lit(total).cast("bigint"),
         F.col(made)["base"] + F.coalesce(part, F.lit(0.0)) + end,
-        F.col(made)["score"],
+        F.col(made)["score"] + F.coalesce(sum_of, F.lit(0.0)),
     )
-    return scored.join(rare, F.col(row) == F.col(key), "left").select(
+    joined = scored.join(rare, F.col(row) == F.col(key), "left")
+    return joined.join(rest, F.col(row) == F.col(code_key), "left").select(
         *kept, *[value.alias(name) for value, name in zip(values, names)]
     )
