@@ -77,6 +77,17 @@ def test_chains_stars_and_borderline_pairs(spark):
     check(spark, rows)
 
 
+def test_short_drift_chains(spark):
+    """Neighbours in a chain that have their head in common, and the head in another cluster."""
+    draw, rows = random.Random(11), []
+    for chain in range(150):
+        start = 0
+        for _ in range(draw.randint(4, 6)):
+            rows.append((len(rows), " ".join(f"c{chain}w{k}" for k in range(start, start + 84))))
+            start += draw.randint(7, 20)
+    check(spark, rows)
+
+
 def test_awkward_rows_and_empty_table(awkward, nothing):
     found = near_duplicates(awkward).collect()
     assert len(found) == awkward.count()

@@ -255,7 +255,7 @@ def _link(docs: DataFrame, classes: DataFrame, how: MinMax, ident: str, text: st
 
 
 def _clusters(members: DataFrame, best: DataFrame, labels: DataFrame) -> DataFrame:
-    """`key, n, label, cluster` of every class that shares a bucket."""
+    """`key, n, label, cluster, head` of every class that shares a bucket."""
     of = labels.withColumnsRenamed({"node": "head", "label": "head_label"})
     rows = members.select("key", "n").distinct().join(
         best.select(F.col("b").alias("key"), F.col("a").alias("head")), "key", "left"
@@ -269,6 +269,7 @@ def _clusters(members: DataFrame, best: DataFrame, labels: DataFrame) -> DataFra
             "n",
             F.coalesce("label", "key").alias("label"),
             F.coalesce("head_label", "head").alias("cluster"),
+            "head",
         ),
         "dedup-clusters",
     )
@@ -277,10 +278,13 @@ def _clusters(members: DataFrame, best: DataFrame, labels: DataFrame) -> DataFra
 def _undecided(members: DataFrame, clusters: DataFrame) -> DataFrame:
     """`key, cluster`: which classes have to be looked up in which clusters."""
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    # Two members were compared already: one is the other's head.
+    # Two members were compared already if one is the other's head; a head may be in another cluster.
+    heads = clusters.select(F.col("key").alias("head"), F.col("cluster").alias("head_cluster"))
     own = (
         clusters.filter("label <> cluster")
-        .join(sizes.filter("size > 2"), "cluster")
+        .join(sizes.filter("size > 1"), "cluster")
+        .join(heads, "head")
+        .filter("size > 2 or head_cluster <> cluster")
         .select("key", "cluster")
     )
     placed = members.select("band", "key").join(clusters.select("key", "cluster"), "key")
