@@ -159,3 +159,11 @@ def op5_main_text(spark, sf_dir):
     return main_text(pages, into="text").select(
         "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars")
     )
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    from turnmill.llm.whitening import whiten
+
+    made = whiten(table(spark, sf_dir, "embeddings"))
+    return made.withColumn("deviation", F.col("deviation").cast("bigint"))
