@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zlib
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from turnmill.llm.common import remainder, table
@@ -167,3 +170,44 @@ def op11_whitening(spark, sf_dir):
 
     made = whiten(table(spark, sf_dir, "embeddings"))
     return made.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def _looped():
+    """A tenth of the texts, by their identifier's hash, from some word on as repeats of a stretch."""
+
+    @F.pandas_udf("string")
+    def looped(idents: pd.Series, texts: pd.Series) -> pd.Series:
+        made = []
+        for ident, text in zip(idents, texts):
+            g, rest = divmod(zlib.crc32(ident.encode()), 10)
+            words = text.encode().split() if text and not rest else []
+            if words:
+                start = g % len(words)
+                period = 1 + (len(words) - start) // (3 + g % 8)
+                tail = words[start : start + period] * (12 + g % 8)
+                text = b" ".join((words[:start] + tail)[: len(words)]).decode()
+            made.append(text)
+        return pd.Series(made, dtype=object)
+
+    return looped
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    from turnmill.llm.runs import word_runs
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    found = docs.select("doc_id", word_runs(_looped()(ident, F.col("text"))).alias("r"))
+    written = F.transform("r.runs", lambda x: F.format_string("%d,%d,%d\n", x["start"], x["length"], x["period"]))
+    best = F.col("r.strongest")
+    return found.select(
+        "doc_id",
+        F.size("r.runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("(1000 * r.strongest.length) div r.strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(written, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("r.collapsed"), 256).alias("collapsed_sha256"),
+    )
