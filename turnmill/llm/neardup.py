@@ -4,28 +4,22 @@ A document is its set of five-word shingles. Under each of a family of hash func
 smallest and the largest value are kept, so half as many functions give a signature; both agree
 for two sets with the probability of their Jaccard similarity. Bands of five values are bucket keys.
 
-Equal sets collapse into one class first. Each class is then compared with one other, the head it
-shares most buckets with (a bucket's head is its smallest class); the full sets decide. These links
-join most of a group at one comparison per class. Classes that meet the same head form a cluster, linked or not.
-Members that stayed apart from their cluster, and members of smaller clusters that share a bucket with
-a larger one, are looked up in that cluster: tasks hold a block of it as an inverted index of
-shingles, count intersections for one block of such members, and return one link per component
-found. No pairs are listed, and no pair that shares a bucket goes untested. With 50 bands of five a
-pair at similarity 0.75 shares no bucket with probability 1.4e-6.
+Equal sets collapse into one class first. Classes that share a bucket are compared on their full sets
+(`linking`): a block of classes becomes an inverted index of shingles, in which the intersection with
+each asked class is counted. No pairs are listed, and of two classes that share a bucket
+either both end in one component or they were compared. With 50 bands of five a pair at
+similarity 0.75 shares no bucket with probability 1.4e-6.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from turnmill.llm.components import components
-from turnmill.session import materialize
+from turnmill.llm.linking import Blocks, Lookup, set_components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SHINGLE = 5
@@ -37,7 +31,7 @@ class MinMax:
     rows: int = 5
     percent: int = 75  # linked if 100 * intersection >= percent * union
     block: int = 4096  # shingles hashed at once
-    index: int = 1 << 18  # shingles, about, in a block of a cluster
+    blocks: Blocks = Blocks()  # of classes that are compared
 
     @property
     def functions(self) -> int:
@@ -58,14 +52,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
 _PLACE = _odd(SHINGLE, 3)
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's shingles."""
+def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's shingles of `width` words, at most five."""
     words = text.encode().translate(LOWER).split() if text else []
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
     one = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
-    wide = min(n, SHINGLE)
+    wide = min(n, width)
     count = n - wide + 1
     total = np.full(count, wide, np.uint64)
     for k in range(wide):
@@ -94,86 +88,30 @@ class Signer:
         return _mix((rows * self.place).sum(axis=0, dtype=np.uint64) + self.band).view(np.int64)
 
 
-def _signed_udf(how: MinMax):
-    @F.pandas_udf("n bigint, key binary, bands array<bigint>")
-    def signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        signer = Signer(how)
-        for texts in batches:
-            rows = []
-            for text in texts:
-                found = shingles(text)
-                if len(found):
-                    rows.append((len(found), xxhash.xxh3_128_digest(found.tobytes()), signer.bands(found)))
-                else:
-                    rows.append((0, None, None))
-            yield pd.DataFrame(rows, columns=["n", "key", "bands"])
+def counted(percent: int):
+    """Search of a block by counting how many shingles of the asked set each member holds."""
 
-    return signed
+    def search(sets: list[np.ndarray], member: np.ndarray) -> Lookup:
+        size = np.array([len(sets[k]) for k in member])
+        every = np.concatenate([sets[k] for k in member])
+        order = np.argsort(every, kind="stable")
+        owner = np.repeat(np.arange(len(member)), size)[order]
+        code, start = np.unique(every[order], return_index=True)
+        stop = np.append(start[1:], len(owner))
 
+        def lookup(asked: int) -> np.ndarray:
+            wanted = sets[asked]
+            at = np.minimum(np.searchsorted(code, wanted), len(code) - 1)
+            at = at[code[at] == wanted]
+            if not len(at):
+                return member[:0]
+            hits = np.concatenate([owner[a:b] for a, b in zip(start[at], stop[at])])
+            common = np.bincount(hits, minlength=len(member))
+            return member[100 * common >= percent * (size + len(wanted) - common)]
 
-def _sets_udf():
-    """Shingles of texts whose set has the given key, else null. Needs both, so that it comes
-    after the join that finds the texts."""
+        return lookup
 
-    @F.pandas_udf("binary")
-    def sets(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, keys in batches:
-            found = [shingles(text).tobytes() for text in texts]
-            same = [xxhash.xxh3_128_digest(f) == bytes(k) for f, k in zip(found, keys)]
-            yield pd.Series([f if s else None for f, s in zip(found, same)], dtype=object)
-
-    return sets
-
-
-def _common_udf():
-    @F.pandas_udf("bigint")
-    def common(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for left, right in batches:
-            yield pd.Series(
-                [
-                    len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True))
-                    for x, y in zip(left, right)
-                ],
-                dtype="int64",
-            )
-
-    return common
-
-
-class _Verifier:
-    """Exact similarity of pairs of classes, on full sets read again from the texts."""
-
-    def __init__(self, docs: DataFrame, classes: DataFrame, ident: str, text: str, how: MinMax):
-        self.docs, self.classes, self.how = docs.select(ident, text), classes, how
-        self.ident, self.text = ident, text
-
-    def sets(self, members: DataFrame) -> DataFrame:
-        """`key, hashes` of all classes in `members`."""
-        wanted = members.select("key").distinct()
-        first = self.classes.join(wanted, "key").select("key", "first")
-        texts = self.docs.join(first, F.col(self.ident) == F.col("first"))
-        found = texts.select("key", _sets_udf()(F.col(self.text), F.col("key")).alias("hashes"))
-        # Rows of one id may have other texts than the one wanted, or the same text again.
-        found = materialize(found.filter("hashes is not null"), "dedup-found")
-        repeated = found.groupBy("key").count().filter("count > 1")
-        if not repeated.limit(1).count():
-            return found
-        return materialize(found.groupBy("key").agg(F.first("hashes").alias("hashes")), "dedup-sets")
-
-    def similar(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """`a, b, common, together` for distinct `pairs` of `a, b`."""
-        right = sets.select(F.col("key").alias("b"), F.col("hashes").alias("right"))
-        left = sets.select(F.col("key").alias("a"), F.col("hashes").alias("left"))
-        joined = pairs.join(right, "b").join(left, "a")
-        size = (F.octet_length("left") + F.octet_length("right")) / 8
-        found = joined.select("a", "b", _common_udf()("left", "right").alias("common"), size.cast("bigint").alias("sizes"))
-        return materialize(
-            found.select("a", "b", "common", (F.col("sizes") - F.col("common")).alias("together")),
-            "dedup-similar",
-        )
-
-    def linked(self, similar: DataFrame) -> DataFrame:
-        return similar.filter(100 * F.col("common") >= self.how.percent * F.col("together")).select("a", "b")
+    return search
 
 
 def near_duplicates(
@@ -188,188 +126,8 @@ def near_duplicates(
     a component has no id, `component_id` is null and the row is kept. An empty table gives an empty result.
     Only the two named columns are read.
     """
-    rows = materialize(
-        docs.select(F.col(ident).alias("doc_id"), _signed_udf(how)(F.col(text)).alias("s")).select(
-            "doc_id", "s.*"
-        ),
-        "dedup-signed",
-    )
-    classes = materialize(
-        rows.filter("key is not null")
-        .groupBy("key")
-        .agg(
-            F.min("doc_id").alias("first"),
-            F.first("n").alias("n"),
-            F.count(F.lit(1)).alias("copies"),
-            F.first("bands").alias("bands"),
-        ),
-        "dedup-classes",
-    )
-    labels = _link(docs, classes, how, ident, text)
-    # Only classes that have copies or links need more than their own id.
-    least = (
-        labels.join(classes.select(F.col("key").alias("node"), "first"), "node")
-        .groupBy("label")
-        .agg(F.min("first").alias("component_id"))
-    )
-    linked = labels.join(least, "label").select(F.col("node").alias("key"), "component_id")
-    groups = materialize(
-        classes.select("key", "first", "copies")
-        .join(linked, "key", "left")
-        .filter("copies > 1 or component_id is not null")
-        .select("key", F.coalesce("component_id", "first").alias("component_id")),
-        "dedup-groups",
-    )
-    component = F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return (
-        rows.select("doc_id", "n", "key")
-        .join(groups.withColumn("g", F.lit(True)), "key", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
-        .withColumn("kept", F.col("component_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    )
-
-
-def _link(docs: DataFrame, classes: DataFrame, how: MinMax, ident: str, text: str) -> DataFrame:
-    """`node, label` of all classes that are linked with another."""
-    spread = classes.select("key", "n", F.explode("bands").alias("band"))
-    heads = spread.groupBy("band").agg(F.min("key").alias("head"), F.max("key").alias("last"))
-    members = materialize(
-        spread.join(heads.filter("head <> last").drop("last"), "band"), "dedup-members"
-    )
-    best = materialize(
-        members.filter("head <> key")
-        .groupBy("head", "key", "n")
-        .agg(F.count(F.lit(1)).alias("times"))
-        .groupBy("key", "n")
-        .agg(F.min(F.struct(-F.col("times"), "head")).alias("m"))
-        .select(F.col("m.head").alias("a"), F.col("key").alias("b"), "n"),
-        "dedup-best",
+    made = set_components(
+        docs, shingles, lambda: Signer(how).bands, counted(how.percent), how.blocks, ident, text
     )
-    verify = _Verifier(docs, classes, ident, text, how)
-    sets = verify.sets(members)
-    links = verify.linked(verify.similar(best.select("a", "b"), sets))
-    labels = components(links)
-    clusters = _clusters(members, best, labels)
-    more = _look_up(_undecided(members, clusters), clusters, sets, how)
-    return components(links.union(more))
-
-
-def _clusters(members: DataFrame, best: DataFrame, labels: DataFrame) -> DataFrame:
-    """`key, n, label, cluster, head` of every class that shares a bucket."""
-    of = labels.withColumnsRenamed({"node": "head", "label": "head_label"})
-    rows = members.select("key", "n").distinct().join(
-        best.select(F.col("b").alias("key"), F.col("a").alias("head")), "key", "left"
-    )
-    # A class that is head of all its buckets is its own.
-    rows = rows.withColumn("head", F.coalesce("head", "key")).join(of, "head", "left")
-    rows = rows.join(labels.withColumnRenamed("node", "key"), "key", "left")
-    return materialize(
-        rows.select(
-            "key",
-            "n",
-            F.coalesce("label", "key").alias("label"),
-            F.coalesce("head_label", "head").alias("cluster"),
-            "head",
-        ),
-        "dedup-clusters",
-    )
-
-
-def _undecided(members: DataFrame, clusters: DataFrame) -> DataFrame:
-    """`key, cluster`: which classes have to be looked up in which clusters."""
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    # Two members were compared already if one is the other's head; a head may be in another cluster.
-    heads = clusters.select(F.col("key").alias("head"), F.col("cluster").alias("head_cluster"))
-    own = (
-        clusters.filter("label <> cluster")
-        .join(sizes.filter("size > 1"), "cluster")
-        .join(heads, "head")
-        .filter("size > 2 or head_cluster <> cluster")
-        .select("key", "cluster")
-    )
-    placed = members.select("band", "key").join(clusters.select("key", "cluster"), "key")
-    there = placed.groupBy("band", "cluster").agg(F.count(F.lit(1)).alias("here"))
-    mixed = there.groupBy("band").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    there = materialize(
-        there.join(mixed.select("band"), "band").join(sizes, "cluster").drop("here"), "dedup-mixed"
-    )
-    order = lambda side: F.struct(F.col(f"{side}.size"), F.col(f"{side}.cluster"))
-    meet = (
-        there.alias("s")
-        .join(there.alias("l"), F.col("s.band") == F.col("l.band"))
-        .filter(order("s") < order("l"))
-        .select("s.band", F.col("s.cluster").alias("small"), F.col("l.cluster").alias("large"))
-    )
-    foreign = (
-        placed.withColumnRenamed("cluster", "small")
-        .join(meet, ["band", "small"])
-        .select("key", F.col("large").alias("cluster"))
-    )
-    return own.union(foreign).distinct()
-
-
-def _look_up(wanted: DataFrame, clusters: DataFrame, sets: DataFrame, how: MinMax) -> DataFrame:
-    """Links `a, b` between the classes in `wanted` and the members of their clusters."""
-    known = clusters.select("key", "n", "label")
-    asked = wanted.join(known, "key")
-    sizes = clusters.groupBy("cluster").agg(F.sum("n").alias("all"))
-    blocks = lambda total: F.ceil(F.col(total) / how.index).cast("int")
-    parts = materialize(
-        asked.groupBy("cluster")
-        .agg(F.sum("n").alias("asked"))
-        .join(sizes, "cluster")
-        .select("cluster", blocks("asked").alias("q"), blocks("all").alias("m")),
-        "dedup-parts",
-    )
-    part = lambda salt, of: F.pmod(F.xxhash64("key", F.lit(salt)), F.col(of)).cast("int")
-    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    inside = clusters.join(parts, "cluster").withColumn("mb", part(1, "m")).withColumn("qb", every("q"))
-    outside = asked.join(parts, "cluster").withColumn("qb", part(2, "q")).withColumn("mb", every("m"))
-    columns = ["cluster", "qb", "mb", "key", "label"]
-    inside = inside.select(columns).join(sets, "key")
-    outside = outside.select(columns).join(sets, "key")
-    outside = outside.select(*[F.col(c).alias(f"q_{c}") for c in outside.columns])
-    percent = how.percent
-
-    def search(block: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        made = []
-        if not block.empty and not queries.empty:
-            made = _links_in_block(block, queries, percent)
-        return pd.DataFrame(made, columns=["a", "b"])
-
-    keys = ["cluster", "qb", "mb"]
-    found = (
-        inside.groupBy(keys)
-        .cogroup(outside.groupBy([f"q_{c}" for c in keys]))
-        .applyInPandas(search, "a binary, b binary")
-    )
-    return materialize(found, "dedup-links")
-
-
-def _links_in_block(block: pd.DataFrame, queries: pd.DataFrame, percent: int) -> list[tuple]:
-    """For each query one link to every other component it has a link to inside the block."""
-    sets = [np.frombuffer(h, np.uint64) for h in block["hashes"]]
-    size = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), size)
-    every = np.concatenate(sets)
-    order = np.argsort(every, kind="stable")
-    owner = owner[order]
-    code, start = np.unique(every[order], return_index=True)
-    stop = np.append(start[1:], len(owner))
-    keys = block["key"].to_numpy()
-    _, label = np.unique(np.array([bytes(x).hex() for x in block["label"]]), return_inverse=True)
-    names = {bytes(x): k for x, k in zip(block["label"], label)}
-    links = []
-    for key, own, hashes in zip(queries["q_key"], queries["q_label"], queries["q_hashes"]):
-        wanted = np.frombuffer(hashes, np.uint64)
-        at = np.minimum(np.searchsorted(code, wanted), len(code) - 1)
-        at = at[code[at] == wanted]
-        if not len(at):
-            continue
-        hits = np.concatenate([owner[a:b] for a, b in zip(start[at], stop[at])])
-        common = np.bincount(hits, minlength=len(sets))
-        together = size + len(wanted) - common
-        near = np.flatnonzero((100 * common >= percent * together) & (label != names.get(bytes(own), -1)))
-        _, first = np.unique(label[near], return_index=True)
-        links += [(key, keys[k]) for k in near[first]]
-    return links
+    own = F.col("component_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return made.withColumn("kept", own)

@@ -54,7 +54,9 @@ FROM docs d LEFT JOIN hits h USING (doc_id) LEFT JOIN named m USING (doc_id)
 
 _SPACED = r"[^\x20\x09-\x0D]+"
 
-OP2 = f"""
+def _components(width: int, percent: int, more: str = "") -> str:
+    """Components of documents whose sets of `width`-word shingles are similar enough."""
+    return f"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, coalesce({_WORDS.format(_SPACED)}, []) AS ws FROM documents
 ), doc_words AS (
@@ -62,9 +64,9 @@ WITH RECURSIVE docs AS (
 ), shingles AS (
   SELECT DISTINCT doc_id, md5(shingle) AS shingle FROM (
     SELECT doc_id, pos, n, string_agg(word, ' ') OVER (
-      PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING
+      PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {width - 1} FOLLOWING
     ) AS shingle FROM doc_words
-  ) WHERE pos <= greatest(1, n - 4)
+  ) WHERE pos <= greatest(1, n - {width - 1})
 ), sizes AS (
   SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), links AS (
@@ -73,16 +75,20 @@ WITH RECURSIVE docs AS (
     FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
     GROUP BY 1, 2
   ) JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
-  WHERE 100 * both_n >= 75 * (p.n + q.n - both_n)
+  WHERE 100 * both_n >= {percent} * (p.n + q.n - both_n)
 ), reach AS (
   SELECT doc_id AS node, doc_id AS seen FROM documents
   UNION
   SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen
 )
-SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.least AS component_id, d.doc_id = c.least AS kept
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.least AS component_id{more}
 FROM documents d
 LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT node AS doc_id, min(seen) AS least FROM reach GROUP BY node) c USING (doc_id)
 """
 
-ORACLE = {"op2_minmax_dedup": OP2, "op6_decontaminate": OP6}
+
+OP2 = _components(5, 75, ", d.doc_id = c.least AS kept")
+OP12 = _components(3, 90)
+
+ORACLE = {"op2_minmax_dedup": OP2, "op6_decontaminate": OP6, "op12_ngram_join": OP12}

@@ -211,3 +211,10 @@ def op13_periodic_runs(spark, sf_dir):
         F.sha2(F.array_join(written, ""), 256).alias("runs_sha256"),
         F.sha2(F.col("r.collapsed"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_ngram_join(spark, sf_dir):
+    from turnmill.llm.ngram_join import ngram_components
+
+    return ngram_components(table(spark, sf_dir, "documents"))
