@@ -51,7 +51,7 @@ def run(spark, sets, buckets, percent, monkeypatch, search=counted, blocks=Block
         return found
 
     monkeypatch.setattr(linking, "_search", count)
-    found = link_classes(spread, lambda wanted: known, search(percent), blocks)
+    found = link_classes(spread, lambda wanted, n: known, search(percent), len(rows), blocks)
     got = {r["node"]: r["label"] for r in found.collect()}
     return np.array([got.get(k, k) for k in range(len(sets))]), sum(totals)
 
@@ -104,7 +104,7 @@ def test_many_small_buckets(spark, monkeypatch):
     buckets += [buckets[-1], [7]]
     least = exact_labels(sets, together(sets, buckets), 75)
     most = exact_labels(sets, np.ones((len(sets), len(sets)), bool), 75)
-    for blocks in (Blocks(), Blocks(rows=3, pivots=1), Blocks(elements=120)):
+    for blocks in (Blocks(rows=3, pivots=1), Blocks(elements=120, whole=1)):
         with monkeypatch.context() as patch:
             got, _ = run(spark, sets, buckets, 75, patch, blocks=blocks)
         assert (got[least] == got).all()

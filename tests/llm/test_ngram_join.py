@@ -7,7 +7,7 @@ import random
 import numpy as np
 
 from test_neardup import WORD, FOLD, edited
-from turnmill.llm.ngram_join import NgramJoin, differences, divide_skip, ngram_components, parts, size_bounds
+from turnmill.llm.ngram_join import NgramJoin, differences, divide_skip, ngram_components, parts, size_class
 
 
 def exact_sets(text, width=3):
@@ -101,11 +101,9 @@ def test_linked_sets_share_a_part():
 
 
 def test_size_classes_hold_linked_sizes():
-    bounds = size_bounds(5000, 90)
-    for small in range(1, 4000):
-        large = small * 100 // 90
-        kind = lambda n: int(np.searchsorted(bounds, n, "right"))
-        assert kind(large) - kind(small) in (0, 1)
+    for percent in (75, 90):
+        for small in range(1, 4000):
+            assert size_class(small * 100 // percent, percent) - size_class(small, percent) in (0, 1)
 
 
 def test_divide_skip_equals_plain_overlap():

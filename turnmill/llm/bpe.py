@@ -214,7 +214,7 @@ def encode_documents(
 ) -> DataFrame:
     """`docs` with a struct column `into`: `n_tokens, ids_sha256, decoded_sha256` and `ids`.
 
-    Every row of `docs` stays, with all its columns; a null text is encoded as an empty one: no
+    Every row of `docs` stays, with all its columns but one named `into`, which is replaced; a null text is encoded as an empty one: no
     tokens. The digests are of the ids in decimal, joined by commas, and of the bytes that
     decoding gives back, which are the UTF-8 bytes of the text. Special tokens are ordinary text.
     Equal long texts are encoded once. An empty table gives an empty result.
@@ -236,8 +236,8 @@ def encode_documents(
         "bpe-long",
     )
     found = made.filter("not lost").select(key, F.struct(*names).alias(into))
-    columns = [*docs.columns, into]
-    out = short.select(columns).unionByName(keyed.join(found, key).select(columns))
+    columns = [*[c for c in docs.columns if c.lower() != into.lower()], into]
+    out = short.select(columns).unionByName(keyed.drop(into).join(found, key).select(columns))
     lost = made.filter("lost").select(key)
     if lost.limit(1).count():
         at_once = keyed.join(lost, key, "left_semi").withColumn(into, whole(F.col(text)))

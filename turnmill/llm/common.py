@@ -25,6 +25,14 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
+ROWS_A_TASK = 500_000  # of narrow rows
+
+
+def few_tasks(df: DataFrame, rows: int, a_task: int = ROWS_A_TASK) -> DataFrame:
+    """`df`, which has about `rows` rows, in no more partitions than they need, but one per core."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // a_task)))
+
+
 def hash_share(ident: str, wanted: int, out_of: int) -> Column:
     """True for a share `wanted / out_of` of the identifiers, chosen by their hash."""
     share = min(1.0, wanted / max(out_of, 1))

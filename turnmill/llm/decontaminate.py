@@ -149,7 +149,7 @@ def scan_documents(
 ) -> DataFrame:
     """`docs` with a struct column `into`: `n_words, n_hit, firsts, lasts, items, contaminated`.
 
-    Every row of `docs` stays, with all its columns. A null or empty text has no words and is
+    Every row of `docs` stays, with all its columns but one named `into`, which is replaced. A null or empty text has no words and is
     clean. Items with a null id or text, or without words, match nothing; an item of fewer words
     than `window` is one window; rows of one item add up; equal windows of several items count for each.
     `firsts` and `lasts` are word ranges. An empty benchmark leaves every document clean.

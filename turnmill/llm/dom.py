@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from itertools import chain
 
@@ -10,8 +11,8 @@ from itertools import chain
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 SILENT = frozenset(
-    "head script style noscript template textarea title iframe object svg math select datalist "
-    "option button label audio video canvas xmp noembed noframes".split()
+    "head script style noscript template textarea title iframe object svg annotation annotation-xml "
+    "select datalist option button label audio video canvas xmp noembed noframes".split()
 )
 BLOCK = frozenset(
     "html body address article aside blockquote center details dialog dd div dl dt fieldset "
@@ -42,6 +43,9 @@ _TAG = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL,
 )
+# The slash that closes a start tag at once; one at the end of a value without quotes belongs to it.
+_AT_ONCE = re.compile(r"(?:^|[\s\"']|(?:^|\s)[^\s=\"']+)/\Z")
+FOREIGN = frozenset(("svg", "math"))  # only elements of other languages may end so
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
@@ -55,6 +59,7 @@ class Page:
     def __init__(self, html: str) -> None:
         self.tag, self.attributes, self.parent = ["#root"], [""], [-1]
         self.inline = [0]  # inline elements right inside
+        self.open: Counter[str] = Counter()  # elements on the stack by tag
         self.segments: list[tuple[int, str | None, bool]] = []
         self.stack = [0]
         self.links = 0
@@ -78,6 +83,8 @@ class Page:
                 self._close(name)
                 continue
             attributes = found[3] or found[6] or ""
+            if name in FOREIGN and _AT_ONCE.search(attributes):
+                continue
             self._open(name, attributes)
             if name in RAW:
                 lower = html.lower() if lower is None else lower
@@ -111,6 +118,7 @@ class Page:
             self.parent.append(self.stack[-1])
             self.inline.append(0)
             self.stack.append(len(self.tag) - 1)
+            self.open[name] += 1
             self.silent += name in SILENT
             self.links = 0
         else:
@@ -122,6 +130,8 @@ class Page:
 
     def _end(self, kinds: set[str], scope: set[str]) -> None:
         """Pop up to the outermost open element of `kinds` above the nearest of `scope`."""
+        if not any(self.open[kind] for kind in kinds):
+            return
         for place in range(len(self.stack) - 1, 0, -1):
             tag = self.tag[self.stack[place]]
             if tag in scope:
@@ -142,7 +152,9 @@ class Page:
 
     def _pop(self) -> None:
         self._break()
-        self.silent -= self.tag[self.stack.pop()] in SILENT
+        name = self.tag[self.stack.pop()]
+        self.open[name] -= 1
+        self.silent -= name in SILENT
         self.links = 0
 
     def _close(self, name: str) -> None:
@@ -150,7 +162,7 @@ class Page:
             self.links = max(0, self.links - 1)
         elif name == "br":
             self._break()
-        elif name in BLOCK:
+        elif self.open[name]:
             for place in range(len(self.stack) - 1, 0, -1):
                 if self.tag[self.stack[place]] == name:
                     while len(self.stack) > place:

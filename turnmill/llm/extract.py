@@ -192,7 +192,7 @@ def main_text(
 ) -> DataFrame:
     """`pages` with the string column `into`, the main text.
 
-    Every row stays with all its columns. A null or empty page, and one without main text, gives
+    Every row stays with all its columns but one named `into`, which is replaced. A null or empty page, and one without main text, gives
     an empty text; text that is no markup at all is main text. Character references are decoded, white space in a
     block becomes one space, and blocks are joined in page order by one space. Unclosed elements,
     stray end tags, unfinished tags and any depth are accepted. The result depends on the page

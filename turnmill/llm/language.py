@@ -9,7 +9,6 @@ much as its classifier separates the two sides; a close second marks it as ambig
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +20,6 @@ UNDETERMINED = "und"
 MAX_LANGUAGES = 512  # bounds the model: 512 languages are 120 bits of 2 ** 15 weights, 16 MB
 RESULT = "lang_pred string, score double, ambiguous boolean, second string"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _IS_LETTER = np.array([c >= 128 or chr(c).isalpha() for c in range(256)])
 
 
@@ -74,7 +72,7 @@ class Model:
     how: Ecoc
 
     def predict(self, text: str | None) -> tuple[str, float, bool, str | None]:
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, False, None
         at = places(text, self.how.bits)
         if len(at) > len(self.weights):
@@ -165,8 +163,8 @@ def identify(
     """`docs` with a struct column `into`: `lang_pred, score, ambiguous, second`.
 
     Learns from every row that fulfils `learn_from` and has a text and a language; the language
-    of no other row is looked at. Every row stays with all its columns. A null text, one without a letter,
-    and every text if nothing could be learnt, is `und` with score 0. With one language learnt it
+    of no other row is looked at. Every row stays with all its columns but one named `into`, which is
+    replaced. A null text, one without a letter (digits, fractions and other signs are none), and every text if nothing could be learnt, is `und` with score 0. With one language learnt it
     gets score 1. Equal losses go to the language that sorts first. Scores depend on the text
     alone, so repeated rows get the same.
     """

@@ -2,16 +2,20 @@
 
 A class is a distinct set; its buckets are such that similar classes share at least one. All tests of
 pairs happen inside tasks, on blocks of a bounded number of rows and set elements, and a task
-returns a spanning forest of the links it finds: at most as many as it has rows.
+returns a spanning forest of the links it finds: fewer than it has rows.
 
-* A bucket's head is its smallest class. Every class joins the group of the head it shares most
-  buckets with, and heads are in their own group too. In a group of one block all members are looked up among
-  all; in a larger one a few pivots are looked up among all.
-* What is linked so far gets labels. A bucket whose members all have one label, or were all in one
-  block, is done. Of any other, the members outside its most frequent label are looked up among all its members,
-  blocks of the ones against blocks of the others. Buckets with equal members are searched once.
+* A bucket's head is its smallest class. A class that shares two buckets or more with a head belongs to the group of
+  the one it shares most with, and that head to its own head's group, and so on for some steps. A class left
+  alone joins the group of a head it shares one bucket with.
+* First all members of a group are looked up among all, if they are one block; in a larger group a
+  few pivots are looked up among all. This gives labels: classes of one label are connected.
+* Then, in groups of several blocks, members outside the most frequent label are looked up among all, block by
+  block. The same is done in every bucket whose members are of different labels and groups, so that it may
+  hold pairs no group had; buckets with equal members are searched once.
 
-So every two classes that share a bucket either have one label or were compared.
+So every two classes that share a bucket are either connected or were compared.
+
+Tables of few rows are written by few tasks: their partitions are merged by counted rows.
 """
 
 from __future__ import annotations
@@ -21,9 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
+from turnmill.llm.common import few_tasks
 from turnmill.llm.components import components
 from turnmill.session import materialize
 
@@ -39,6 +45,15 @@ class Blocks:
     rows: int = 256  # members, and as many asked, in a block
     elements: int = 1 << 20  # set elements, about, of each
     pivots: int = 8
+    whole: int = 64  # blocks of a group that is searched as a whole; larger ones bucket by bucket
+
+
+TEXTS_A_TASK = 10_000
+JUMPS = 2  # a group reaches 2 ** JUMPS heads up
+
+
+def _store(df: DataFrame, name: str, rows: int) -> DataFrame:
+    return materialize(few_tasks(df, rows), name)
 
 
 def digest(hashes: np.ndarray) -> bytes:
@@ -80,7 +95,8 @@ def set_components(
         texts.select("doc_id", signed_udf(shingles, buckets)("text").alias("s")).select("doc_id", "s.*"),
         "link-signed",
     )
-    classes = materialize(
+    n_rows = rows.count()
+    classes = _store(
         rows.filter("key is not null")
         .groupBy("key")
         .agg(
@@ -91,11 +107,14 @@ def set_components(
         )
         .withColumn("cid", F.monotonically_increasing_id()),
         "link-classes",
+        n_rows,
     )
+    entries = classes.agg(F.coalesce(F.sum(F.size("buckets")), F.lit(0)).alias("n")).first()["n"]
     labels = link_classes(
         classes.select(F.explode("buckets").alias("bucket"), "cid", "n"),
-        lambda wanted: sets_of(texts, classes, wanted, shingles),
+        lambda wanted, n: sets_of(texts, classes, wanted, n, shingles),
         search,
+        entries,
         blocks,
     )
     # Only classes that have copies or links need more than their own identifier.
@@ -105,12 +124,13 @@ def set_components(
         .agg(F.min("first").alias("component_id"))
     )
     linked = labels.join(least, "label").select(F.col("node").alias("cid"), "component_id")
-    groups = materialize(
+    groups = _store(
         classes.select("cid", "key", "first", "copies")
         .join(linked, "cid", "left")
         .filter("copies > 1 or component_id is not null")
         .select("key", F.coalesce("component_id", "first").alias("component_id")),
         "link-components",
+        n_rows,
     )
     component = F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return (
@@ -120,7 +140,9 @@ def set_components(
     )
 
 
-def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingles: Shingles) -> DataFrame:
+def sets_of(
+    docs: DataFrame, classes: DataFrame, wanted: DataFrame, n_wanted: int, shingles: Shingles
+) -> DataFrame:
     """`cid, hashes` of the classes in `wanted`, read again from `docs` (`doc_id, text`).
 
     `classes` holds `cid, key, first`: the digest of the set, and an identifier of a row that has it;
@@ -136,7 +158,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingles: Sh
             yield pd.Series([f.tobytes() if s else None for f, s in zip(found, same)], dtype=object)
 
     first = classes.join(wanted, "cid").select("cid", "key", "first")
-    texts = docs.join(first, F.col("doc_id") == F.col("first"))
+    texts = few_tasks(docs.join(first, F.col("doc_id") == F.col("first")), n_wanted, TEXTS_A_TASK)
     found = texts.select("cid", sets("text", "key").alias("hashes"))
     # Rows of one identifier may have other texts than the one wanted, or the same text again.
     found = materialize(found.filter("hashes is not null"), "link-found")
@@ -147,49 +169,61 @@ def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingles: Sh
 
 
 def link_classes(
-    spread: DataFrame, sets: Callable[[DataFrame], DataFrame], search: Search, blocks: Blocks = Blocks()
+    spread: DataFrame,
+    sets: Callable[[DataFrame, int], DataFrame],
+    search: Search,
+    entries: int,
+    blocks: Blocks = Blocks(),
 ) -> DataFrame:
     """`node, label` of all classes linked with another; the label is the smallest class reached.
 
-    `spread` holds `bucket, cid, n` (class and size of its set), `sets` gives `cid, hashes` of the
-    classes in a table `cid`.
+    `spread` holds `bucket, cid, n` (class and size of its set), `entries` rows; `sets` gives `cid, hashes` of
+    the classes in a table `cid` of so many rows.
     """
     ends = spread.groupBy("bucket").agg(F.min("cid").alias("head"), F.max("cid").alias("last"))
-    members = materialize(spread.join(ends.filter("head <> last").drop("last"), "bucket"), "link-members")
-    home, groups = _groups(members)
-    known = sets(members.select("cid").distinct())
-    sizes = _sizes(groups, blocks)
-    links = _search(_asked_first(groups, sizes, blocks), known, search, blocks)
-    labels = components(links)
-    more = _search(_open(members, home, sizes, labels), known, search, blocks)
-    if not more.limit(1).count():
-        return labels
-    return components(links.union(more))
-
-
-def _groups(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """`cid, n, grp` for every class, and the same with heads also in the group they head."""
+    members = _store(spread.join(ends.filter("head <> last").drop("last"), "bucket"), "link-members", entries)
+    groups = _groups(members)
+    n = groups.count()
+    if not n:
+        return groups.select(F.col("cid").alias("node"), F.col("cid").alias("label"))
+    known = sets(groups.select("cid"), n)
+    first = _search(_asked_first(groups, blocks), known, search, n, blocks)
+    # Of a group in several blocks a class may have several labels; any of them is right.
+    labels = first.groupBy("cid").agg(F.min("root").alias("label"))
+    placed = _store(groups.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid")), "link-placed", n)
+    left = _in_groups(placed, blocks).union(_in_buckets(members, placed, blocks))
+    more = _search(left, known, search, n, blocks)
+    return components(first.union(more), "root", "cid", n)
+
+
+def _groups(members: DataFrame) -> DataFrame:
+    """`cid, n, grp` of every class, with the count `m` and the set elements `e` of its group."""
     best = (
         members.filter("head <> cid")
         .groupBy("head", "cid")
         .agg(F.count(F.lit(1)).alias("times"))
         .groupBy("cid")
-        .agg(F.min(F.struct(-F.col("times"), "head")).alias("m"))
-        .select("cid", F.col("m.head").alias("grp"))
+        .agg(F.min(F.struct((-F.col("times")).alias("less"), "head")).alias("m"))
+        .select("cid", F.col("m.head").alias("up"), (F.col("m.less") < -1).alias("strong"))
     )
     sized = members.groupBy("cid").agg(F.first("n").alias("n"))
-    home = materialize(
-        sized.join(best, "cid", "left").select("cid", "n", F.coalesce("grp", "cid").alias("grp")), "link-home"
+    n = members.select("cid").distinct().count()
+    grp = F.when(F.col("strong"), F.col("up")).otherwise(F.col("cid"))
+    home = _store(
+        sized.join(best, "cid", "left").select("cid", "n", grp.alias("grp"), F.coalesce("up", "cid").alias("up")),
+        "link-home",
+        n,
     )
-    heads = home.select(F.col("grp").alias("cid")).distinct().join(home.select("cid", "n"), "cid")
-    groups = home.union(heads.select("cid", "n", F.col("cid").alias("grp"))).distinct()
-    return home, materialize(groups, "link-groups")
-
-
-def _sizes(rows: DataFrame, blocks: Blocks) -> DataFrame:
-    """`grp, mb`: how many blocks its members make."""
-    made = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("e"))
-    return materialize(made.select("grp", _blocks("m", "e", blocks).alias("mb")), "link-sizes")
+    for _ in range(JUMPS):
+        up = home.select(F.col("cid").alias("grp"), F.col("grp").alias("higher"))
+        home = _store(home.join(up, "grp").select("cid", "n", F.col("higher").alias("grp"), "up"), "link-home", n)
+    # Classes alone in their group join the group of the head they share one bucket with.
+    counts = home.groupBy("grp").agg(F.count(F.lit(1)).alias("m"))
+    up = home.select(F.col("cid").alias("up"), F.col("grp").alias("higher"))
+    own = F.when(F.col("m") > 1, F.col("grp")).otherwise(F.col("higher"))
+    home = _store(home.join(counts, "grp").join(up, "up").select("cid", "n", own.alias("grp")), "link-home", n)
+    counts = home.groupBy("grp").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("e"))
+    return _store(home.join(counts, "grp").select("cid", "n", "grp", "m", "e"), "link-groups", n)
 
 
 def _blocks(rows: str, elements: str, blocks: Blocks):
@@ -198,109 +232,172 @@ def _blocks(rows: str, elements: str, blocks: Blocks):
     ).cast("int")
 
 
-def _asked_first(groups: DataFrame, sizes: DataFrame, blocks: Blocks) -> DataFrame:
-    """Groups with all members asked if they are one block, else some pivots."""
-    rows = groups.join(sizes, "grp").withColumn("label", F.col("cid"))
+ASKED = ["grp", "kind", "cid", "n", "label", "asked"]
+
+
+def _asked_first(groups: DataFrame, blocks: Blocks) -> DataFrame:
+    """Groups of several members: all asked if they are one block, else some pivots."""
+    rows = groups.filter("m > 1").withColumns(
+        {"mb": _blocks("m", "e", blocks), "label": F.col("cid"), "kind": F.lit("group")}
+    )
     small = rows.filter("mb = 1").withColumn("asked", F.lit(True))
-    place = Window.partitionBy("grp").orderBy(F.xxhash64("cid"))
+    place = Window.partitionBy("grp").orderBy(F.xxhash64("cid"), "cid")
     large = rows.filter("mb > 1")
     pivots = (
         large.withColumn("place", F.row_number().over(place))
         .filter(F.col("place") <= blocks.pivots)
-        .select("grp", "cid", F.lit(True).alias("asked"))
+        .select("cid", F.lit(True).alias("asked"))
     )
-    large = large.join(pivots, ["grp", "cid"], "left").fillna(False, ["asked"])
-    columns = ["grp", "cid", "n", "label", "asked"]
-    return small.select(columns).union(large.select(columns))
+    large = large.join(pivots, "cid", "left").fillna(False, ["asked"])
+    return small.select(ASKED).union(large.select(ASKED))
 
 
-def _open(members: DataFrame, home: DataFrame, sizes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the buckets that still hold pairs that may be links (see above)."""
-    placed = (
-        home.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-        .join(sizes, "grp")
-        .select("cid", "grp", F.coalesce("label", "cid").alias("label"), (F.col("mb") == 1).alias("small"))
+def _outside_top(rows: DataFrame) -> DataFrame:
+    """Rows `grp, kind, cid, n, label` with those asked that are not of their group's most frequent label."""
+    top = (
+        rows.groupBy("grp", "label")
+        .agg(F.count(F.lit(1)).alias("times"))
+        .groupBy("grp")
+        .agg(F.max(F.struct("times", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
+        .filter("labels > 1")
+        .select("grp", F.col("m.label").alias("top"))
     )
-    rows = materialize(members.join(placed, "cid"), "link-placed")
-    by_head = (F.col("grp") == F.col("head")) | (F.col("cid") == F.col("head"))
-    one_group = F.bool_and(by_head) | (F.min("grp") == F.max("grp"))
+    return rows.join(top, "grp").withColumn("asked", F.col("label") != F.col("top")).select(ASKED)
+
+
+def _in_groups(placed: DataFrame, blocks: Blocks) -> DataFrame:
+    mb = _blocks("m", "e", blocks)
+    rows = placed.filter((mb > 1) & (mb <= blocks.whole)).withColumn("kind", F.lit("group"))
+    return _outside_top(rows)
+
+
+def _in_buckets(members: DataFrame, placed: DataFrame, blocks: Blocks) -> DataFrame:
+    """Members of the buckets that are of several labels and not inside one group searched as a whole."""
+    known = placed.select("cid", "grp", "label", (_blocks("m", "e", blocks) <= blocks.whole).alias("whole"))
+    rows = members.select("bucket", "cid", "n").join(known, "cid")
     left = (
         rows.groupBy("bucket")
         .agg(
-            ((F.min("label") == F.max("label")) | (F.bool_and("small") & one_group)).alias("done"),
+            (F.min("label") == F.max("label")).alias("connected"),
+            ((F.min("grp") == F.max("grp")) & F.bool_and("whole")).alias("searched"),
             F.count(F.lit(1)).alias("m"),
             F.bit_xor(F.xxhash64("cid")).alias("h1"),
             F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("h2"),
         )
-        .filter("not done")
+        .filter("not connected and not searched")
         .groupBy("h1", "h2", "m")
         .agg(F.min("bucket").alias("bucket"))
         .select("bucket")
     )
-    rows = materialize(rows.join(left, "bucket").select(F.col("bucket").alias("grp"), "cid", "n", "label"), "link-open")
-    most = (
-        rows.groupBy("grp", "label")
-        .agg(F.count(F.lit(1)).alias("times"))
-        .groupBy("grp")
-        .agg(F.max(F.struct("times", "label")).alias("m"))
-        .select("grp", F.col("m.label").alias("top"))
+    open_ = materialize(
+        rows.join(left, "bucket").select(
+            F.col("bucket").alias("grp"), F.lit("bucket").alias("kind"), "cid", "n", "label"
+        ),
+        "link-open",
     )
-    return rows.join(most, "grp").select("grp", "cid", "n", "label", (F.col("label") != F.col("top")).alias("asked"))
+    return _outside_top(open_)
 
 
-def _search(rows: DataFrame, sets: DataFrame, search: Search, blocks: Blocks) -> DataFrame:
-    """Links `a, b` of the asked rows `grp, cid, n, label, asked` to members of their group.
+def _search(rows: DataFrame, sets: DataFrame, search: Search, n: int, blocks: Blocks) -> DataFrame:
+    """Stars `root, cid` of what is connected by links of the asked rows (`ASKED`) to members of their group.
 
     A group of one block is one group of rows, each there once. Of any other, every block of asked rows meets
     every block of members.
     """
-    rows = materialize(rows, "link-rows")
-    counts = rows.groupBy("grp").agg(
-        F.count(F.lit(1)).alias("m"),
-        F.sum("n").alias("e"),
-        F.count_if("asked").alias("q"),
-        F.coalesce(F.sum(F.when(F.col("asked"), F.col("n"))), F.lit(0)).alias("qe"),
-    )
-    parts = materialize(
-        counts.filter("q > 0").select(
-            "grp", _blocks("m", "e", blocks).alias("mb"), _blocks("q", "qe", blocks).alias("qb")
-        ),
-        "link-parts",
+    key = ["grp", "kind"]
+    parts = (
+        rows.groupBy(key)
+        .agg(
+            F.count(F.lit(1)).alias("m"),
+            F.sum("n").alias("e"),
+            F.count_if("asked").alias("q"),
+            F.coalesce(F.sum(F.when(F.col("asked"), F.col("n"))), F.lit(0)).alias("qe"),
+        )
+        .filter("q > 0")
+        .select(*key, _blocks("m", "e", blocks).alias("mb"), _blocks("q", "qe", blocks).alias("qb"))
     )
-    rows = rows.join(parts, "grp")
+    rows = rows.join(parts, key)
     part = lambda salt, of: F.pmod(F.xxhash64("cid", F.lit(salt)), F.col(of)).cast("int")
-    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    yes, no, columns = F.lit(True), F.lit(False), ["grp", "x", "y", "cid", "label", "member", "asked"]
-    zero = F.lit(0)
-    single = rows.filter("mb = 1").withColumns({"x": zero, "y": zero, "member": yes})
-    several = rows.filter("mb > 1")
-    held = several.withColumns({"x": part(1, "mb"), "member": yes, "asked": no}).withColumn("y", every("qb"))
-    asked = several.filter("asked").withColumns({"y": part(2, "qb"), "member": no}).withColumn("x", every("mb"))
-    dealt = single.select(columns).union(held.select(columns)).union(asked.select(columns)).join(sets, "cid")
-
-    def links(block: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(forest(block, search), columns=["a", "b"])
-
-    return materialize(dealt.groupBy("grp", "x", "y").applyInPandas(links, "a bigint, b bigint"), "links")
-
-
-def forest(block: pd.DataFrame, search: Search) -> list[tuple[int, int]]:
-    """Links that join the labels of a block as far as its links do, and no more than that takes."""
-    asked = np.flatnonzero(block["asked"].to_numpy())
-    member = np.flatnonzero(block["member"].to_numpy())
+    every = lambda of: F.sequence(F.lit(0), F.col(of) - 1)
+    place = lambda x, y, member, asked: F.struct(
+        x.alias("x"), y.alias("y"), F.lit(member).alias("member"), asked.alias("asked")
+    )
+    zero, yes, no = F.lit(0), F.lit(True), F.lit(False)
+    own, asked = part(1, "mb"), part(2, "qb")
+    held = F.transform(every("qb"), lambda y: place(own, y, True, no))
+    met = F.when(F.col("asked"), F.transform(every("mb"), lambda x: place(x, asked, False, yes)))
+    several = F.concat(held, F.coalesce(met, F.array().cast(_PLACES)))
+    places = F.when(F.col("mb") == 1, F.array(place(zero, zero, True, F.col("asked")))).otherwise(several)
+    dealt = rows.select(*key, "cid", "label", F.explode(places).alias("p")).select(
+        *key, "p.x", "p.y", "cid", "label", "p.member", "p.asked"
+    )
+    block = [*key, "x", "y"]
+    together = few_tasks(dealt.join(sets, "cid").repartition(*block), n, TEXTS_A_TASK).sortWithinPartitions(*block)
+
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: list[tuple[int, int]] = []
+        for rows in _runs(batches, block):
+            made += _stars(rows, search)
+            if len(made) > 10_000:
+                yield pa.RecordBatch.from_pandas(pd.DataFrame(made, columns=["root", "cid"]))
+                made = []
+        yield pa.RecordBatch.from_pandas(pd.DataFrame(made, columns=["root", "cid"], dtype="int64"))
+
+    return materialize(together.mapInArrow(stars, "root bigint, cid bigint"), "link-stars")
+
+
+_PLACES = "array<struct<x: int, y: int, member: boolean, asked: boolean>>"
+
+
+def _runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, of batches sorted by it."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = list(zip(*[batch.column(name).to_pylist() for name in key]))
+        start = 0
+        for at, one in enumerate(keys):
+            if one != last:
+                if at > start:
+                    held.append(batch.slice(start, at - start))
+                if held:
+                    yield pa.Table.from_batches(held)
+                held, start, last = [], at, one
+        if len(keys) > start:
+            held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _stars(rows: pa.Table, search: Search) -> list[tuple[int, int]]:
+    column = lambda name: rows.column(name).to_numpy()
+    sets = [np.frombuffer(value.as_buffer(), np.uint64) for chunk in rows.column("hashes").chunks for value in chunk]
+    return forest(column("cid"), column("label"), column("member"), column("asked"), sets, search)
+
+
+def forest(
+    cids: np.ndarray, labels: np.ndarray, member: np.ndarray, asked: np.ndarray, sets: list[np.ndarray], search: Search
+) -> list[tuple[int, int]]:
+    """`root, cid` of the rows of a block that its links and labels connect with others: a star per
+    component, around its smallest asked class."""
+    asked, member = np.flatnonzero(asked), np.flatnonzero(member)
     if not len(asked) or not len(member):
         return []
-    cids = block["cid"].to_numpy()
-    _, joined = np.unique(block["label"].to_numpy(), return_inverse=True)
-    lookup = search([np.frombuffer(h, np.uint64) for h in block["hashes"]], member)
-    links = []
+    _, joined = np.unique(labels, return_inverse=True)
+    lookup, linked = None, False
     for at in asked:
         if (joined == joined[0]).all():
             break
         if (joined[member] == joined[at]).all():
             continue
+        lookup = lookup or search(sets, member)
         for other in lookup(at):
             if joined[other] != joined[at]:
-                links.append((int(cids[at]), int(cids[other])))
                 joined[joined == joined[other]] = joined[at]
-    return links
+                linked = True
+    if not linked:
+        return []
+    roots: dict[int, int] = {}
+    for at in asked[np.argsort(cids[asked], kind="stable")]:
+        roots.setdefault(joined[at], int(cids[at]))
+    return [(roots[j], int(c)) for j, c in zip(joined, cids) if j in roots and roots[j] != c]

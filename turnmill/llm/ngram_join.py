@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -34,12 +35,17 @@ class NgramJoin:
     blocks: Blocks = Blocks()
 
 
-def size_bounds(largest: int, percent: int) -> list[int]:
-    """First sizes of the classes, up to the one behind that of `largest`, and the next bound."""
-    bounds = [1]
-    while bounds[-1] <= largest or len(bounds) < 2:
-        bounds.append(bounds[-1] * 100 // percent + 1)
-    return [*bounds, bounds[-1] * 100 // percent + 1]
+def _next_bound(bound: int, percent: int) -> int:
+    return bound * 100 // percent + 1
+
+
+@lru_cache(maxsize=1 << 16)
+def size_class(size: int, percent: int) -> int:
+    """Number of the class of a size: sizes of linked sets are in the same or the next class."""
+    bound, number = 1, 0
+    while (after := _next_bound(bound, percent)) <= size:
+        bound, number = after, number + 1
+    return number
 
 
 def differences(size: int, percent: int) -> int:
@@ -47,31 +53,42 @@ def differences(size: int, percent: int) -> int:
     return 2 * size * (100 - percent) // (100 + percent)
 
 
+@lru_cache(maxsize=None)
+def _scheme(number: int, percent: int) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """Bounds of the ranges of hashes that are the parts of a scheme, a number of each part, and how
+    many parts a set leaves out; None where linked sets are equal."""
+    bounds = [1]
+    while len(bounds) < number + 2:
+        bounds.append(_next_bound(bounds[-1], percent))
+    k = differences(bounds[number + 1] - 1, percent)
+    if not k:
+        return None
+    spare = k // SPARE
+    count = k + 1 + 2 * spare
+    edges = (np.arange(1, count) * (2.0**64 / count)).astype(np.uint64)
+    numbers = _mix(np.arange(1, count + 1, dtype=np.uint64) + np.uint64(number << 32))
+    return edges, numbers, spare
+
+
 def parts(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """Digests of the parts of a set, in the schemes of its own and of the next size class.
+    """Digests of the parts of a sorted set, in the schemes of its own and of the next size class.
 
     A scheme has k + 1 + 2e parts, so linked sets have at least 1 + 2e equal ones. Each set leaves
     out its e smallest parts, which many others may have by chance; one equal part is left at least.
     """
-    bounds = size_bounds(len(hashes), percent)
-    own = int(np.searchsorted(bounds, len(hashes), "right")) - 1
+    own = size_class(len(hashes), percent)
     made = []
-    for scheme in (own, own + 1):
-        k = differences(bounds[scheme + 1] - 1, percent)
-        if not k:  # linked sets of this size are equal
+    for number in (own, own + 1):
+        scheme = _scheme(number, percent)
+        if scheme is None:
             continue
-        spare = k // SPARE
-        count = k + 1 + 2 * spare
-        place = (hashes >> np.uint64(20)) % np.uint64(count)
-        order = np.argsort(place, kind="stable")
-        total = np.zeros(count, np.uint64)
-        used, first, sizes = np.unique(place[order], return_index=True, return_counts=True)
-        total[used.astype(np.int64)] = np.add.reduceat(_mix(hashes[order] + np.uint64(scheme)), first)
-        held = np.zeros(count, np.int64)
-        held[used.astype(np.int64)] = sizes
-        number = np.arange(count, dtype=np.uint64) + np.uint64(scheme << 32)
-        digests = _mix(total + _mix(number + np.uint64(1)))
-        made.append(digests[np.argsort(held, kind="stable")[spare:]])
+        edges, numbers, spare = scheme
+        ends = np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]])
+        total = np.concatenate([[np.uint64(0)], np.cumsum(_mix(hashes + np.uint64(number)))])
+        digests = _mix(total[ends[1:]] - total[ends[:-1]] + numbers)
+        if spare:
+            digests = digests[np.argsort(np.diff(ends), kind="stable")[spare:]]
+        made.append(digests)
     return np.concatenate(made).view(np.int64) if made else np.zeros(0, np.int64)
 
 

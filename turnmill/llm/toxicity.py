@@ -152,7 +152,7 @@ def toxicity(
     """`docs` with the double column `into`, the probability that `label` is 1.
 
     Only rows of `labels` that fulfil `learn_from` are learnt from. Every row of `docs` stays with
-    all its columns; a null text counts as empty, and an empty text gets the score of the bias.
+    all its columns but one named `into`, which is replaced; a null text counts as empty, and an empty text gets the score of the bias.
     Labels with a null are left out, of several labels of an id the largest counts. Without any
     labelled row every score is 0. Only the text decides a score, so repeated rows score alike.
     """
