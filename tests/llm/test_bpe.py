@@ -60,3 +60,10 @@ def test_a_piece_between_boundaries_is_encoded_like_the_whole(own, text, data):
     cut = data.draw(st.sampled_from(ends))
     left = encode_piece(own, text, PATTERN, 0, cut)
     assert left + encode_piece(own, text, PATTERN, cut, len(text)) == own.encode_ordinary(text)
+
+
+def test_a_column_of_the_result_name_is_replaced(spark, own, awkward):
+    made = encode_documents(awkward.withColumn("BPE", F.lit(1)), PATH, PATTERN, chunk=64, overlap=9)
+    assert made.columns == [*awkward.columns, "bpe"]
+    for row in made.collect():
+        assert tuple(row["bpe"]) == expected(own, row["text"])

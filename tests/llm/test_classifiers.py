@@ -163,6 +163,55 @@ def test_the_non_negative_risk_learns_without_negatives():
     assert (model.probability(make(500, -0.8)) < 0.5).mean() >= 0.9
 
 
+def test_the_prior_comes_from_positives_and_unlabelled_rows(docs, labels):
+    """Near the share among labelled rows, of which only the positives were seen."""
+    free = remainder("doc_id", 3) != 1
+    model = quality.fit(docs, labels, free, quality.Pu(), "doc_id", "text", "quality")
+    share = labels.filter(free).agg(F.avg("quality")).first()[0]
+    assert model.prior == pytest.approx(share, abs=0.1)
+    draw = np.random.default_rng(4)
+    make = lambda n, mean: draw.normal(mean, 1, (n, quality.STATISTICS))
+    for share in (0.2, 0.5, 0.8):
+        n = int(3000 * share)
+        mixture = np.concatenate([make(n, 0.5), make(3000 - n, -0.5)])
+        assert quality.fit_model(make(2000, 0.5), mixture, None, quality.Pu()).prior == pytest.approx(share, abs=0.06)
+
+
+def test_the_risk_of_a_weight_vector():
+    """Sums, slope and curvature of the risk against plain loops and differences."""
+    draw, how = np.random.default_rng(5), quality.Pu(bins=3)
+    positive, rows = draw.integers(0, 3, (40, quality.STATISTICS)), draw.integers(0, 3, (90, quality.STATISTICS))
+    risk = quality.Risk(positive, lambda of: sum(of(part) for part in np.array_split(rows, 4)), how)
+    weights, prior = draw.normal(size=risk.wide) / 5, 0.4
+
+    def plain(w):
+        score = lambda row: w[-1] + sum(w[3 * k + b] for k, b in enumerate(row))
+        as_good = np.mean([np.log1p(np.exp(-score(r))) for r in positive])
+        as_bad = np.mean([np.log1p(np.exp(score(r))) for r in positive])
+        negative = np.mean([np.log1p(np.exp(score(r))) for r in rows]) - prior * as_bad
+        return prior * as_good + negative + how.decay * (w**2).sum() / 2, negative
+
+    value, negative, slope, curve = risk.at(weights, prior)
+    assert (value, negative) == pytest.approx(plain(weights), rel=1e-5)
+    for k in draw.integers(0, risk.wide, 6):
+        move = np.zeros(risk.wide)
+        move[k] = 1e-4
+        difference = (plain(weights + move)[0] - plain(weights - move)[0]) / 2e-4
+        assert slope[k] == pytest.approx(difference, abs=1e-5)
+        higher = risk.at(weights + move, prior)[2]
+        assert curve[:, k] == pytest.approx((higher - slope) / 1e-4, abs=1e-3)
+
+
+def test_a_step_goes_back_where_the_risk_of_negatives_is_below_zero():
+    """Few positives that are told apart from all unlabelled rows, and a prior that is too high."""
+    draw = np.random.default_rng(6)
+    positive, mixture = draw.normal(1, 1, (30, quality.STATISTICS)), draw.normal(0, 1, (300, quality.STATISTICS))
+    how = quality.Pu(decay=1e-6)
+    model = quality.fit_model(positive, mixture, 0.9, how)
+    loss = lambda rows: -np.log(1 - np.clip(model.probability(rows), 0, 1 - 1e-12)).mean()
+    assert loss(mixture) - 0.9 * loss(positive) >= -1e-6
+
+
 def test_quality_of_awkward_rows(spark, awkward, nothing):
     labels = spark.createDataFrame(
         [(k, int(k % 3 > 0)) for k in range(5, 30)] + [(7, None), (None, 1), (12, 0)], "doc_id bigint, quality int"
@@ -175,3 +224,29 @@ def test_quality_of_awkward_rows(spark, awkward, nothing):
     none = labels.filter("quality = 0")
     assert {r["p"] for r in quality.quality(awkward, none, F.lit(True), into="p").collect()} == {0.5}
     assert quality.quality(nothing, labels, F.lit(True), into="p").collect() == []
+
+
+# Names
+
+
+def test_a_column_of_the_result_name_is_replaced(spark, awkward):
+    labels = spark.createDataFrame([(k, k % 2) for k in range(5, 30)], "doc_id bigint, toxic int")
+    quality_labels = labels.withColumnRenamed("toxic", "quality")
+    for made in (
+        toxicity.toxicity(awkward, labels, F.lit(True), into="score"),
+        quality.quality(awkward, quality_labels, F.lit(True), into="score"),
+        language.identify(awkward, F.lit(True), into="score"),
+    ):
+        assert sorted(made.columns) == sorted(awkward.columns)
+        assert all(row["score"] is not None and row["score"] != "?" for row in made.collect())
+
+
+def test_signs_without_letters_have_no_language(spark, docs):
+    texts = ["½ ² ③", "①②", "x²", "Ⅳ", "１２", "ª", "中"]
+    frame = docs.select("text", "lang").limit(200).union(
+        spark.createDataFrame([(t, None) for t in texts], "text string, lang string")
+    )
+    found = language.identify(frame, F.lit(True)).filter(F.col("text").isin(texts)).collect()
+    got = {r["text"]: r["language"]["lang_pred"] != "und" for r in found}
+    assert got == {t: any(c.isalpha() for c in t) for t in texts}
+    assert not got["½ ² ③"] and not got["①②"] and got["中"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from html import unescape
 
 import numpy as np
@@ -136,3 +137,25 @@ def test_awkward_pages(spark, trees):
     found = sorted((r["page_id"] or 0, r["main_text"]) for r in made.collect())
     assert found[1:] == [(1, ""), (2, ""), (3, "just text"), (3, "just text")]
     assert main_text(pages.filter("false")).collect() == []
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        ('<article><svg class="i"/><p>one</p></article>', "one"),
+        ("<div><svg class=i /><math/><p>one</p></div>", "one"),
+        ("<div><svg hidden/><p>one</p><svg><text>gone</text></svg><p>two</p></div>", "one two"),
+        ("<p>so <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation>x+1</annotation></math> is</p>", "so x+1 is"),
+        ("<div><svg class=i/>lost</svg><p>one</p></div>", "one"),
+    ],
+)
+def test_pictures_and_formulas(html, text):
+    page = Page(html)
+    assert page.text([True] * len(page.tag)) == text
+
+
+def test_stray_end_tags_of_deep_pages_cost_little():
+    deep = "<div>" * 8000 + "x</p>" * 8000
+    start = time.perf_counter()
+    Page(deep)
+    assert time.perf_counter() - start < 2

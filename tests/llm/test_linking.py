@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from turnmill.llm import linking
@@ -114,3 +115,32 @@ def test_many_small_buckets(spark, monkeypatch):
 def test_no_shared_bucket(spark, monkeypatch):
     got, links = run(spark, [np.arange(5, dtype=np.uint64)] * 2, [[0], [1]], 75, monkeypatch)
     assert got.tolist() == [0, 1] and links == 0
+
+
+@pytest.mark.parametrize("sizes", [[7], [1, 3, 2], [40], [2, 2, 2, 2, 2]])
+def test_runs_of_buckets_over_batches(sizes):
+    """Rows of buckets with several classes, wherever batches end."""
+    draw = np.random.default_rng(6)
+    for _ in range(200):
+        bucket = np.sort(draw.integers(0, draw.integers(1, 30), draw.integers(0, 40)))
+        cid = np.arange(len(bucket)) * 3 + 5
+        rows = pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket, cid, cid * 2)], ["bucket", "cid", "n"])
+        batches, start = [], 0
+        while start < len(bucket):
+            size = sizes[len(batches) % len(sizes)]
+            batches.append(rows.slice(start, size))
+            start += size
+        got = [tuple(r.values()) for b in linking._shared(iter(batches)) for r in b.to_pylist()]
+        want = [
+            (int(b), int(c), int(2 * c), int(cid[bucket == b][0])) for b, c in zip(bucket, cid) if (bucket == b).sum() > 1
+        ]
+        assert got == want
+
+
+def test_large_buckets_take_another_way(spark, monkeypatch):
+    monkeypatch.setattr(linking, "OFTEN", 20)
+    rows = [(b, c, 1) for b in range(30) for c in range(b, b + (50 if b < 3 else b % 3))]
+    spread = spark.createDataFrame(rows, "bucket bigint, cid bigint, n bigint").repartition(3)
+    got = sorted(tuple(r) for r in linking._members(spread, len(rows)).collect())
+    sizes = {b: sum(r[0] == b for r in rows) for b in range(30)}
+    assert got == sorted((b, c, n, b) for b, c, n in rows if sizes[b] > 1)

@@ -28,9 +28,18 @@ def free_name(df: DataFrame, wish: str) -> str:
 ROWS_A_TASK = 500_000  # of narrow rows
 
 
-def few_tasks(df: DataFrame, rows: int, a_task: int = ROWS_A_TASK) -> DataFrame:
-    """`df`, which has about `rows` rows, in no more partitions than they need, but one per core."""
-    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // a_task)))
+def tasks_for(spark: SparkSession, rows: int, a_task: int = ROWS_A_TASK) -> int:
+    """How many tasks a table of `rows` rows needs, but one per core."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // a_task))
+
+
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """`df`, which has about `rows` narrow rows, in no more partitions than they need; as it is where a
+    shuffle makes no more. A shuffle of its own, since tasks of merged partitions would hold the
+    memory of all their joins at once."""
+    spark = df.sparkSession
+    tasks = tasks_for(spark, rows)
+    return df.repartition(tasks) if tasks < int(spark.conf.get("spark.sql.shuffle.partitions")) else df
 
 
 def hash_share(ident: str, wanted: int, out_of: int) -> Column:

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from turnmill.llm.common import few_tasks
+from turnmill.llm.common import few_tasks, tasks_for
 from turnmill.llm.components import components
 from turnmill.session import materialize
 
@@ -49,6 +49,9 @@ class Blocks:
 
 
 TEXTS_A_TASK = 10_000
+ENTRIES_A_TASK = 2_000_000
+SAMPLE = 200_000  # rows looked at for large buckets
+OFTEN = 200  # rows of a bucket in the sample
 JUMPS = 2  # a group reaches 2 ** JUMPS heads up
 
 
@@ -96,7 +99,7 @@ def set_components(
         "link-signed",
     )
     n_rows = rows.count()
-    classes = _store(
+    classes = materialize(
         rows.filter("key is not null")
         .groupBy("key")
         .agg(
@@ -107,7 +110,6 @@ def set_components(
         )
         .withColumn("cid", F.monotonically_increasing_id()),
         "link-classes",
-        n_rows,
     )
     entries = classes.agg(F.coalesce(F.sum(F.size("buckets")), F.lit(0)).alias("n")).first()["n"]
     labels = link_classes(
@@ -157,8 +159,9 @@ def sets_of(
             same = [digest(f) == bytes(k) for f, k in zip(found, keys)]
             yield pd.Series([f.tobytes() if s else None for f, s in zip(found, same)], dtype=object)
 
-    first = classes.join(wanted, "cid").select("cid", "key", "first")
-    texts = few_tasks(docs.join(first, F.col("doc_id") == F.col("first")), n_wanted, TEXTS_A_TASK)
+    # Stored, so its real size decides whether texts have to be shuffled.
+    first = _store(classes.join(wanted, "cid").select("cid", "key", "first"), "link-first", n_wanted)
+    texts = docs.join(first, F.col("doc_id") == F.col("first"))
     found = texts.select("cid", sets("text", "key").alias("hashes"))
     # Rows of one identifier may have other texts than the one wanted, or the same text again.
     found = materialize(found.filter("hashes is not null"), "link-found")
@@ -180,8 +183,7 @@ def link_classes(
     `spread` holds `bucket, cid, n` (class and size of its set), `entries` rows; `sets` gives `cid, hashes` of
     the classes in a table `cid` of so many rows.
     """
-    ends = spread.groupBy("bucket").agg(F.min("cid").alias("head"), F.max("cid").alias("last"))
-    members = _store(spread.join(ends.filter("head <> last").drop("last"), "bucket"), "link-members", entries)
+    members = materialize(_members(spread, entries), "link-members")
     groups = _groups(members)
     n = groups.count()
     if not n:
@@ -196,6 +198,59 @@ def link_classes(
     return components(first.union(more), "root", "cid", n)
 
 
+def _members(spread: DataFrame, entries: int) -> DataFrame:
+    """`bucket, cid, n, head` of the buckets with several classes; `head` is the smallest.
+
+    Rows are shuffled by bucket and sorted once, and runs are found as they stream by. Buckets that a sample
+    shows to be large, `SAMPLE / OFTEN` at most, are kept out of that shuffle: their heads are combined minima.
+    """
+    share = min(1.0, SAMPLE / max(entries, 1))
+    counted = spread.sample(share, seed=1).groupBy("bucket").agg(F.count(F.lit(1)).alias("times"))
+    large = materialize(counted.filter(F.col("times") >= OFTEN).select("bucket"), "link-large")
+    some = large.count()
+    cold = spread.join(F.broadcast(large), "bucket", "left_anti") if some else spread
+    tasks = tasks_for(spread.sparkSession, entries, ENTRIES_A_TASK)
+    sorted_ = cold.select("bucket", "cid", "n").repartition("bucket").coalesce(tasks).sortWithinPartitions("bucket", "cid")
+    made = sorted_.mapInArrow(_shared, "bucket bigint, cid bigint, n bigint, head bigint")
+    if not some:
+        return made
+    hot = spread.join(F.broadcast(large), "bucket").select("bucket", "cid", "n")
+    heads = hot.groupBy("bucket").agg(F.min("cid").alias("head"))
+    return made.union(hot.join(F.broadcast(heads), "bucket").select("bucket", "cid", "n", "head"))
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by `bucket, cid` whose bucket has several, with the first one as head."""
+    names = ["bucket", "cid", "n"]
+    open_ = np.zeros((3, 0), np.int64)  # the last row so far, as its bucket may go on
+    head, several = 0, False  # of the last row's bucket
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.concatenate([open_, np.stack([batch.column(name).to_numpy() for name in names])], axis=1)
+        before = rows.shape[1] - batch.num_rows
+        bucket, cid = rows[0], rows[1]
+        begins = np.concatenate([[True], bucket[1:] != bucket[:-1]])
+        first = np.maximum.accumulate(np.where(begins, np.arange(len(bucket)), 0))
+        heads = cid[first]
+        if before and several:  # the open row's run began earlier
+            heads = np.where(first == 0, head, heads)
+        with_next = np.concatenate([~begins[1:], [False]])
+        keep = ~begins | with_next
+        if before:
+            keep[0] |= several
+        # The last row waits for the next batch.
+        last = len(bucket) - 1
+        out = np.flatnonzero(keep[:last])
+        yield pa.RecordBatch.from_arrays([pa.array(column[out]) for column in (*rows, heads)], [*names, "head"])
+        head, several = int(heads[last]), bool(~begins[last]) or bool(before and several and first[last] == 0)
+        open_ = rows[:, last:]
+    if open_.shape[1] and several:
+        columns = [*open_, np.array([head])]
+        yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], [*names, "head"])
+
+
 def _groups(members: DataFrame) -> DataFrame:
     """`cid, n, grp` of every class, with the count `m` and the set elements `e` of its group."""
     best = (
@@ -332,7 +387,8 @@ def _search(rows: DataFrame, sets: DataFrame, search: Search, n: int, blocks: Bl
         *key, "p.x", "p.y", "cid", "label", "p.member", "p.asked"
     )
     block = [*key, "x", "y"]
-    together = few_tasks(dealt.join(sets, "cid").repartition(*block), n, TEXTS_A_TASK).sortWithinPartitions(*block)
+    together = dealt.join(sets, "cid").repartition(*block)
+    together = together.coalesce(tasks_for(rows.sparkSession, n, TEXTS_A_TASK)).sortWithinPartitions(*block)
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: list[tuple[int, int]] = []

@@ -1,10 +1,11 @@
 """Quality by positive-unlabelled learning with a non-negative risk.
 
 Trusted positives are labelled rows of good quality; everything else that is learnt from is
-unlabelled web text, whose labels are not looked at. A class prior turns the two into an unbiased
-estimate of the classification risk; where the estimated risk of the negatives goes below zero, the
-step goes back instead, so that a flexible model cannot run away. The model adds up one weight
-per bin of each text statistic.
+unlabelled web text, whose labels are not looked at. A class prior, which is estimated from the two, turns them
+into an unbiased estimate of the classification risk; where the estimated risk of the negatives goes below zero, the
+step goes back, so that a flexible model cannot run away. The model adds up one weight
+per bin of each text statistic. Bin edges and the unlabelled part of the risk are over all rows: statistics are
+stored once, and every step adds up its sums over them.
 """
 
 from __future__ import annotations
@@ -14,9 +15,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from turnmill.llm.common import hash_share, one_label
+from turnmill.session import materialize
 
 # Kinds of bytes: 0 lower case, 1 upper case, 2 digit, 3 space, 4 line break, 5 stop and comma,
 # 6 other punctuation, 7 sign, 8 control, 9 not ASCII.
@@ -37,18 +41,20 @@ _KINDS = np.array(
     np.uint8,
 )
 STATISTICS = 24
+CHUNK = 4_096  # rows whose curvature is added up at once
+SLOTS = 16
 
 
 @dataclass(frozen=True)
 class Pu:
-    positives: int = 8_000  # rows of each sort that are learnt from, in expectation
-    unlabelled: int = 16_000
+    positives: int = 8_000  # labelled rows that are learnt from, in expectation; unlabelled ones are all
     bins: int = 12
-    epochs: int = 60
-    batch: int = 1_024
-    rate: float = 0.05
+    steps: int = 12  # Newton steps at most
+    back: int = 5  # halvings of a step at most
+    enough: float = 1e-6  # less gain ends the steps
     decay: float = 1e-3
-    back: float = 1.0  # length of the step back where the negative risk is below zero
+    guess: float = 0.1  # class prior of the model that the prior is estimated with
+    tail: float = 0.2  # smallest share of the positives that it looks at
 
 
 def statistics(text: str | None) -> np.ndarray:
@@ -88,68 +94,136 @@ def statistics(text: str | None) -> np.ndarray:
 class Model:
     """A weight per bin and statistic; `None` edges mean that nothing was learnt."""
 
-    def __init__(self, edges: list[np.ndarray] | None, weights: np.ndarray, bias: float) -> None:
-        self.edges, self.weights, self.bias = edges, weights, bias
+    def __init__(
+        self, edges: list[np.ndarray] | None, weights: np.ndarray, bias: float, prior: float | None = None
+    ) -> None:
+        self.edges, self.weights, self.bias, self.prior = edges, weights, bias, prior
 
     def bins(self, stats: np.ndarray) -> np.ndarray:
-        return np.stack(
-            [np.searchsorted(e, stats[:, k], side="right") for k, e in enumerate(self.edges)], 1
-        )
+        return binned(stats, self.edges)
 
     def probability(self, stats: np.ndarray) -> np.ndarray:
         if self.edges is None:
             return np.full(len(stats), 0.5)
         logit = self.bias + self.weights[np.arange(STATISTICS), self.bins(stats)].sum(axis=1)
-        return 1 / (1 + np.exp(-np.clip(logit, -35, 35)))
+        return _sigmoid(logit)
+
+
+def binned(stats: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    return np.stack([np.searchsorted(e, stats[:, k], side="right") for k, e in enumerate(edges)], 1)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit_model(positive: np.ndarray, unlabelled: np.ndarray, prior: float, how: Pu) -> Model:
-    """Minimise the non-negative risk by Adam over batches of both samples."""
+def _places(bins: np.ndarray, how: Pu) -> np.ndarray:
+    """Rows of places in the weight vector: one per statistic, and the bias behind them."""
+    places = np.arange(STATISTICS) * how.bins + bins
+    return np.concatenate([places, np.full((len(bins), 1), STATISTICS * how.bins)], axis=1)
+
+
+def moments(bins: np.ndarray, weights: np.ndarray, how: Pu) -> np.ndarray:
+    """Sums over rows: their number, the loss as negatives, its slope and its curvature, flat."""
+    wide = len(weights)
+    total = np.zeros(2 + wide + wide * wide)
+    for start in range(0, len(bins), CHUNK):
+        places = _places(bins[start : start + CHUNK], how)
+        logit = weights[places].sum(axis=1)
+        slope = _sigmoid(logit)
+        rows = np.zeros((len(places), wide), np.float32)
+        rows[np.arange(len(places))[:, None], places] = 1
+        curve = (rows * (slope * (1 - slope)).astype(np.float32)[:, None]).T @ rows
+        total[0] += len(places)
+        total[1] += np.logaddexp(0, logit).sum()
+        total[2 : 2 + wide] += slope @ rows
+        total[2 + wide :] += curve.ravel()
+    return total
+
+
+def tails(bins: np.ndarray, weights: np.ndarray, limits: np.ndarray, how: Pu) -> np.ndarray:
+    """The number of rows, and how many score at least each of the rising `limits`."""
+    logit = np.sort(weights[_places(bins, how)].sum(axis=1))
+    return np.concatenate([[len(bins)], len(logit) - np.searchsorted(logit, limits, "left")]).astype(float)
+
+
+class Risk:
+    """The unbiased risk of a weight vector: unlabelled rows through sums over all of them, positives
+    through their rows.
+
+    With class prior p the risk is p E+[loss(f)] + N, where N = E[loss(-f)] - p E+[loss(-f)] stands for
+    the negatives, whose risk cannot be less than zero. For the logistic loss the sum is E[loss(-f)] - p E+[f].
+    """
+
+    def __init__(self, positive: np.ndarray, sums, how: Pu) -> None:
+        self.how, self.sums = how, sums
+        self.places = _places(positive, how)
+        self.wide = STATISTICS * how.bins + 1
+        self.mean = np.bincount(self.places.ravel(), minlength=self.wide) / max(len(positive), 1)
+
+    def at(self, weights: np.ndarray, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+        """Risk with decay, N, slope and curvature."""
+        total = self.sums(lambda bins: moments(bins, weights, self.how))
+        n, wide = max(total[0], 1), self.wide
+        unlabelled = total[1] / n
+        scores = weights[self.places].sum(axis=1)
+        negative = unlabelled - prior * np.logaddexp(0, scores).mean()
+        decay = np.full(wide, self.how.decay)
+        risk = unlabelled - prior * scores.mean() + (decay * weights**2).sum() / 2
+        slope = total[2 : 2 + wide] / n - prior * self.mean + decay * weights
+        curve = total[2 + wide :].reshape(wide, wide) / n + np.diag(decay)
+        return risk, negative, slope, curve
+
+    def minimise(self, prior: float) -> np.ndarray:
+        """Newton steps; a step that raises the risk, or takes that of the negatives below zero, goes back
+        by halves."""
+        weights = np.zeros(self.wide)
+        weights[-1] = np.log(prior / (1 - prior))
+        risk, _, slope, curve = self.at(weights, prior)
+        for _ in range(self.how.steps):
+            step, gain = np.linalg.solve(curve, slope), None
+            for _ in range(self.how.back):
+                found, negative, *more = self.at(weights - step, prior)
+                if negative >= 0 and found <= risk:
+                    gain = risk - found
+                    weights, risk, (slope, curve) = weights - step, found, more
+                    break
+                step = step / 2
+            if gain is None or gain < self.how.enough:
+                break
+        return weights
+
+    def prior(self) -> float:
+        """The share of positives in the unlabelled text, from both alone.
+
+        A first model with a small prior orders texts by how much denser positives are than the
+        unlabelled. Above a score there are at least the positives' share of those above it, so the
+        lowest ratio of the two shares bounds the prior; it comes near it where scores leave few negatives.
+        """
+        first = self.minimise(self.how.guess)
+        scores = np.sort(first[self.places].sum(axis=1))
+        shares = np.linspace(self.how.tail, 0.9, 15)
+        limits = np.unique(np.quantile(scores, 1 - shares))
+        total = self.sums(lambda bins: tails(bins, first, limits, self.how))
+        known = len(scores) - np.searchsorted(scores, limits, "left")
+        ratios = ((total[1:] + 1) / (total[0] + 1)) / ((known + 1) / (len(scores) + 1))
+        return float(np.clip(ratios.min(), 0.02, 0.98))
+
+
+def _model(edges: list[np.ndarray], risk: Risk, prior: float | None) -> Model:
+    prior = risk.prior() if prior is None else prior
+    weights = risk.minimise(prior)
+    return Model(edges, weights[:-1].reshape(STATISTICS, -1), float(weights[-1]), prior)
+
+
+def fit_model(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, how: Pu) -> Model:
+    """The model of two tables of statistics; without `prior` it is estimated."""
     if not len(positive) or not len(unlabelled):
         return Model(None, np.zeros(0), 0.0)
-    # Bins by quantiles of the unlabelled text, which holds both classes.
     cuts = np.linspace(0, 1, how.bins + 1)[1:-1]
     edges = [np.unique(np.quantile(unlabelled[:, k], cuts)) for k in range(STATISTICS)]
-    model = Model(edges, np.zeros((STATISTICS, how.bins)), float(np.log(prior / (1 - prior))))
-    p, u = model.bins(positive), model.bins(unlabelled)
-    draw = np.random.default_rng(11)
-    columns = np.arange(STATISTICS)
-    first, second = np.zeros((STATISTICS, how.bins)), np.zeros((STATISTICS, how.bins))
-    bias_first = bias_second = 0.0
-    steps = max(1, -(-len(u) // how.batch))
-    step = 0
-    for _ in range(how.epochs):
-        order = draw.permutation(len(u))
-        for part in range(steps):
-            step += 1
-            rows_u = u[order[part * how.batch : (part + 1) * how.batch]]
-            rows_p = p[draw.integers(0, len(p), how.batch)]
-            f_p = model.bias + model.weights[columns, rows_p].sum(axis=1)
-            f_u = model.bias + model.weights[columns, rows_u].sum(axis=1)
-            # Logistic loss: the slope is sigmoid - 1 for label 1 and sigmoid for label 0.
-            below = np.logaddexp(0, f_u).mean() - prior * np.logaddexp(0, f_p).mean()
-            if below >= 0:
-                slope_p = prior * (_sigmoid(f_p) - 1 - _sigmoid(f_p)) / len(f_p)
-                slope_u = _sigmoid(f_u) / len(f_u)
-            else:
-                slope_p = how.back * prior * _sigmoid(f_p) / len(f_p)
-                slope_u = -how.back * _sigmoid(f_u) / len(f_u)
-            slope = how.decay * model.weights
-            for rows, by_row in ((rows_p, slope_p), (rows_u, slope_u)):
-                np.add.at(slope, (columns[None, :], rows), by_row[:, None])
-            total = slope_p.sum() + slope_u.sum()
-            first = 0.9 * first + 0.1 * slope
-            second = 0.999 * second + 0.001 * slope**2
-            bias_first = 0.9 * bias_first + 0.1 * total
-            bias_second = 0.999 * bias_second + 0.001 * total**2
-            even, wide = 1 - 0.9**step, 1 - 0.999**step
-            model.weights -= how.rate * (first / even) / (np.sqrt(second / wide) + 1e-8)
-            model.bias -= how.rate * (bias_first / even) / (np.sqrt(bias_second / wide) + 1e-8)
-    return model
+    rows = binned(unlabelled, edges)
+    return _model(edges, Risk(binned(positive, edges), lambda of: of(rows), how), prior)
 
 
 def _statistics_udf():
@@ -161,28 +235,72 @@ def _statistics_udf():
     return described
 
 
+def _rows(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, STATISTICS)
+
+
+def _edges(stats: DataFrame, how: Pu) -> list[np.ndarray]:
+    """Quantiles of every statistic over all rows, as far as they differ."""
+    cuts = [float(c) for c in np.linspace(0, 1, how.bins + 1)[1:-1]]
+    quantiles = [F.percentile_approx(F.col("s")[k], cuts, 2_000).alias(str(k)) for k in range(STATISTICS)]
+    return [np.unique(np.array(values)) for values in stats.agg(*quantiles).first()]
+
+
+def _binned(stats: DataFrame, edges: list[np.ndarray]) -> DataFrame:
+    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = pa.array(binned(_rows(batch), edges).astype(np.int8).ravel())
+            ends = pa.array(np.arange(batch.num_rows + 1) * STATISTICS, pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, made)], ["b"])
+
+    return materialize(stats.select("s").mapInArrow(bins, "b array<tinyint>"), "pu-bins")
+
+
+def _sums(rows: DataFrame):
+    """Sums of a function of binned rows over the whole table: per task, then in `SLOTS` groups, of
+    which the driver adds up one vector each."""
+
+    def sums(of) -> np.ndarray:
+        def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, slot = None, TaskContext.get().partitionId() % SLOTS
+            for batch in batches:
+                if batch.num_rows:
+                    part = of(_rows(batch).astype(np.int64))
+                    total = part if total is None else total + part
+            if total is not None:
+                yield pa.RecordBatch.from_pydict({"slot": [slot], "v": [total.tobytes()]})
+
+        def together(group: pd.DataFrame) -> pd.DataFrame:
+            total = sum(np.frombuffer(v) for v in group["v"])
+            return pd.DataFrame({"v": [total.tobytes()]})
+
+        per_task = rows.mapInArrow(of_task, "slot int, v binary")
+        found = per_task.groupBy("slot").applyInPandas(together, "v binary").collect()
+        return sum(np.frombuffer(row["v"]) for row in found)
+
+    return sums
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, learn_from: Column, how: Pu, ident: str, text: str, label: str
 ) -> Model:
-    known = one_label(labels.filter(learn_from), ident, label)
-    counts = dict(known.groupBy(label).count().collect())
-    good = counts.get(1, 0)
-    prior = (good + 1) / (sum(counts.values()) + 2)
+    trusted = one_label(labels.filter(learn_from), ident, label).filter(F.col(label) == 1)
     described = _statistics_udf()
     # About `positives` identifiers are broadcast, and as many rows of numbers come back.
-    trusted = known.filter(F.col(label) == 1).filter(hash_share(ident, how.positives, good))
-    positive = (
+    trusted = trusted.filter(hash_share(ident, how.positives, trusted.count()))
+    found = (
         docs.select(ident, text)
         .join(F.broadcast(trusted.select(ident)), ident)
         .groupBy(ident)
         .agg(F.min(text).alias("text"))
         .select(described("text").alias("s"))
     )
-    web = docs.filter(learn_from).select(ident, text)
-    web = web.filter(hash_share(ident, how.unlabelled, web.count()))
-    unlabelled = web.groupBy(ident).agg(F.min(text).alias("text")).select(described("text").alias("s"))
-    stack = lambda rows: np.array([r["s"] for r in rows.collect()]).reshape(-1, STATISTICS)
-    return fit_model(stack(positive), stack(unlabelled), prior, how)
+    positive = np.array([r["s"] for r in found.collect()]).reshape(-1, STATISTICS)
+    stats = materialize(docs.filter(learn_from).select(described(F.col(text)).alias("s")), "pu-statistics")
+    if not len(positive) or not stats.limit(1).count():
+        return Model(None, np.zeros(0), 0.0)
+    edges = _edges(stats, how)
+    return _model(edges, Risk(binned(positive, edges), _sums(_binned(stats, edges)), how), None)
 
 
 def scorer(spark: SparkSession, model: Model):
@@ -211,9 +329,9 @@ def quality(
     """`docs` with the double column `into`, the probability of good quality.
 
     Positives are rows of `labels` with label 1, unlabelled text comes from `docs`; both only where
-    `learn_from` holds. The class prior is the share of label 1 among the labelled rows that may
-    be learnt from, with one row of each class added. Labels with a null are left out; of several labels of an id the
-    largest counts. Every row of `docs` stays with all its columns. A null text counts as empty,
+    `learn_from` holds; no other label is looked at. The class prior is estimated from the two (`Risk.prior`).
+    Labels with a null are left out; of several labels of an id the
+    largest counts. Every row of `docs` stays with all its columns but one named `into`, which is replaced. A null text counts as empty,
     and an empty text is scored like any other. Without positives every score is 0.5. Only the
     text decides, so repeated rows score alike.
     """
