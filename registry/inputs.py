@@ -217,6 +217,24 @@ LINE_SHAPES = [
 ]
 
 
+# How many lists stand around a line's value, by document.
+LEVELS = [0, 1, 3, 499, 500, 501, 2000, 20_000]
+
+
+def nested_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`corpus, line_no, line`: every document's whole text inside nested lists, or, for a ninth of the documents, after
+    a text of 2,000 brackets in one list."""
+    number = F.col("doc_id") % (len(LEVELS) + 1)
+    quoted = _quoted(F.col("text"))
+    line = F.concat(F.lit('["' + "[{" * 1000 + '",'), quoted, F.lit("]"))
+    for place, levels in enumerate(LEVELS):
+        around = F.concat(F.lit("[" * levels), quoted, F.lit("]" * levels))
+        line = F.when(number == place, around).otherwise(line)
+    return table(spark, sf_dir, "documents").select(
+        F.concat("lang", F.lit(".jsonl")).alias("corpus"), F.col("doc_id").alias("line_no"), line.alias("line")
+    )
+
+
 def _shaped(spark: SparkSession, sf_dir: str, shapes: list[str | None]) -> DataFrame:
     """Every document's whole text inside one of the JSON shapes: `doc_id, lang, json`."""
     documents = table(spark, sf_dir, "documents").withColumns(

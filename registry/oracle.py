@@ -189,6 +189,12 @@ SELECT corpus, n, v[1] AS low, v[n] AS high, mean, v[n // 2 + 1] AS median,
        v[CAST(trunc(n * 0.95::DOUBLE) AS BIGINT) + 1] AS p95,
        v[CAST(trunc(n * 0.99::DOUBLE) AS BIGINT) + 1] AS p99, over_warn, over_max FROM s"""
 
+DIRECTORY = f"""
+{EXCHANGES},
+lines AS (SELECT *, CASE WHEN system IS NOT NULL OR reply IS NOT NULL THEN 'train.jsonl'
+                         ELSE 'other/eval.jsonl' END AS corpus,
+                 {X_TEXT} AS txt, {tokens(f'length({X_TEXT})', n_script(X_TEXT))} AS n_tokens FROM x)"""
+
 # What each JSON shape of registry.inputs normalises to, by its number.
 _SHAPE = f"doc_id % {len(CHAT_SHAPES)}"
 REPLY = "'Re: ' || source"
@@ -559,4 +565,66 @@ WITH {EXCHANGES},
 s AS (SELECT CASE WHEN system IS NOT NULL OR reply IS NOT NULL THEN 'train' ELSE 'eval' END AS split FROM x)
 SELECT 'a' AS run_id, split, count(*) AS n FROM s GROUP BY split
 UNION ALL SELECT 'b', 'train', count(*) FROM s WHERE split = 'train'""",
+    "nested_lines": """
+SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'not_list' WHEN doc_id % 9 IN (5, 6, 7) THEN 'too_deep'
+                    WHEN doc_id % 9 = 8 THEN 'msg_not_dict' ELSE 'too_few' END AS code,
+       CASE WHEN doc_id % 9 = 0 THEN 'str' WHEN doc_id % 9 IN (1, 2, 3, 4) THEN '1' END AS detail,
+       CASE WHEN doc_id % 9 IN (1, 2, 3, 4) THEN 1 WHEN doc_id % 9 = 8 THEN 2 END::BIGINT AS n_messages
+FROM documents WHERE text IS NOT NULL""",
+    "audit_of_directory": f"""
+WITH {DIRECTORY},
+f AS (SELECT *, system IS NULL AND reply IS NOT NULL AS valid FROM lines),
+c AS (SELECT corpus, count(*) FILTER (WHERE valid) AS n_valid, count(*) FILTER (WHERE NOT valid) AS n_errors,
+             count(*) FILTER (WHERE valid AND {has_script('txt')}) AS n_script,
+             avg(2) FILTER (WHERE valid) AS mean_turns FROM f GROUP BY corpus)
+SELECT corpus, n_valid, n_errors, n_script, n_valid - n_script AS n_other, mean_turns FROM c
+UNION ALL SELECT 'none.jsonl', 0, 0, 0, 0, NULL""",
+    "tokens_of_directory": f"""
+WITH {DIRECTORY}, {DISTRIBUTION}
+UNION ALL SELECT 'none.jsonl', 0, 0, 0, 0, 0, 0, 0, 0, 0, 0""",
+    "token_rewrite_directory": f"""
+WITH {DIRECTORY}
+SELECT corpus, count(*) FILTER (WHERE n_tokens > 150) AS n_removed,
+       count(*) FILTER (WHERE n_tokens <= 150) AS n_left FROM lines GROUP BY corpus
+UNION ALL SELECT 'none.jsonl', 0, 0""",
+    "rendered_line_tokens": f"""
+WITH {EXCHANGES},
+r AS (SELECT concat_ws(' ', '<system> ' || system, '<user> ' || asked, '<assistant> ' || reply)
+             || ' <assistant>' AS t FROM x)
+SELECT length(t) - length(replace(t, ' ', '')) + 1 AS n_tokens, count(*) AS n_lines FROM r GROUP BY 1""",
+    "mixed_types_union": f"""
+WITH {EXCHANGES}, {X_NORMAL} SELECT CAST(id AS VARCHAR) AS id, md5(txt) AS text_md5 FROM x_rows""",
+    "merged_load_types": """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, n_chars::DOUBLE AS n_chars FROM documents""",
+    "curated_json": f"""
+WITH chats AS (
+  SELECT doc_id AS id, doc_id AS conv_id, {CHAT_GOOD} AS good, {CHAT_FIRST} AS first, {REPLY} AS reply FROM documents),
+all_rows AS (
+  SELECT id, {TIER} AS tier, CASE WHEN good THEN first END AS first_text,
+         CASE WHEN good THEN first || ' ' || reply END AS txt,
+         CASE WHEN good THEN least(length({strip('first')}), length({strip('reply')})) END AS shortest FROM chats),
+{curation('all_rows', 'id', '(SELECT count(*) // 5 FROM documents)')}
+SELECT id, tier, split, md5(txt) AS text_md5 FROM final""",
+    "packing_in_order": f"""
+WITH RECURSIVE {TOKEN_LINES},
+numbered AS (SELECT line_no AS conv_id, n_tokens,
+                    row_number() OVER (ORDER BY md5('42:pack:' || line_no), line_no) AS pos FROM lines),
+walk AS (
+  SELECT pos, conv_id, n_tokens, 0::BIGINT AS bin, n_tokens AS used FROM numbered WHERE pos = 1
+  UNION ALL
+  SELECT n.pos, n.conv_id, n.n_tokens,
+         CASE WHEN w.used + n.n_tokens <= 1200 THEN w.bin ELSE w.bin + 1 END,
+         CASE WHEN w.used + n.n_tokens <= 1200 THEN w.used + n.n_tokens ELSE n.n_tokens END
+  FROM walk w JOIN numbered n ON n.pos = w.pos + 1)
+SELECT conv_id, n_tokens, bin, n_tokens > 1200 AS oversized FROM walk""",
+    "sample_head_that_cuts": f"""
+WITH {TAGGED},
+classed AS (SELECT conv_id, source,
+                   CASE WHEN coalesce(source, '') = 'autoif' THEN 'autoif'
+                        WHEN coalesce(source, '') = '' THEN 'empty'
+                        WHEN source LIKE 'ai2%' THEN 'ai2' END AS class
+            FROM (SELECT * FROM tagged WHERE conv_id % 3 > 0 ORDER BY conv_id LIMIT 40))
+SELECT conv_id, source, class FROM (
+  SELECT *, row_number() OVER (PARTITION BY class ORDER BY conv_id) AS r FROM classed WHERE class IS NOT NULL)
+WHERE r = 1""",
 }

@@ -9,7 +9,7 @@ from registry.inputs import ACCENTED, LIMITS, TOKEN_LIMITS
 from turnmill.config import PROFILE_ROWS, SEED, TIERS, TokenLimits
 from turnmill.functions import messages as ms, text as tx
 from turnmill.functions.verdict import measures_of, other_reason, outcome, target_reason
-from turnmill.operators import order, packing, quota
+from turnmill.operators import nextfit, order, packing, quota
 from turnmill.operators.turns import conversation_facts, normalized_turns, openings
 from turnmill.plans import audits, curate, profile, scoring
 from turnmill.session import fresh_path, materialize
@@ -96,7 +96,7 @@ def exchange_text(spark, sf_dir):
 @query
 def json_conversation_text(spark, sf_dir):
     """Text of conversations stored as JSON, whatever the JSON holds."""
-    parsed = src.chat_json(spark, sf_dir).withColumn("document", ms.parse_json(F.col("json")))
+    parsed = src.chat_json(spark, sf_dir).withColumn("document", ms.parse_messages(F.col("json")))
     first = F.try_variant_get("document", "$[0].content", "variant")
     return parsed.select(
         "doc_id",
@@ -275,7 +275,7 @@ def normalized_conversations(spark, sf_dir):
 
 @query
 def normalize_json(spark, sf_dir):
-    inspected = ms.inspect_json(ms.elements(ms.parse_json(F.col("json"))))
+    inspected = ms.inspect_json(ms.elements(ms.parse_messages(F.col("json"))))
     chats = src.chat_json(spark, sf_dir).withColumn("_inspected", inspected)
     m = F.col("messages")
     return ms.normalize(chats, "_inspected").select(
@@ -615,7 +615,7 @@ def token_rewrite_run(spark, sf_dir):
     return jsonl.with_line_numbers(lines).select(
         "corpus",
         F.col("line_no").cast("bigint").alias("line_no"),
-        F.md5(ms.conversation_text(ms.parse_json(F.col("line")))).alias("text_md5"),
+        F.md5(ms.conversation_text(ms.parse_messages(F.col("line")))).alias("text_md5"),
     )
 
 
@@ -761,3 +761,116 @@ def run_layout(spark, sf_dir):
         for run, split in (("a", "train"), ("a", "eval"), ("b", "train"))
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# Directories, nested lines and types that differ
+
+
+@query
+def nested_lines(spark, sf_dir):
+    """Lines nested up to 20,000 levels deep: those past the limit have a code of their own."""
+    audited = audits.audit_numbered(src.nested_lines(spark, sf_dir), ACCENTED)
+    return audited.select(F.col("line_no").alias("doc_id"), "code", "detail", "n_messages")
+
+
+def _directory(spark, sf_dir):
+    """A folder with a corpus of answered chats, one of others and one without lines."""
+    root = fresh_path(spark, "directory")
+    name = F.when(F.size("messages") > 1, "train.jsonl").otherwise("other/eval.jsonl")
+    chats = src.exchanges(spark, sf_dir).select(name.alias("corpus"), ms.as_json_line(F.col("messages")).alias("line"))
+    jsonl.write_corpora(chats, root, ["none.jsonl"])
+    return root
+
+
+@query
+def audit_of_directory(spark, sf_dir):
+    """Format report of every file in a folder, those without lines included."""
+    root = _directory(spark, sf_dir)
+    audited = audits.audit_read(jsonl.read_lines(spark, root), ACCENTED)
+    report = audits.audit_summary(audited, jsonl.corpora(spark, root))
+    return report.select("corpus", "n_valid", "n_errors", "n_script", "n_other", "mean_turns")
+
+
+@query
+def tokens_of_directory(spark, sf_dir):
+    root = _directory(spark, sf_dir)
+    counted = audits.count_read(jsonl.read_lines(spark, root), _estimate)
+    return audits.token_distribution(counted, TOKEN_LIMITS, jsonl.corpora(spark, root))
+
+
+@query
+def token_rewrite_directory(spark, sf_dir):
+    """A folder filtered in place: lines taken out and left, per file."""
+    root = _directory(spark, sf_dir)
+    removed = audits.filter_files(spark, root, _estimate, TokenLimits(max=150))
+    left = jsonl.read_lines(spark, root).groupBy("corpus").agg(F.count(F.lit(1)).alias("n_left"))
+    return removed.join(left, "corpus", "left").fillna(0, ["n_left"])
+
+
+@query
+def rendered_line_tokens(spark, sf_dir):
+    """Written lines counted over their messages as a template renders them."""
+    path = fresh_path(spark, "lines")
+    jsonl.write_jsonl(src.exchanges(spark, sf_dir), path)
+    counter = audits.message_counter_udf(_load_rendered_counter)
+    counted = audits.count_rendered(jsonl.read_lines(spark, path), counter)
+    return counted.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def _load_rendered_counter():
+    def count(messages):
+        rendered = " ".join(f"<{role}> {content}" for role, content in messages) + " <assistant>"
+        return rendered.count(" ") + 1
+
+    return count
+
+
+@query
+def mixed_types_union(spark, sf_dir):
+    """Splits of which one has typed messages and numbers as ids, one JSON text and text ids, and one
+    JSON text in a table of VARIANT values."""
+    chats = src.exchanges(spark, sf_dir).select("id", "conv_id", "messages")
+    m, own = F.col("messages"), F.col("conv_id") % 3
+    splits = [
+        chats.filter(own == 0).select("id", "messages"),
+        chats.filter(own == 1).select(F.col("id").cast("string").alias("id"), F.to_json(m).alias("messages")),
+        chats.filter(own == 2).select("id", F.to_variant_object(m).alias("messages")),
+    ]
+    normal = curate.normalized_rows(tables.union_splits(*splits))
+    return normal.select("id", F.md5(ms.joined_text(m)).alias("text_md5"))
+
+
+@query
+def merged_load_types(spark, sf_dir):
+    """Files of one split whose columns have one name and different types."""
+    root = fresh_path(spark, "types")
+    documents = src.table(spark, sf_dir, "documents")
+    kinds = [("bigint", "bigint"), ("string", "int"), ("int", "double")]
+    for place, (ident, size) in enumerate(kinds):
+        part = documents.filter(F.col("doc_id") % len(kinds) == place)
+        columns = [F.col("doc_id").cast(ident).alias("doc_id"), F.col("n_chars").cast(size).alias("n_chars")]
+        tables.save_if_absent(part.select(*columns), f"{root}/{place}_train.parquet")
+    return tables.load_matching(spark, root, "*train*.parquet").select("doc_id", "n_chars")
+
+
+@query
+def curated_json(spark, sf_dir):
+    """Conversations as JSON text, some of them no conversations, curated."""
+    chats = src.chat_json(spark, sf_dir).withColumn("conv_id", F.col("doc_id"))
+    rows = chats.select(F.col("doc_id").alias("id"), src.tier().alias("tier"), F.col("json").alias("messages"))
+    quotas = quota.quota_table(spark, rows.count() // 5)
+    corpus = curate.curate_rows(rows, quotas, ACCENTED, LIMITS).corpus
+    return corpus.select("id", "tier", "split", F.md5(ms.joined_text(F.col("messages"))).alias("text_md5"))
+
+
+@query
+def packing_in_order(spark, sf_dir):
+    """Next-fit over all rows in one order."""
+    return nextfit.next_fit(_packable(spark, sf_dir), "conv_id", PACK_CAPACITY)
+
+
+@query
+def sample_head_that_cuts(spark, sf_dir):
+    """The first row of each class among the first 40, which not all classes are in."""
+    tagged = src.tag(src.conversation_ids(spark, sf_dir))
+    return profile.sample_by_class(tagged.filter(F.col("conv_id") % 3 > 0), n=40)

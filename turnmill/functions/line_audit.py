@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from turnmill.config import Script
 from turnmill.functions import messages as ms, text as tx
+from turnmill.functions.nesting import TOO_DEEP, is_too_deep
 
 # Names under which a JSON type is reported.
 TYPE_NAMES = {
@@ -56,7 +57,7 @@ def audit_line(df: DataFrame, line: str, script: Script) -> DataFrame:
     first_role = F.try_element_at("_inspected", F.lit(1))["role"]
     last_role = F.try_element_at("_inspected", F.lit(-1))["role"]
     step = (
-        df.withColumn("_document", ms.parse_json(tx.strip(F.col(line))))
+        df.withColumn("_document", ms.parse_messages(tx.strip(F.col(line))))
         .withColumn("_inspected", ms.inspect_json(ms.elements(document)))
         .withColumn("_fault", F.when(n >= 2, first_fault))
         .withColumn("_repeat", ms.first_repeat(F.col("_inspected")))
@@ -65,6 +66,7 @@ def audit_line(df: DataFrame, line: str, script: Script) -> DataFrame:
             F.when(
                 document.isNull() & (F.octet_length(line) > ms.MAX_DOCUMENT_BYTES), "too_large"
             )
+            .when(document.isNull() & is_too_deep(F.col(line)), TOO_DEEP)
             .when(document.isNull(), "invalid_json")
             .when(F.col("_inspected").isNull(), "not_list")
             .when(n < 2, "too_few")

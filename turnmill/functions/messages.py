@@ -15,30 +15,40 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from turnmill.functions import text as tx
+from turnmill.functions.nesting import MAX_DEPTH, PARSER_DEPTH, nesting_fault
 
 MESSAGES_TYPE = "array<struct<role:string,content:string>>"
 
 
-# No single quotes, as JSON has it; texts, numbers and nesting as long and deep as can be read.
+# No single quotes, as JSON has it; texts and numbers as long as can be read. What is nested deeper
+# than `PARSER_DEPTH` never gets to the parser, which sees one list more (`parse_json`).
 JSON_OPTIONS = {
     "allowSingleQuotes": "false",
     "maxStringLen": str(2**31 - 1),
     "maxNumLen": str(2**31 - 1),
-    "maxNestingDepth": "100000",
+    "maxNestingDepth": str(PARSER_DEPTH + 1),
 }
 # What a VARIANT value can hold; a larger document is not parsed.
 MAX_DOCUMENT_BYTES = 128 * 1024 * 1024
 
 
-def parse_json(raw: Column) -> Column:
-    """The document as VARIANT; NULL where the whole text is not one JSON document.
+def parse_messages(raw: Column) -> Column:
+    """`parse_json` for documents whose values are looked into; NULL too for those nested deeper
+    than `MAX_DEPTH`, which `nesting.is_too_deep` tells apart."""
+    return parse_json(raw, MAX_DEPTH)
+
+
+def parse_json(raw: Column, most: int = PARSER_DEPTH) -> Column:
+    """The document as VARIANT; NULL where the whole text is not one JSON document, or is nested in
+    more than `most` levels.
 
     The parser stops after the first value, so the text is put in a list with its own hash
     behind it: unless exactly these two come back, the text was something else.
     """
     mark = F.xxhash64(raw)
+    safe = F.when(nesting_fault(raw, most).isNull(), raw)
     listed = F.from_json(
-        F.concat(F.lit("["), raw, F.lit(","), mark.cast("string"), F.lit("]")),
+        F.concat(F.lit("["), safe, F.lit(","), mark.cast("string"), F.lit("]")),
         "variant",
         JSON_OPTIONS,
     )

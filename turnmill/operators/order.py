@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnmill.session import materialize
 
 BUCKET_DIGITS = 4  # 65,536 buckets of a hex key
+FIRST_FILES = 4  # whose footers are read first for the head of a table
 MAX_BROADCAST_ROWS = 10_000  # narrow rows, some megabytes
 
 
@@ -94,39 +101,70 @@ def first_idents(rows: DataFrame, ident: str, n: int) -> Column:
 
     A filter `ident <= first_idents(...)` reaches the scan as a pushed predicate.
     """
-    smallest = rows.select(ident).distinct().orderBy(ident).limit(n)
+    smallest = fewest(rows.select(ident), n).distinct().orderBy(ident).limit(n)
     return smallest.agg(F.max(ident)).scalar()
 
 
+def fewest(values: DataFrame, n: int) -> DataFrame:
+    """At most `n` rows per task of a table of one column: the smallest distinct values each has, NULL aside."""
+
+    names = values.columns
+
+    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            column = batch.column(0) if held is None else pa.concat_arrays([held, batch.column(0)])
+            column = pc.unique(column).drop_null()
+            held = column.take(pc.select_k_unstable(column, n, [("value", "ascending")])) if len(column) > n else column
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([held], names=names)
+
+    return values.mapInArrow(smallest, values.schema)
+
+
 def first_stored(table: DataFrame, n: int) -> DataFrame:
     """The first `n` rows of a Parquet table as read, in storage order (file path, row index).
 
-    Row counts per file, which Parquet footers give, say which files hold the prefix: at most
-    `n` of them, and only those are read.
+    Files are taken from the listing in that order, in growing batches, until their row counts, which
+    Parquet footers give, cover `n`: at most `n` files with rows, and only those are read.
     """
     path = F.col("_metadata.file_path")
-    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per file goes through this window, not one per record.
-    starts = (
-        table.select(path.alias("_file"))
-        .groupBy("_file")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-        .filter(F.col("_start") < n)
-        .collect()
-    )
+    files, starts, covered, batch = sorted(table.inputFiles()), [], 0, FIRST_FILES
+    while files and covered < n:
+        now, files = files[:batch], files[batch:]
+        for name, rows in sorted(rows_per_file(table, now).items()):
+            if covered < n:
+                starts.append((name, covered))
+            covered += rows
+        batch *= 2
     if not starts:
         return table.limit(0).withColumns({"_file": F.lit(""), "_row": F.lit(0).cast("bigint")})
-    bounds = table.sparkSession.createDataFrame(starts, "_file string, _start bigint")
+    # At most n rows, and few in practice.
+    bounds = small_side(materialize(table.sparkSession.createDataFrame(starts, "_file string, _start bigint"), "head"))
     return (
-        table.filter(path.isin([row["_file"] for row in starts]))
+        _files_of(table, [name for name, _ in starts])
         .select("*", path.alias("_file"), F.col("_metadata.row_index").alias("_row"))
-        .join(F.broadcast(bounds), "_file")
+        .join(bounds, "_file")
         .filter(F.col("_start") + F.col("_row") < n)
         .drop("_start")
+        .select(*table.columns, "_file", "_row")
     )
 
 
+def _files_of(table: DataFrame, files: list[str]) -> DataFrame:
+    """Some of the files of a Parquet table, partition columns included."""
+    base = re.split(r"/[^/=]+=[^/]*/", files[0])[0] if "=" in files[0] else None
+    reader = table.sparkSession.read.schema(table.schema)
+    return (reader.option("basePath", base) if base else reader).parquet(*[unquote(name) for name in files])
+
+
+def rows_per_file(table: DataFrame, files: list[str]) -> dict[str, int]:
+    """Rows of those of the files that have any."""
+    name = F.col("_metadata.file_path").alias("_file")
+    counted = _files_of(table, files).select(name).groupBy("_file").agg(F.count(F.lit(1)).alias("n"))
+    return {row["_file"]: row["n"] for row in counted.collect()}
+
+
 def ranked_values(
     rows: DataFrame,
     groups: list[str],

@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from turnmill.config import THAI, Script, TokenLimits
 from turnmill.functions import messages as ms, text as tx
 from turnmill.functions.line_audit import audit_line
+from turnmill.functions.nesting import TOO_DEEP, is_too_deep
 from turnmill.operators.order import first_per_group, ranked_values
 from turnmill.session import materialize
-from turnmill.sources.jsonl import is_blank, read_ordered, rewrite_lines, with_line_numbers
+from turnmill.sources.jsonl import corpus_of, is_blank, read_ordered, with_line_numbers
+from turnmill.sources.rewrite import replace_lines
 
 ERRORS_SHOWN = 10
 OVER_MAX_SHOWN = 20
@@ -116,6 +118,23 @@ def counter_udf(load: Callable[[], Callable[[str], int]]):
     return count
 
 
+def message_counter_udf(load: Callable[[], Callable[[list[tuple[str, str]]], int]]):
+    """A counter of whole conversations as a vectorised function over `array<struct<role, content>>`.
+
+    `load` runs once per task and returns a function from (role, content) pairs to a number, such as
+    the tokens of the text that a chat template renders; roles and contents that are no text are None.
+    """
+
+    @F.pandas_udf("bigint")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        counter = load()
+        one = lambda chat: None if chat is None else counter([(m["role"], m["content"]) for m in chat])
+        for chats in batches:
+            yield pd.Series([one(chat) for chat in chats], dtype="Int64")
+
+    return count
+
+
 def with_overhead(
     n_tokens: Column, messages: Column, per_message: int = 0, system_prompt: int = 0
 ) -> Column:
@@ -127,17 +146,23 @@ def with_overhead(
 Template = Callable[[Column, Column], Column]
 
 
+def _refuse(line: Column) -> Column:
+    """Stops the job for a line that has no document."""
+    fault = F.when(is_too_deep(line), f"{TOO_DEEP}: ").otherwise("not JSON: ")
+    return F.raise_error(F.concat(fault, tx.preview(line, 200)))
+
+
 def count_lines(
     lines: DataFrame, counter: Callable[[Column], Column], template: Template | None = None
 ) -> DataFrame:
     """Add `n_tokens` of the text in each JSON line; NULL for a blank one.
 
     `counter` counts the joined text. `template` makes the final count of that and the line's
-    messages, as `with_overhead` does. A line that is no JSON stops the job, as the
-    format audit should have run before.
+    messages, as `with_overhead` does. A line that is no JSON, or nested too deep, stops the job
+    with that outcome, as the format audit should have run before.
     """
-    parsed = lines.withColumn("_document", ms.parse_json(tx.strip(F.col("line"))))
-    stop = F.raise_error(F.concat(F.lit("not JSON: "), tx.preview(F.col("line"), 200)))
+    parsed = lines.withColumn("_document", ms.parse_messages(tx.strip(F.col("line"))))
+    stop = _refuse(F.col("line"))
     text = F.when(F.col("_document").isNull(), stop.cast("string")).otherwise(
         ms.conversation_text(F.col("_document"))
     )
@@ -151,6 +176,20 @@ def count_lines(
     return counted.drop("_document", "_text", "_messages")
 
 
+def count_rendered(lines: DataFrame, counter: Callable[[Column], Column]) -> DataFrame:
+    """Add `n_tokens` of each JSON line, counted over its messages as a whole (`message_counter_udf`).
+
+    NULL for a blank line; one that is no JSON list stops the job.
+    """
+    parsed = lines.withColumn("_read", ms.inspect_json(ms.elements(ms.parse_messages(tx.strip(F.col("line"))))))
+    spoken = ~is_blank(F.col("line"))
+    refused = spoken & F.col("_read").isNull()
+    read = F.when(refused, _refuse(F.col("line"))).otherwise(F.col("_read"))
+    messages = F.transform(read, lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
+    counted = parsed.withColumn("_messages", F.when(spoken, messages))
+    return counted.withColumn("n_tokens", counter(F.col("_messages"))).drop("_read", "_messages")
+
+
 def count_read(
     lines: DataFrame, counter: Callable[[Column], Column], template: Template | None = None
 ) -> DataFrame:
@@ -162,23 +201,38 @@ def count_read(
     return with_line_numbers(stored).filter("n_tokens is not null")
 
 
-def filter_corpus(
+def filter_files(
     spark: SparkSession,
     path: str,
     counter: Callable[[Column], Column],
     limits: TokenLimits = TokenLimits(),
     template: Template | None = None,
-) -> int:
-    """Take lines over the limit, and blank ones, out of the text table at `path`, in place.
-    Returns how many were over it.
+    corpus: str | None = None,
+) -> DataFrame:
+    """Take lines over the limit, and blank ones, out of the files in `path`, in place: a table
+    `corpus, n_removed` of the lines over it, with a row for every corpus.
 
-    Folders of partition columns, such as the splits of a run, and the order of lines stay as they
-    are. The old files are there until the new ones are complete (`rewrite_lines`).
+    One pass: every line is read, counted and written by the same task. Files, folders and the order of
+    lines stay, and a broken off run leaves the old version or the new one (`sources.rewrite`).
+    `corpus` may name a partition column, as in `read_lines`.
     """
-    counted = count_lines(read_ordered(spark, path), counter, template)
-    over = counted.filter(F.col("n_tokens") > limits.max).count()
-    rewrite_lines(spark, path, counted.filter(F.col("n_tokens") <= limits.max).drop("n_tokens"))
-    return over
+    counted = count_lines(read_ordered(spark, path), counter, template).filter("n_tokens is not null")
+    fits = F.col("n_tokens") <= limits.max
+    removed = replace_lines(spark, path, counted, fits)
+    own = corpus_of(F.col("file"), corpus)
+    return removed.groupBy(own.alias("corpus")).agg(F.sum("n_removed").alias("n_removed")).orderBy("corpus")
+
+
+def filter_corpus(
+    spark: SparkSession,
+    path: str,
+    counter: Callable[[Column], Column],
+    limits: TokenLimits = TokenLimits(),
+    template: Template | None = None,
+) -> int:
+    """`filter_files`; returns how many lines were over the limit."""
+    removed = filter_files(spark, path, counter, limits, template)
+    return removed.agg(F.coalesce(F.sum("n_removed"), F.lit(0)).alias("n")).first()["n"]
 
 
 def token_distribution(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnmill.config import OTHER_LANGUAGE_TIER, SEED, THAI, TARGET_SOURCE, Limits, Script
 from turnmill.functions import messages as ms, text as tx
+from turnmill.functions.nesting import TOO_DEEP, is_too_deep
 from turnmill.functions.verdict import ACCEPTED, measures_of, outcome
 from turnmill.operators.order import keep_first, small_side, within_cut
 from turnmill.operators.quota import apply_quota, exact_split, quota_cuts
@@ -60,9 +61,12 @@ def scan_verdicts(
     Raises `RepeatedRow` if a tier has a row key twice, since the draw order would not
     tell the rows apart.
     """
+    judged = outcome(F.col("rule"), script, limits)
+    if TOO_DEEP in measured.columns:
+        judged = F.when(F.col(TOO_DEEP), TOO_DEEP).otherwise(judged)
     verdict = (
         measured.join(small_side(quotas), "tier")
-        .withColumn("outcome", outcome(F.col("rule"), script, limits))
+        .withColumn("outcome", judged)
         .withColumn("draw_key", tx.draw_key(seed, F.col("tier"), F.col(ident)))
     )
     columns = [ident, "tier", "tier_no", "target", "outcome", "draw_key", *places]
@@ -180,20 +184,26 @@ def curate_rows(
     Only narrow verdicts are kept of the first pass; the second normalises the selected rows
     again, which is cheaper than storing every text.
     """
-    measured = measures_of(_normalized(rows), "messages", script, limits).drop("messages")
+    measured = measures_of(normalized_rows(rows), "messages", script, limits).drop("messages")
     scanned = scan_verdicts(measured, quotas, script, limits, seed, ident)
     chosen = _chosen(scanned, [ident, "tier", "tier_no", "draw_key"])
     near = _before_cut(rows, scanned.cuts, seed, ident).drop("draw_key")
-    texts = _normalized(near.join(chosen, [ident, "tier"])).select(*chosen.columns, "messages")
+    texts = normalized_rows(near.join(chosen, [ident, "tier"])).select(*chosen.columns, "messages")
     return _finish(scanned, texts, limits, seed, ident)
 
 
-def _normalized(rows: DataFrame) -> DataFrame:
-    """`rows` with `messages`, a typed array or JSON text, replaced by its normal form."""
+def normalized_rows(rows: DataFrame) -> DataFrame:
+    """`rows` with `messages`, a typed array, JSON text or VARIANT, replaced by its normal form, and `too_deep`
+    for text that is nested too deep to be parsed."""
     m = F.col("messages")
-    typed = dict(rows.dtypes)["messages"] != "string"
-    inspected = ms.inspect_typed(m) if typed else ms.inspect_json(ms.elements(ms.parse_json(m)))
-    return ms.normalize(rows.withColumn("_inspected", inspected), "_inspected").drop("_inspected")
+    kind = dict(rows.dtypes)["messages"]
+    if kind in ("string", "variant"):
+        inspected = ms.inspect_json(ms.elements(ms.parse_messages(m) if kind == "string" else m))
+    else:
+        inspected = ms.inspect_typed(m)
+    deep = F.col("_inspected").isNull() & is_too_deep(m) if kind == "string" else F.lit(False)
+    step = rows.withColumn("_inspected", inspected).withColumn("too_deep", deep)
+    return ms.normalize(step, "_inspected").drop("_inspected")
 
 
 def reason_counts(verdicts: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from turnmill.config import (
     Script,
 )
 from turnmill.functions import messages as ms, text as tx
+from turnmill.functions.nesting import is_too_deep
 from turnmill.operators.order import first_idents, first_per_group, keep_first
 from turnmill.plans.curate import with_share
 
@@ -88,7 +89,8 @@ def turn_counts(turns: DataFrame) -> DataFrame:
 def measured_rows(rows: DataFrame, script: Script = THAI) -> DataFrame:
     """Add `n_messages, has_script` to conversations stored one per row, typed or as JSON text.
 
-    A text that is no JSON list has no message count, but its script is tested all the same.
+    A text that is no JSON list has no message count, but its script is tested all the same. For
+    JSON text `too_deep` says that it is nested too deep to be parsed.
     """
     m = F.col("messages")
     if dict(rows.dtypes)["messages"] != "string":
@@ -99,13 +101,14 @@ def measured_rows(rows: DataFrame, script: Script = THAI) -> DataFrame:
                 "has_script": F.coalesce(found, F.lit(False)),
             }
         )
-    parsed = rows.withColumn("_document", ms.parse_json(m))
+    parsed = rows.withColumn("_document", ms.parse_messages(m))
     # Profiling looks at JSON text as it is written, before any decoding.
     text = ms.conversation_text(F.col("_document"), m, decode=False)
     return parsed.withColumns(
         {
             "n_messages": F.array_size(ms.elements(F.col("_document"))).cast("bigint"),
             "has_script": tx.contains_script(text, script),
+            "too_deep": F.col("_document").isNull() & is_too_deep(m),
         }
     ).drop("_document")
 

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from turnmill.functions import messages as ms, text as tx
+from turnmill.functions.nesting import TOO_DEEP, is_too_deep
+from turnmill.sources import rewrite
+from turnmill.sources.rewrite import hadoop
 
 
 SPLITS = ("train", "eval")
@@ -20,21 +25,21 @@ class EmptyCorpus(Exception):
 def read_lines(spark: SparkSession, path: str, corpus: str | None = None) -> DataFrame:
     """Lines of every file `path` matches: `corpus, file, block, seq, line`, blank ones included.
 
-    `corpus` names what is numbered and reported as one; by default each file is its own, by its
+    `corpus` names what is numbered and reported as one; by default each file, at any depth, is its own, by its
     path below the folder that is read (what a glob leaves fixed), and a
-    partition column such as `split` can be given instead. `block` is where the scan's split
+    partition column such as `split` can be given instead. Both are text as the names have it. `block` is where the scan's split
     starts in the file and `seq` grows by one per line inside it, which is all that line numbers
     need (`with_line_numbers`).
     """
+    rewrite.finish(spark, path)
     try:
-        raw = spark.read.text(path)
+        raw = rewrite.text_files(spark, path)
     except Exception as error:
         if getattr(error, "getCondition", lambda: "")() == "PATH_NOT_FOUND":
             raise EmptyCorpus(path) from error
         raise
-    name = _below(spark, path, F.col("_metadata.file_path")) if corpus is None else F.col(corpus)
     return raw.select(
-        name.alias("corpus"),
+        _named(spark, path, F.col("_metadata.file_path"), corpus).alias("corpus"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
@@ -42,22 +47,17 @@ def read_lines(spark: SparkSession, path: str, corpus: str | None = None) -> Dat
     )
 
 
-def _hadoop(spark: SparkSession, path: str):
-    """The path as its own file system spells it, and that file system."""
-    named = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = named.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.makeQualified(named), system
+def corpus_of(own: Column, corpus: str | None = None) -> Column:
+    """The corpus a file belongs to, by its place below the folder that is read (see `read_lines`)."""
+    if corpus is None:
+        # What a rewrite made of a large file: a folder under the file's name.
+        return F.regexp_replace(own, r"^((?:.*?/)??[^/]+\.(?:jsonl|ndjson|json|txt))/.*$", "$1")
+    # Values of partition columns are written with some characters as %XX.
+    return rewrite.decoded(F.regexp_extract(own, f"(?:^|/){re.escape(corpus)}=([^/]*)/", 1))
 
 
-def _below(spark: SparkSession, path: str, file: Column) -> Column:
-    """The place of a file below the fixed part of `path`, or its name if that is a file."""
-    parts = path.split("/")
-    fixed = next((k for k, part in enumerate(parts) if re.search(r"[*?\[{]", part)), len(parts))
-    root, system = _hadoop(spark, "/".join(parts[:fixed]) or "/")
-    if fixed == len(parts) and system.exists(root) and system.getFileStatus(root).isFile():
-        root = root.getParent()
-    start = root.toUri().getRawPath().rstrip("/") + "/"
-    return F.substring(file, F.instr(file, start) + len(start), F.length(file))
+def _named(spark: SparkSession, path: str, file: Column, corpus: str | None) -> Column:
+    return corpus_of(rewrite.below(spark, path, file), corpus)
 
 
 def corpora(spark: SparkSession, path: str, corpus: str | None = None) -> DataFrame:
@@ -65,9 +65,9 @@ def corpora(spark: SparkSession, path: str, corpus: str | None = None) -> DataFr
 
     From the listing that every read makes; with `corpus` the value of that partition column.
     """
-    files = [(name,) for name in spark.read.text(path).inputFiles()]
-    file = F.col("file")
-    own = _below(spark, path, file) if corpus is None else F.regexp_extract(file, f"/{corpus}=([^/]+)/", 1)
+    rewrite.finish(spark, path)
+    files = [(name,) for name in rewrite.text_files(spark, path).inputFiles()]
+    own = _named(spark, path, F.col("file"), corpus)
     return spark.createDataFrame(files, "file string").select(own.alias("corpus")).distinct()
 
 
@@ -102,11 +102,12 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
-    """A prompt file: `messages` per line, blank lines skipped. A line that is no JSON list stops
-    the job."""
+    """A prompt file: `messages` per line, blank lines skipped. A line that is no JSON list, or is
+    nested too deep, stops the job."""
     value = F.col("value")
-    items = ms.inspect_json(ms.elements(ms.parse_json(tx.strip(value))))
-    stop = F.raise_error(F.concat(F.lit("not a JSON list: "), tx.preview(value, 200)))
+    items = ms.inspect_json(ms.elements(ms.parse_messages(tx.strip(value))))
+    fault = F.when(is_too_deep(value), f"{TOO_DEEP}, not a JSON list: ").otherwise("not a JSON list: ")
+    stop = F.raise_error(F.concat(fault, tx.preview(value, 200)))
     parsed = (
         spark.read.text(path)
         .filter(~is_blank(value))
@@ -128,13 +129,35 @@ def write_jsonl(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     (writer.partitionBy(*by) if by else writer).text(path)
 
 
+def write_corpora(lines: DataFrame, root: str, names: Sequence[str] = ()) -> None:
+    """Write the `line`s of a table `corpus, line` as a folder of text files per corpus, under the
+    corpus's name in `root`, which `read_lines` takes for one corpus. A name in `names` that has no line is
+    there as an empty file."""
+    spark, parts = lines.sparkSession, f"{root}/_parts-{uuid.uuid4().hex}"
+    lines.select("corpus", F.col("line").alias("value")).write.partitionBy("corpus").text(parts)
+    home, system = hadoop(spark, root)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    for made in system.listStatus(hadoop(spark, parts)[0]):
+        kind, _, name = made.getPath().getName().partition("=")
+        if kind == "corpus":
+            target = at(home, unquote(name))
+            system.mkdirs(target.getParent())
+            system.delete(target, True)
+            if not system.rename(made.getPath(), target):
+                raise OSError(f"{made.getPath()} could not be renamed to {target}")
+    for name in names:
+        if not system.exists(at(home, name)):
+            system.create(at(home, name)).close()
+    system.delete(hadoop(spark, parts)[0], True)
+
+
 def write_run(df: DataFrame, root: str, run_id: str) -> None:
     """Write a curated corpus as `root/run_id=.../split=...`, replacing that run only. A split
     without rows is there as an empty file."""
     spark, path = df.sparkSession, f"{root}/run_id={run_id}"
     write_jsonl(df, path, ["split"])
     for split in SPLITS:
-        folder, system = _hadoop(spark, f"{path}/split={split}")
+        folder, system = hadoop(spark, f"{path}/split={split}")
         if not system.exists(folder):
             spark.createDataFrame([], "value string").coalesce(1).write.text(f"{path}/split={split}")
 
@@ -143,7 +166,7 @@ def read_run(spark: SparkSession, root: str, run_id: str, split: str | None = No
     """Lines of one run; raises `EmptyCorpus` if the run or the split is not there."""
     path = f"{root}/run_id={run_id}"
     if split:
-        folder, system = _hadoop(spark, f"{path}/split={split}")
+        folder, system = hadoop(spark, f"{path}/split={split}")
         if not system.exists(folder):
             raise EmptyCorpus(f"{path}/split={split}")
     lines = read_lines(spark, path, corpus="split")
@@ -156,14 +179,10 @@ def write_records(df: DataFrame, path: str, by: list[str] | None = None) -> None
     (writer.partitionBy(*by) if by else writer).json(path)
 
 
-ORDER = ["_file", "_block", "_seq"]
-
-
 def read_ordered(spark: SparkSession, path: str) -> DataFrame:
-    """`line` of the text table at `path` with its partition columns and its place (`ORDER`)."""
-    raw = spark.read.text(path)
-    return raw.select(
-        *[c for c in raw.columns if c != "value"],
+    """`line` of all files in `path` and its place (`rewrite.PLACE`)."""
+    rewrite.finish(spark, path)
+    return rewrite.text_files(spark, path).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -172,29 +191,7 @@ def read_ordered(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rewrite_lines(spark: SparkSession, path: str, keep: DataFrame) -> int:
-    """Replace the text table at `path` by `keep`, a selection of the rows of `read_ordered`.
-    Returns how many lines there are now.
-
-    The new version is written beside the old one and takes its place by renaming. Partition
-    folders stay, also those left without lines; so does the order of lines, since ranges
-    of places become files in the same order.
-    """
-    by = [c for c in keep.columns if c not in ("line", *ORDER)]
-    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    parts = max(1, spark.read.text(path).rdd.getNumPartitions())
-    lines = keep.repartitionByRange(parts, *ORDER).sortWithinPartitions(*by, *ORDER)
-    lines = lines.select(*by, F.col("line").alias("value"))
-    (lines.write.partitionBy(*by) if by else lines.write).text(new)
-    if by:
-        empty = spark.createDataFrame([], "value string").coalesce(1)
-        files = spark.read.text(path).inputFiles()
-        for folder in sorted({"/".join(name.split("/")[-len(by) - 1 : -1]) for name in files}):
-            named, system = _hadoop(spark, f"{new}/{folder}")
-            if not system.exists(named):
-                empty.write.text(f"{new}/{folder}")
-    here, system = _hadoop(spark, path)
-    moved = lambda name: _hadoop(spark, name)[0]
-    if not (system.rename(here, moved(old)) and system.rename(moved(new), here)):
-        raise OSError(f"the new version of {path} is in {new}, the old one in {path} or {old}")
-    system.delete(moved(old), True)
-    return spark.read.text(path).count()
+    """Replace the lines in `path` by `keep`, a selection of the rows of `read_ordered`. Returns how
+    many lines there are now. Files, their names and the order of lines stay (`sources.rewrite`)."""
+    rewrite.replace_lines(spark, path, keep, F.lit(True))
+    return rewrite.text_files(spark, path).count()
