@@ -50,6 +50,7 @@ class Blocks:
 
 TEXTS_A_TASK = 10_000
 ENTRIES_A_TASK = 2_000_000
+MOST_BROADCAST = 200_000  # classes, of some 50 bytes, whose identifiers are sent to all tasks
 SAMPLE = 200_000  # rows looked at for large buckets
 OFTEN = 200  # rows of a bucket in the sample
 JUMPS = 2  # a group reaches 2 ** JUMPS heads up
@@ -159,8 +160,9 @@ def sets_of(
             same = [digest(f) == bytes(k) for f, k in zip(found, keys)]
             yield pd.Series([f.tobytes() if s else None for f, s in zip(found, same)], dtype=object)
 
-    # Stored, so its real size decides whether texts have to be shuffled.
     first = _store(classes.join(wanted, "cid").select("cid", "key", "first"), "link-first", n_wanted)
+    if n_wanted <= MOST_BROADCAST:  # else texts are shuffled too
+        first = F.broadcast(first)
     texts = docs.join(first, F.col("doc_id") == F.col("first"))
     found = texts.select("cid", sets("text", "key").alias("hashes"))
     # Rows of one identifier may have other texts than the one wanted, or the same text again.
