@@ -52,9 +52,9 @@ class Pu:
     steps: int = 12  # Newton steps at most
     back: int = 5  # halvings of a step at most
     enough: float = 1e-6  # less gain ends the steps
-    decay: float = 1e-3
+    decay: float = 0.03
     guess: float = 0.1  # class prior of the model that the prior is estimated with
-    tail: float = 0.2  # smallest share of the positives that it looks at
+    tail: float = 0.5  # smallest share of the positives that it looks at
 
 
 def statistics(text: str | None) -> np.ndarray:
@@ -163,7 +163,8 @@ class Risk:
 
     def at(self, weights: np.ndarray, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
         """Risk with decay, N, slope and curvature."""
-        total = self.sums(lambda bins: moments(bins, weights, self.how))
+        how = self.how  # what goes to the tasks holds no table
+        total = self.sums(lambda bins: moments(bins, weights, how))
         n, wide = max(total[0], 1), self.wide
         unlabelled = total[1] / n
         scores = weights[self.places].sum(axis=1)
@@ -193,26 +194,49 @@ class Risk:
                 break
         return weights
 
-    def prior(self) -> float:
-        """The share of positives in the unlabelled text, from both alone.
-
-        A first model with a small prior orders texts by how much denser positives are than the
-        unlabelled. Above a score there are at least the positives' share of those above it, so the
-        lowest ratio of the two shares bounds the prior; it comes near it where scores leave few negatives.
-        """
-        first = self.minimise(self.how.guess)
-        scores = np.sort(first[self.places].sum(axis=1))
-        shares = np.linspace(self.how.tail, 0.9, 15)
-        limits = np.unique(np.quantile(scores, 1 - shares))
-        total = self.sums(lambda bins: tails(bins, first, limits, self.how))
-        known = len(scores) - np.searchsorted(scores, limits, "left")
-        ratios = ((total[1:] + 1) / (total[0] + 1)) / ((known + 1) / (len(scores) + 1))
-        return float(np.clip(ratios.min(), 0.02, 0.98))
-
-
-def _model(edges: list[np.ndarray], risk: Risk, prior: float | None) -> Model:
-    prior = risk.prior() if prior is None else prior
-    weights = risk.minimise(prior)
+    def above(self, weights: np.ndarray, limits: np.ndarray) -> np.ndarray:
+        """Shares of the unlabelled rows that score at least each of the rising `limits`."""
+        how = self.how  # what goes to the tasks holds no table
+        total = self.sums(lambda bins: tails(bins, weights, limits, how))
+        return total[1:] / max(total[0], 1)
+
+    def centred(self, weights: np.ndarray, prior: float) -> np.ndarray:
+        """The weights with the bias at which the prior's share of the unlabelled rows scores above 0."""
+        steps = weights[:-1].reshape(STATISTICS, -1)
+        low, high = (weights[-1] + f(steps, axis=1).sum() for f in (np.min, np.max))
+        for _ in range(3):
+            limits = np.linspace(low, high, 100)
+            at = int((self.above(weights, limits) >= prior).sum())
+            low, high = limits[max(at - 1, 0)], limits[min(at, 99)]
+        moved = weights.copy()
+        moved[-1] -= (low + high) / 2
+        return moved
+
+
+def estimated_prior(positive: np.ndarray, sums, how: Pu) -> float:
+    """The share of positives in the unlabelled text, from both alone.
+
+    A model of half the positives, with a small prior, orders texts by how much denser positives are than the
+    unlabelled. Above any score there are at least the positives' share of those above it, so the
+    lowest ratio of the two shares bounds the prior, and comes near it where scores leave few negatives
+    out. The other half of the positives tells the shares, and halves take turns.
+    """
+    half = np.arange(len(positive)) % 2 == 0
+    shares, ratios = np.linspace(how.tail, 0.95, 10), []
+    for own, other in ((half, ~half), (~half, half)) if len(positive) > 1 else ((half, half),):
+        risk = Risk(positive[own], sums, how)
+        weights = risk.minimise(how.guess)
+        scores = np.sort(weights[_places(positive[other], how)].sum(axis=1))
+        limits = np.quantile(scores, 1 - shares)[::-1]
+        known = (len(scores) - np.searchsorted(scores, limits, "left")) / len(scores)
+        ratios.append(risk.above(weights, limits) / known)
+    return float(np.clip(np.mean(ratios, axis=0).min(), 0.02, 0.98))
+
+
+def _model(edges: list[np.ndarray], positive: np.ndarray, sums, how: Pu, prior: float | None) -> Model:
+    prior = estimated_prior(positive, sums, how) if prior is None else prior
+    risk = Risk(positive, sums, how)
+    weights = risk.centred(risk.minimise(prior), prior)
     return Model(edges, weights[:-1].reshape(STATISTICS, -1), float(weights[-1]), prior)
 
 
@@ -223,7 +247,7 @@ def fit_model(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None,
     cuts = np.linspace(0, 1, how.bins + 1)[1:-1]
     edges = [np.unique(np.quantile(unlabelled[:, k], cuts)) for k in range(STATISTICS)]
     rows = binned(unlabelled, edges)
-    return _model(edges, Risk(binned(positive, edges), lambda of: of(rows), how), prior)
+    return _model(edges, binned(positive, edges), lambda of: of(rows), how, prior)
 
 
 def _statistics_udf():
@@ -268,7 +292,7 @@ def _sums(rows: DataFrame):
                     part = of(_rows(batch).astype(np.int64))
                     total = part if total is None else total + part
             if total is not None:
-                yield pa.RecordBatch.from_pydict({"slot": [slot], "v": [total.tobytes()]})
+                yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([total.tobytes()])], ["slot", "v"])
 
         def together(group: pd.DataFrame) -> pd.DataFrame:
             total = sum(np.frombuffer(v) for v in group["v"])
@@ -300,7 +324,7 @@ def fit(
     if not len(positive) or not stats.limit(1).count():
         return Model(None, np.zeros(0), 0.0)
     edges = _edges(stats, how)
-    return _model(edges, Risk(binned(positive, edges), _sums(_binned(stats, edges)), how), None)
+    return _model(edges, binned(positive, edges), _sums(_binned(stats, edges)), how, None)
 
 
 def scorer(spark: SparkSession, model: Model):
@@ -329,7 +353,8 @@ def quality(
     """`docs` with the double column `into`, the probability of good quality.
 
     Positives are rows of `labels` with label 1, unlabelled text comes from `docs`; both only where
-    `learn_from` holds; no other label is looked at. The class prior is estimated from the two (`Risk.prior`).
+    `learn_from` holds; no other label is looked at. The class prior is estimated from the two
+    (`estimated_prior`); its share of the unlabelled text scores 0.5 or more.
     Labels with a null are left out; of several labels of an id the
     largest counts. Every row of `docs` stays with all its columns but one named `into`, which is replaced. A null text counts as empty,
     and an empty text is scored like any other. Without positives every score is 0.5. Only the
