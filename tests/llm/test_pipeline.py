@@ -23,7 +23,7 @@ def test_order_and_names():
         "toxicity", "language_id", "near_dedup", "decontamination", "byte_bpe",
     ]
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
 
 
 def test_awkward_rows_pass_all_stages(spark, awkward, nothing, tables):
